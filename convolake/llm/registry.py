@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from convolake.llm.quality import ORACLE as SQL6
+from convolake.llm import licenses, quality
+from convolake.llm.licenses import op10_license_scans
 from convolake.llm.quality import op6_quality_rules
+from convolake.llm.records import op3_token_records
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_quality_rules,)}
+    return {f.__name__: f for f in (op3_token_records, op6_quality_rules, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": SQL6}
+    return {"op6_quality_rules": quality.ORACLE, "op10_license_scans": licenses.ORACLE}
