@@ -42,6 +42,11 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def record(**fields: Column) -> Column:
+    """A struct with these fields; unlike struct() it keeps their names inside lambdas."""
+    return F.named_struct(*[x for name, value in fields.items() for x in (F.lit(name), value)])
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, in order; a null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), lambda w: w != "")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from convolake.llm import licenses, quality
 from convolake.llm.licenses import op10_license_scans
+from convolake.llm.pii import op1_pii
 from convolake.llm.quality import op6_quality_rules
 from convolake.llm.records import op3_token_records
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_token_records, op6_quality_rules, op10_license_scans)}
+    return {f.__name__: f for f in (op1_pii, op3_token_records, op6_quality_rules, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
