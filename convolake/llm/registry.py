@@ -7,11 +7,12 @@ from convolake.llm.licenses import op10_license_scans
 from convolake.llm.pii import op1_pii
 from convolake.llm.quality import op6_quality_rules
 from convolake.llm.records import op3_token_records
+from convolake.llm.repeats import op9_repeated_passages
 from convolake.llm.toxicity import op2_toxicity
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii, op2_toxicity, op3_token_records, op6_quality_rules, op10_license_scans)}
+    return {f.__name__: f for f in (op1_pii, op2_toxicity, op3_token_records, op6_quality_rules, op9_repeated_passages, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
