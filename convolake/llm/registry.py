@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from convolake.llm import licenses, quality
+from convolake.llm.decontaminate import op4_decontamination
 from convolake.llm.licenses import op10_license_scans
 from convolake.llm.pieces import op5_sentence_pieces
 from convolake.llm.pii import op1_pii
@@ -13,7 +14,7 @@ from convolake.llm.toxicity import op2_toxicity
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii, op2_toxicity, op3_token_records, op5_sentence_pieces, op6_quality_rules, op9_repeated_passages, op10_license_scans)}
+    return {f.__name__: f for f in (op1_pii, op2_toxicity, op3_token_records, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op9_repeated_passages, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
