@@ -20,6 +20,7 @@ rows without doc_id come first; an empty table writes no shard and reads as an e
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
@@ -38,7 +39,7 @@ from convolake.llm.common import shared_dir, table, written
 
 END_ID = 2
 SHARD_BYTES = 24 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 _TAIL = ".,!?;:*$%&#|()\"-"
 _META = "<qBB"
 _META_SIZE = struct.calcsize(_META)
@@ -46,6 +47,10 @@ _META_SIZE = struct.calcsize(_META)
 _ODD = re.compile("[\x1c-\x1f]")
 _BLANKS = re.compile("[ \t\n\r]+")
 
+#: The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
 INDEX = StructType(
     [
         StructField("doc_id", LongType()),
@@ -100,10 +105,24 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if max(self.tokenizer.get_vocab_size(), END_ID + 1) <= 1 << 16 else np.uint32
+        if not any(isinstance(x, dict) and x.get("type") == "ByteLevel" for x in json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]):
+            raise ValueError("a byte-level tokenizer is needed")
         self.words: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
+        """Lower-case letters that the normaliser leaves as they are go straight to the library's BPE model."""
+        out: list[bytes | None] = [None] * len(pieces)
+        model, kind = self.tokenizer.model, self.kind
+        for i, p in enumerate(pieces):
+            if p.isalpha() and p == p.lower() and max(p) < "\u0180":
+                out[i] = np.array([t.id for t in model.tokenize(p.encode().decode("latin-1").translate(_BYTE_LETTERS))], kind).tobytes()
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self._encode_all([pieces[i] for i in rest]), strict=True):
+            out[i] = x
+        return out
+
+    def _encode_all(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
@@ -114,7 +133,7 @@ class WordEncoder:
             if not core.isalpha() or not unicodedata.is_normalized("NFC", core):
                 split.append((w, ""))
             else:
-                split.append((core.lower() if core.isascii() else core, w[len(core) :]))
+                split.append((core.lower() if max(core) < "\u0130" else core, w[len(core) :]))
         if len(self.cores) > CACHE_WORDS:
             self.cores.clear()
         missing = list({p for pair in split for p in pair if p} - self.cores.keys())
