@@ -5,6 +5,7 @@ from __future__ import annotations
 from convolake.llm import licenses, quality
 from convolake.llm.decontaminate import op4_decontamination
 from convolake.llm.licenses import op10_license_scans
+from convolake.llm.line_dups import op7_line_dedup
 from convolake.llm.near_dups import op8_near_duplicates
 from convolake.llm.pieces import op5_sentence_pieces
 from convolake.llm.pii import op1_pii
@@ -15,7 +16,7 @@ from convolake.llm.toxicity import op2_toxicity
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii, op2_toxicity, op3_token_records, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op8_near_duplicates, op9_repeated_passages, op10_license_scans)}
+    return {f.__name__: f for f in (op1_pii, op2_toxicity, op3_token_records, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op7_line_dedup, op8_near_duplicates, op9_repeated_passages, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
