@@ -1,0 +1,91 @@
+"""Operators 1, 6 and 10 against plain Python."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from convolake.llm import licenses, pii, quality
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(d):
+    return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
+
+
+def base(text):
+    out = []
+    for k, (kind, p) in enumerate(PATTERNS.items()):
+        for m in re.finditer(p, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(x) > 255 for x in m[0].split(".")) or kind == "card" and not (14 <= len(d) <= 19 and luhn(d)) or kind == "phone" and not 10 <= len(d) <= 15:
+                continue
+            out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+TEXTS = [
+    "a@b.c%x@d.e x@y a@b.c.d..e@f.g", "1.2.3.4.5.6.7.8 0000255.1.2.3 256.1.1.1 1.2.3", "4111 1111 1111 1111 4111-1111-1111-1112 " + "4" * 30,
+    "+1 (499) 555-6503. +12345678901234567 +1+1 +1" + " " * 5000, "é@b.co 😀 a@b.co 4111111111111111", "9" * 20000 + " " + "1 " * 20000, None, "", "a" * 20000 + "@" + "b" * 10, "x@y.z " * 2000,
+]
+
+
+def test_base_spans(spark, docs):
+    got = pii.pii_spans(docs(TEXTS, base="clash", spans=1), None).collect()
+    for r in got:
+        assert [(s.start, s.kind, s.end) for s in r.base] == base(TEXTS[r.doc_id])
+
+
+def test_model_only_adds(spark, docs):
+    texts = [f"call me on +1 (499) 555-{k:04d} or mail u{k}@x{k}.org from 10.0.0.{k}" for k in range(200)] + [f"part 12{k}.5.77 size 10{k}-200{k}" for k in range(200)]
+    d = docs(texts)
+    model = pii.fit_spans(d)
+    for r in pii.pii_spans(d, model).collect():
+        assert {tuple(s) for s in r.base} <= {tuple(s) for s in r.spans}
+    assert pii.fit_spans(docs([])) is None
+
+
+def quality_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_counts(spark, docs):
+    texts = ["a b c d e f g h " * 5, "x y\nx y\n \n\nx y", None, "", "é😀 #|<", "w " * 3000, " ".join(map(str, range(50)))]
+    for r in quality.quality_verdicts(docs(texts, kept="clash", host=1, n_words="x")).collect():
+        want = quality_counts(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+    assert quality.quality_verdicts(docs([])).count() == 0
+
+
+def test_host_verdicts(spark, docs):
+    clean, soft = " ".join(f"word{k}" for k in range(40)), " ".join(f"word{k}***" for k in range(40))
+    texts = [clean if i % 2 == 0 else soft for i in range(400)] + [soft]  # source 1: all fail; source 0: one in 201
+    kept = {r.doc_id for r in quality.quality_filter(docs(texts, kept=3, host_rate=1)).collect()}
+    assert kept == {i for i in range(401) if i % 2 == 0}  # the single failure is forgiven on a good host
+    out = quality.quality_filter(docs(texts, host=3))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "host"]
+
+
+def test_licenses(spark, docs):
+    mit = "Permission is granted. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+    texts = [mit, "\n".join(reversed(mit.split("\n"))), "x. Released under the MIT License.\nLicensed under CC BY-NC 4.0.", None, "", "MIT", "Released under the MIT License. " * 500]
+    got = {r.doc_id: r for r in licenses.license_scan(docs(texts, rules=1, chain="x")).collect()}
+    assert got[0].rules == ["mit.full"] and got[0].sentence_ids == ["mit.notice", "mit.warranty"]
+    assert got[1].sentence_ids == [] or got[1].rules == []
+    assert got[2].licenses == ["MIT", "CC-BY-NC-4.0"]
+    assert all(got[k].licenses == [] for k in (3, 4, 5)) and len(got[6].sentence_ids) == 500 and got[6].rules == ["mit.ref"]
+
+
+def test_sentences_cut(spark):
+    d = spark.createDataFrame([("Version 2.0. Next one!\n\nA",)], "t string")
+    assert d.select(licenses.sentences_of(F.col("t")).alias("s")).first().s == ["version 2 0", "next one", "", "a"]
