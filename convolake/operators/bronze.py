@@ -12,7 +12,8 @@ from convolake.operators.common import smallest
 
 
 def valid_json(c: Column) -> Column:
-    """Whether a string is one JSON value (of any kind) and nothing else."""
+    """Whether a string is one JSON value (of any kind) and nothing else. Repeated keys are valid, the last one wins,
+    where spark.sql.variant.allowDuplicateKeys is on (the sources turn it on)."""
     wrapped = F.concat(F.lit("["), c, F.lit("]"))
     return F.coalesce((F.trim(c) != "") & F.try_parse_json(wrapped).isNotNull() & (F.json_array_length(wrapped) == 1), F.lit(False))
 

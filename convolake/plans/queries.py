@@ -260,7 +260,7 @@ add("sem_max_severity", lambda s, d: consolidated(s, d).select("lead_key", "conv
 add("sem_source_family", lambda s, d: consolidated(s, d).select("lead_key", "intent_stage_source_family"), "SELECT lead_key, 'deterministic_fallback' AS intent_stage_source_family FROM consolidated")
 add("sem_consolidate", lambda s, d: consolidated(s, d).select("lead_key", *G.SEMANTIC), f"SELECT lead_key, {', '.join(G.SEMANTIC)} FROM consolidated")
 add("metrics_decision_log", lambda s, d: D.decision_metrics(silver(s, d).select(F.col("campaign_id").alias("family"), F.when(F.col("status") == "read", "promoted").when(F.col("status") == "failed", "rolled_back").otherwise("proposed").alias("decision"), F.col("message_length").alias("duration"))),
-    "SELECT campaign_id AS family, count(*) AS proposals, count(*) FILTER (status = 'read') AS promotions, count(*) FILTER (status = 'failed') AS rollbacks, round(count(*) FILTER (status = 'read') / count(*), 4) AS promotion_rate, list_sort(list(message_length))[len(list(message_length)) // 2 + 1] AS median_duration FROM silver GROUP BY 1")
+    "SELECT campaign_id AS family, count(*) AS proposals, count(*) FILTER (status = 'read') AS promotions, count(*) FILTER (status = 'failed') AS rollbacks, round(count(*) FILTER (status = 'read') / count(*), 4) AS promotion_rate, CAST(list_sort(list(message_length))[len(list(message_length)) // 2 + 1] AS DOUBLE) AS median_duration FROM silver GROUP BY 1")
 # --- segments -----------------------------------------------------------------------------------------------------------
 for _n, _c in {"seg_engagement": ("engagement_bucket", "total_messages"), "seg_data_shared": ("data_shared_score",), "seg_lifecycle_hours": ("lead_lifecycle_hours",), "seg_latency_band": ("response_latency_band", "avg_response_time_sec"), "seg_outcome_group": ("closure_outcome_group", "observed_outcomes"), "seg_closed_flag": ("has_closed_outcome",), "seg_price_objection": ("price_objection_intensity",), "seg_urgency": ("commercial_urgency_signal",), "seg_competitor_pressure": ("competitor_pressure_level",), "seg_temperature": ("lead_temperature",), "seg_price_sensitivity": ("price_sensitivity",), "seg_contact_readiness": ("contact_readiness",), "seg_intent": ("intent_stage",), "seg_risk": ("risk_signal",), "seg_persona": ("persona_profile",), "seg_audience": ("audience_segment",), "seg_all": SEG, "seg_email_provider_null": ("dominant_email_provider", "contains_email")}.items():
     columns_of(_n, "gold", *_c)

@@ -73,9 +73,15 @@ FROM msg WHERE substr(message_id, 12, 1) = '7'
 """
 
 
+def configured(spark: SparkSession) -> SparkSession:
+    """JSON objects with repeated keys are read as their last value, not rejected."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return spark
+
+
 def fixture_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 14-column message table derived from the events table."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts")
+    events = configured(spark).read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts")
     view = f"events_{uuid.uuid4().hex}"
     events.createOrReplaceTempView(view)
     try:
@@ -90,7 +96,7 @@ def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> D
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Messages with their timestamp as a timestamp; text that is none becomes null."""
-    return with_timestamp(spark.read.parquet(path))
+    return with_timestamp(configured(spark).read.parquet(path))
 
 
 def with_timestamp(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from convolake.operators import change as D
 from convolake.operators import checks as Q
 from convolake.operators import gold, silver
 from convolake.plans.columns import Bucket, apply_columns, condition
-from convolake.sources.messages import publish
+from convolake.sources.messages import configured, publish
 
 META = '{"device":"android","city":"Recife","state":"PE","response_time_sec":60,"is_business_hours":true,"lead_source":"ads"}'
 
@@ -81,7 +81,7 @@ def test_tone(spark):
 def test_json_and_quarantine(spark):
     good = ["{}", "[1]", "null", "3", '{"a":1,"a":2}']
     bad = ["", " ", "not-json", '{"a":1} x', "{'a':1}", "{", None, '{"a":1},{"b":2}']
-    d = spark.createDataFrame([(x,) for x in good + bad], "m string").select("m", B.valid_json(F.col("m")).alias("ok"))
+    d = configured(spark).createDataFrame([(x,) for x in good + bad], "m string").select("m", B.valid_json(F.col("m")).alias("ok"))
     assert [r.ok for r in d.collect()] == [True] * len(good) + [False] * len(bad)
     rows = frame(spark, [message(1), message(2, timestamp=None), message(3, metadata="x"), message(4, timestamp=None, metadata="x")])
     kept, gone = B.quarantine(rows)
