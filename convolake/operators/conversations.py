@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,8 +150,6 @@ def normalized_output(df: DataFrame, column: str, vocabulary: tuple[str, ...], s
     """column mapped to the vocabulary: itself, a synonym, or the one word that is close enough (Ratcliff ratio).
 
     The ratio is computed in Python for the distinct values only, which are joined back."""
-    import pandas as pd
-
     token = F.regexp_replace(F.lower(F.trim(column)), r"[\s-]+", "_")
 
     def close(values: pd.Series) -> pd.Series:

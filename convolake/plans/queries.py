@@ -15,11 +15,12 @@ from convolake.operators import change as D
 from convolake.operators import checks as Q
 from convolake.operators import conversations as V
 from convolake.operators import gold as G
+from convolake.operators import publication as P
 from convolake.operators import silver as S
 from convolake.plans.columns import Aggregate, Alias, Bucket, apply_columns, condition, schema_sample
 from convolake.plans.oracle import AUDIENCE, sql
-from convolake.sources.messages import fixture_messages, message_ids
-from convolake.streaming.refresh import replay_ingest, replay_refresh
+from convolake.sources.messages import fixture_messages, message_ids, publish, read_parquet, read_report, scratch_folder, write_parquet, write_report
+from convolake.streaming.refresh import replay_idle, replay_ingest, replay_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,6 +84,32 @@ columns_of("src_bronze", "bronze", "conversation_id", "timestamp", "direction",
 add("src_ids", lambda s, d: message_ids(bronze(s, d)), "SELECT DISTINCT message_id FROM bronze")
 add("snk_quarantine", lambda s, d: B.quarantine(bronze(s, d))[1].select("message_id", "quarantine_reason"),
     """SELECT message_id, concat_ws('|', CASE WHEN "timestamp" IS NULL THEN 'invalid_timestamp' END, CASE WHEN NOT json_ok THEN 'invalid_metadata' END) AS quarantine_reason FROM parsed WHERE "timestamp" IS NULL OR NOT json_ok""")
+
+
+def _through_parquet(s, d):
+    at = scratch_folder(s, "parquet")
+    write_parquet(parsed(s, d).select("message_id", "metadata_city"), at)
+    return read_parquet(s, at)
+
+
+def _through_json(s, d):
+    at = scratch_folder(s, "report")
+    write_report(B.quarantine_counts(bronze(s, d)), at)
+    return read_report(s, at)
+
+
+def _published(s, d):
+    m = silver(s, d)
+    ld = S.silver_leads(m)
+    g = G.gold_leads(ld, m)
+    layers = {"bronze": bronze(s, d), "silver_messages": P.sanitize(m), "silver_leads": ld, "conversations": V.conversation_features(m), "gold": G.public_gold(g), "gold_macro": G.gold_macro(g)}
+    at = publish(layers, scratch_folder(s, "layers"), Q.gold_key_checks(g))
+    return s.read.parquet(at["gold"]).select("lead_key", "intent_stage", "total_messages")
+
+
+add("snk_parquet", _through_parquet, "SELECT message_id, metadata_city FROM parsed")
+add("snk_report_json", _through_json, """SELECT count(*) AS rows, count(*) FILTER ("timestamp" IS NULL) AS invalid_timestamp, count(*) FILTER (NOT json_ok) AS invalid_metadata, count(*) FILTER ("timestamp" IS NULL OR NOT json_ok) AS quarantined FROM parsed""")
+add("snk_published_layers", _published, "SELECT lead_key, intent_stage, total_messages FROM gold")
 # --- bronze -------------------------------------------------------------------------------------------------------------
 META = ("metadata_device", "metadata_city", "metadata_state", "metadata_lead_source", "metadata_response_time_sec", "metadata_is_business_hours")
 columns_of("brz_parse_metadata", "parsed", *META)
@@ -212,7 +239,11 @@ add("mask_body", lambda s, d: silver(s, d).select("message_id", "message_body_ma
 add("mask_known_names", lambda s, d: silver(s, d).select("message_id", T.mask_known_names(T.safe_string(F.col("message_body")), F.col("conversation_lead_name"), F.col("conversation_agent_name")).alias("masked")))
 add("pii_classes", lambda s, d: bronze(s, d).select("message_id", F.array_join(T.pii_classes(F.col("message_body")), ",").alias("classes")).filter("message_id NOT LIKE '%d'").join(silver(s, d).select("message_id"), "message_id"), "SELECT message_id, concat_ws(',', CASE WHEN contains_email THEN 'email' END, CASE WHEN contains_phone THEN 'phone' END, CASE WHEN contains_cpf THEN 'cpf' END, CASE WHEN contains_cep THEN 'cep' END, CASE WHEN contains_plate THEN 'plate' END) AS classes FROM silver WHERE message_id NOT LIKE '%d'")
 add("pii_unmasked_classes", lambda s, d: silver(s, d).filter(F.size(T.unmasked_classes(F.col("message_body_masked"))) > 0).agg(F.count("*").alias("leaks")), "SELECT count(*) AS leaks FROM bronze WHERE FALSE")
-add("pub_sanitize", lambda s, d: silver(s, d).drop("message_body", "sender_name", "sender_phone", "conversation_lead_phone").select("message_id", "sender_name_masked", "sender_phone_masked"), "SELECT message_id, regexp_replace(coalesce(sender_name, ''), '[A-Za-z]', 'X', 'g') AS sender_name_masked, regexp_replace(coalesce(sender_phone, ''), '[0-9]', 'X', 'g') AS sender_phone_masked FROM silver")
+add("drift_report", lambda s, d: B.drift_report(B.drift_policy(B.drift_events(bronze(s, d)), {"message_type": "block"})).filter("events > 0"), "SELECT 'unknown_metadata_key' AS drift_class, 1 AS events, 'passthrough_with_alert' AS policy FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1) UNION ALL SELECT 'category_drift', 1, 'block' FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)")
+add("pub_column_audit", lambda s, d: P.column_audit(P.sanitize(silver(s, d)).drop("sender_name_masked")), "SELECT count(*) AS rows, '' AS forbidden_present, 'sender_name_masked' AS safe_missing FROM silver")
+_safe = ("conversation_id", "timestamp", "direction", "message_type")
+add("pub_safe_keys", lambda s, d: P.sanitize(silver(s, d)).select(*P.safe_keys((*_safe, "sender_phone"))).distinct(), f"""SELECT DISTINCT {', '.join(f'"{k}"' for k in _safe)}, regexp_replace(coalesce(sender_phone, ''), '[0-9]', 'X', 'g') AS sender_phone_masked FROM silver""")
+add("pub_sanitize", lambda s, d: P.sanitize(silver(s, d)).select("message_id", "sender_name_masked", "sender_phone_masked"), "SELECT message_id, regexp_replace(coalesce(sender_name, ''), '[A-Za-z]', 'X', 'g') AS sender_name_masked, regexp_replace(coalesce(sender_phone, ''), '[0-9]', 'X', 'g') AS sender_phone_masked FROM silver")
 # --- signals ------------------------------------------------------------------------------------------------------------
 columns_of("sig_length_words", "silver", "message_length", "word_count", "is_empty_message")
 columns_of("sig_contains_pii", "silver", *[f"contains_{k}" for k in C.FLAGS])
@@ -333,6 +364,7 @@ add("outcome_gap", lambda s, d: D.outcome_gap(bronze(s, d), ("venda_fechada",)),
 # --- streaming ----------------------------------------------------------------------------------------------------------
 add("stream_ingest", lambda s, d: replay_ingest(s, bronze(s, d)), "SELECT DISTINCT message_id FROM bronze")
 add("stream_refresh", lambda s, d: replay_refresh(s, bronze(s, d)).select("lead_key", "message_count", "conversation_count", "latest_outcome"), "SELECT lead_key, message_count, conversation_count, latest_outcome FROM leads")
+add("stream_idle", lambda s, d: replay_idle(s, bronze(s, d)), "SELECT count(DISTINCT message_id) AS rows, 1 AS batches FROM bronze")
 # --- sorts, limits, unions ----------------------------------------------------------------------------------------------
 add("sort_silver_messages", lambda s, d: silver(s, d).orderBy("conversation_id", "timestamp", "message_id").select("conversation_id", "timestamp", "message_id"), """SELECT conversation_id, "timestamp", message_id FROM silver ORDER BY ALL""")
 add("sort_gold_messages", lambda s, d: silver(s, d).orderBy("lead_key", "timestamp", "conversation_id", "message_id").select("lead_key", "timestamp", "message_id"), """SELECT lead_key, "timestamp", message_id FROM silver""")

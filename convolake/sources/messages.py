@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,6 +91,12 @@ def fixture_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.catalog.dropTempView(view)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share: below spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 

@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convolake import contract as C
 from convolake.operators.silver import silver_leads, silver_messages
-
-
-def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+from convolake.sources.messages import scratch_folder
 
 
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -62,7 +55,7 @@ def refresh(spark: SparkSession, bronze: DataFrame, leads: DataFrame, batch: Dat
 
 def replay_ingest(spark: SparkSession, messages: DataFrame) -> DataFrame:
     """The ids that are stored after the messages came in three files, with repeats."""
-    at = _folder(spark)
+    at = scratch_folder(spark, "stream")
     for k in range(3):
         part = messages.filter(F.pmod(F.xxhash64("conversation_id"), F.lit(3)) <= k)
         part.select(*C.REQUIRED_COLUMNS).coalesce(1).write.mode("append").parquet(f"{at}/in")
@@ -71,9 +64,18 @@ def replay_ingest(spark: SparkSession, messages: DataFrame) -> DataFrame:
     return spark.read.schema(C.BRONZE_SCHEMA + ", batch long").parquet(f"{at}/out").select("message_id")
 
 
+def replay_idle(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    """Stored rows and batches after the same source was read twice: the second run finds nothing to do."""
+    at = scratch_folder(spark, "idle")
+    messages.select(*C.REQUIRED_COLUMNS).coalesce(1).write.parquet(f"{at}/in")
+    for _ in range(2):
+        ingest(spark, f"{at}/in", f"{at}/out", f"{at}/checkpoint")
+    return spark.read.schema(C.BRONZE_SCHEMA + ", batch long").parquet(f"{at}/out").agg(F.count("*").alias("rows"), F.count_distinct("batch").alias("batches"))
+
+
 def replay_refresh(spark: SparkSession, messages: DataFrame) -> DataFrame:
     """Leads after the messages of the first half and then those of the second came in, the second as one batch."""
-    at = _folder(spark)
+    at = scratch_folder(spark, "stream")
     late = F.coalesce(F.col("timestamp") >= "2024-01-20", F.lit(False))
     silver = silver_messages(messages.filter(~late))
     silver_leads(silver).write.parquet(f"{at}/leads")
