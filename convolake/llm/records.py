@@ -26,6 +26,7 @@ import struct
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,7 +40,8 @@ from convolake.llm.common import shared_dir, table, written
 
 END_ID = 2
 SHARD_BYTES = 24 << 20
-CACHE_WORDS = 600_000
+#: Words and word cores that a worker keeps.
+CACHE_WORDS, CACHE_CORES = 500_000, 700_000
 _TAIL = ".,!?;:*$%&#|()\"-"
 _META = "<qBB"
 _META_SIZE = struct.calcsize(_META)
@@ -94,8 +96,9 @@ def frames(data: bytes) -> Iterator[tuple[int, memoryview]]:
         at += 16 + size
 
 
-class WordEncoder:
-    """Ids of texts as uint16 or uint32 bytes, word by word, with bounded caches."""
+class WordEncoder(dict):
+    """Ids of words as uint16 or uint32 bytes. Words (and their cores: letters, lower-cased) that come first are kept,
+    CACHE_WORDS and CACHE_CORES of them at most; others are encoded anew."""
 
     def __init__(self, path: str):
         import os
@@ -103,55 +106,50 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.uint16 if max(self.tokenizer.get_vocab_size(), END_ID + 1) <= 1 << 16 else np.uint32
         if not any(isinstance(x, dict) and x.get("type") == "ByteLevel" for x in json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]):
             raise ValueError("a byte-level tokenizer is needed")
-        self.words: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.code = "H" if max(self.tokenizer.get_vocab_size(), END_ID + 1) <= 1 << 16 else "I"
+        self.width = array(self.code).itemsize
         self.cores: dict[str, bytes] = {}
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        """Lower-case letters that the normaliser leaves as they are go straight to the library's BPE model."""
-        out: list[bytes | None] = [None] * len(pieces)
-        model, kind = self.tokenizer.model, self.kind
-        for i, p in enumerate(pieces):
-            if p.isalpha() and p == p.lower() and max(p) < "\u0180":
-                out[i] = np.array([t.id for t in model.tokenize(p.encode().decode("latin-1").translate(_BYTE_LETTERS))], kind).tobytes()
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(rest, self._encode_all([pieces[i] for i in rest]), strict=True):
-            out[i] = x
-        return out
-
-    def _encode_all(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        """Adds words to the cache. Letters with a tail of plain punctuation are the two parts' ids one after the other."""
-        split = []
-        for w in new:
-            core = w.rstrip(_TAIL)
-            if not core.isalpha() or not unicodedata.is_normalized("NFC", core):
-                split.append((w, ""))
-            else:
-                split.append((core.lower() if max(core) < "\u0130" else core, w[len(core) :]))
-        if len(self.cores) > CACHE_WORDS:
-            self.cores.clear()
-        missing = list({p for pair in split for p in pair if p} - self.cores.keys())
-        self.cores.update(zip(missing, self._encode(missing), strict=True))
-        for w, (core, tail) in zip(new, split, strict=True):
-            self.words[w] = self.cores[core] + self.cores[tail] if tail else self.cores[core]
+    def _plain(self, core: str) -> bytes:
+        """Lower-case letters that the normaliser leaves as they are: straight to the library's BPE model."""
+        got = self.cores.get(core)
+        if got is None:
+            letters = core if core.isascii() else core.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            got = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(self.cores) < CACHE_CORES:
+                self.cores[core] = got
+        return got
+
+    def _any(self, word: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        core = word if word.isalpha() else word.rstrip(_TAIL)
+        if core.isalpha() and (core.isascii() or max(core) < "\u0130" and unicodedata.is_normalized("NFC", core)):
+            got = self._plain(core.lower())
+            if len(core) < len(word):
+                tail = word[len(core) :]
+                if (more := self.cores.get(tail)) is None:
+                    more = self._any(tail)
+                    if len(self.cores) < CACHE_CORES:
+                        self.cores[tail] = more
+                got += more
+        else:
+            got = self._any(word)
+        if len(self) < CACHE_WORDS:
+            self[word] = got
+        return got
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.split() if not _ODD.search(t) else [w for w in _BLANKS.split(t) if w] for t in (t or "" for t in texts)]
-        out = []
-        for at in range(0, len(split), 64):
-            part = split[at : at + 64]
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-            if new := set().union(*part) - self.words.keys():
-                self._learn(list(new))
-            get = self.words.__getitem__
-            out += [b"".join(map(get, ws)) for ws in part]
+        get, out = self.__getitem__, []
+        for t in texts:
+            t = t or ""
+            out.append(b"".join(map(get, t.split() if not _ODD.search(t) else filter(None, _BLANKS.split(t)))))
         return out
 
 
@@ -171,8 +169,8 @@ def write_records(docs: DataFrame, folder: str, path: str | None = None, end_id:
         part = TaskContext.get().partitionId()
         store, root = fs.FileSystem.from_uri(folder)
         enc = encoder(path)
-        end = np.array([end_id], enc.kind).tobytes()
-        width = len(end)
+        end = array(enc.code, [end_id]).tobytes()
+        width = enc.width
         sink, name, size, rows, seq = None, "", 0, [], 0
 
         def flush():
