@@ -13,6 +13,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     neighbours (partial minima, so that hubs are no hot spot) and then the label's own label; labels are written after
     each round. It ends when nothing changes."""
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "labels")
     for _ in range(rounds):
         least = both.join(labels.select(F.col("id").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))

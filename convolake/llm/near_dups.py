@@ -9,10 +9,12 @@ are linked where the Jaccard similarity of their sets reaches 0.75; components o
 3. Registers are banded; classes that share a band are candidates. Of each band's bucket the class with most company
    (its hub) is paired with all others, so that a bucket of n gives n - 1 pairs. Pairs pass if the likelihood estimate
    of the similarity, jointly from registers and set sizes, is near enough, and are then confirmed on the full sets.
-4. Buckets whose members are not all connected yet take a further hub, until few unconnected pairs are left; those are
-   all tested. So no link between components goes untested, and no bucket lists all its pairs.
+4. Where a bucket's members are not all connected by then, members in different components are compared inside the join
+   itself: only pairs with enough equal registers (low bytes, counted by bit operations) leave it, to be estimated and
+   confirmed like the others. Buckets with very many open pairs take further hubs first. So no pair of a bucket that lies
+   between components goes unseen, and no bucket lists all its pairs.
 
-Bands find a pair at the threshold with a chance of 1 - 2e-6. Set keys have 128 bits and shingles 64. Defined results:
+Bands, and the count of equal registers, each find a pair at the threshold with a chance of 1 - 2e-6. Set keys have 128 bits and shingles 64. Defined results:
 null texts and texts without words have empty sets, stay alone and are kept; a null doc_id has a null component and is
 kept; rows with the same doc_id share one component; an empty table gives an empty result.
 """
@@ -20,10 +22,11 @@ kept; rows with the same doc_id share one component; an empty table gives an emp
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convolake.llm.common import batch_words, mix, table, written
@@ -32,13 +35,17 @@ from convolake.llm.components import components
 WORDS = 5
 THRESHOLD = 0.75
 BANDS, ROWS = 24, 3
-REGISTERS = BANDS * ROWS
+#: Registers: the first BANDS * ROWS are banded, all are compared. Seven low bytes go into a long.
+LONGS, LANES = 18, 7
+REGISTERS = LONGS * LANES
+#: Equal registers (of 126) that a pair must have: 4.6 standard errors below what the threshold lets expect.
+EQUAL = 72
 BASE = 1.001
 #: Estimates from which pairs are confirmed: about four standard errors below the threshold.
 ESTIMATE = 0.55
-#: Hub rounds go on while more unconnected pairs than this many times the bucket entries are left.
-FEW = 4
-HUB_ROUNDS = 8
+#: Further hubs are taken while more open pairs than this many times the bucket entries are left, and links are found.
+FEW = 2_000
+HUB_ROUNDS = 4
 
 _rng = np.random.Generator(np.random.PCG64(811))
 _TIMES = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64) | np.uint64(1)
@@ -87,19 +94,37 @@ def registers(h: np.ndarray, start: np.ndarray) -> np.ndarray:
     return out
 
 
+def low_bytes(r: np.ndarray) -> np.ndarray:
+    """The low bytes of a row of registers, seven to a long (the eighth byte stays free, so that sums cannot overflow)."""
+    out = np.zeros((LONGS, 8), np.uint8)
+    out[:, :LANES] = (r & 255).astype(np.uint8).reshape(LONGS, LANES)
+    return out.view(np.int64)[:, 0]
+
+
+def equal_registers(a: str, b: str) -> Column:
+    """How many low bytes of the array columns a and b are equal."""
+    ones, tops = int.from_bytes(b"\x7f" * LANES, "little"), int.from_bytes(b"\x80" * LANES, "little")
+
+    def unequal(i: int) -> Column:
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        return F.bit_count((x.bitwiseAND(F.lit(ones)) + F.lit(ones)).bitwiseOR(x).bitwiseAND(F.lit(tops)))
+
+    return F.lit(REGISTERS) - reduce(lambda x, y: x + y, [unequal(i) for i in range(LONGS)])
+
+
 def sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for part in _slices(b):
             h, size = shingles(part["text"].tolist())
             some = np.flatnonzero(size)
             start = (np.cumsum(size) - size)[some]
-            s1, s2, regs = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64), [None] * len(part)
+            s1, s2, regs, low = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64), [None] * len(part), [None] * len(part)
             if len(some):
                 s1[some] = np.add.reduceat(mix(h ^ np.uint64(0x5BD1E995)), start).view(np.int64)
                 s2[some] = np.add.reduceat(mix(h + np.uint64(0x27D4EB2F)), start).view(np.int64)
                 for i, r in zip(some, registers(h, start), strict=True):
-                    regs[i] = r.tobytes()
-            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n": size, "s1": s1, "s2": s2, "regs": regs})
+                    regs[i], low[i] = r.tobytes(), low_bytes(r)
+            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n": size, "s1": s1, "s2": s2, "regs": regs, "low": low})
 
 
 def _slices(b: pd.DataFrame, chars: int = 1 << 19) -> Iterator[pd.DataFrame]:
@@ -146,7 +171,7 @@ def common(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def sketches(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
-    return written(docs.select("doc_id", "text").mapInPandas(sketch_rows, f"doc_id {kind}, n long, s1 long, s2 long, regs binary"), "sketches")
+    return written(docs.select("doc_id", "text").mapInPandas(sketch_rows, f"doc_id {kind}, n long, s1 long, s2 long, regs binary, low array<long>"), "sketches")
 
 
 class Buckets:
@@ -158,19 +183,21 @@ class Buckets:
         full = bands.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
         self.entries = written(bands.join(full, "bucket"), "buckets")
         company = self.entries.groupBy("id").agg(F.sum("size").alias("company"))
-        self.regs = written(classes.select("id", "n", "regs").join(company, "id"), "candidates")
+        self.regs = written(classes.select("id", "n", "regs", "low").join(company, "id"), "candidates")
         ids = self.regs.select(F.col("id").alias("doc_id"))
         self.sets = written(
             docs.select("doc_id", "text").join(ids, "doc_id").mapInPandas(set_rows, f"id {dict(docs.dtypes)['doc_id']}, members binary").dropDuplicates(["id"]), "sets"
         )
-        self.tested = self.links = None
+        self.links = self.comp = None
 
     def labelled(self) -> DataFrame:
-        """bucket, id, comp and company of each entry."""
-        e = self.entries.select("bucket", "id").join(self.regs.select("id", "company"), "id")
-        if self.links is None:
-            return e.withColumn("comp", F.col("id"))
-        return e.join(components(self.links), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        """bucket, id, comp, company, n and low of each entry."""
+        regs = self.regs.select("id", "company", "n", "low")
+        if self.comp is None:
+            regs = regs.withColumn("comp", F.col("id"))
+        else:
+            regs = regs.join(self.comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        return self.entries.select("bucket", "id").join(regs, "id")
 
     def hub_pairs(self, entries: DataFrame, first: bool) -> DataFrame:
         """Each bucket's next hub with the members that are not connected to it. The first hub is the class with most
@@ -186,11 +213,13 @@ class Buckets:
         return entries.join(hubs, "bucket").filter("comp <> hub_comp").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
 
     def all_pairs(self, entries: DataFrame) -> DataFrame:
-        """All pairs of a bucket's members in different components."""
+        """Pairs of a bucket's members in different components that may be similar enough by size and equal registers."""
         mixed = entries.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bucket")
-        e = entries.join(mixed, "bucket").select("bucket", "id", "comp")
-        other = e.select("bucket", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
-        return e.withColumnRenamed("id", "a").join(other, "bucket").filter("a < b AND comp <> comp_b").select("a", "b")
+        e = entries.join(mixed, "bucket").select("bucket", "id", "comp", "n", "low")
+        left = e.select("bucket", F.col("id").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"), F.col("low").alias("low_a"))
+        right = e.select(F.col("bucket").alias("other"), F.col("id").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"), F.col("low").alias("low_b"))
+        may = (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
+        return left.join(right, (F.col("bucket") == F.col("other")) & may & (equal_registers("low_a", "low_b") >= EQUAL)).select("a", "b")
 
     def open_pairs(self, entries: DataFrame) -> int:
         sizes = entries.groupBy("bucket", "comp").agg(F.count("*").cast("double").alias("n"))
@@ -198,21 +227,19 @@ class Buckets:
         return int(got or 0)
 
     def test(self, pairs: DataFrame) -> bool:
-        """Tests pairs that were not tested before; whether new links came of it."""
-        pairs = pairs.distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        self.tested = pairs if self.tested is None else written(self.tested.unionByName(pairs), "tested")
+        """Confirms pairs; whether new links came of it."""
         estimated_, common_ = F.pandas_udf(estimated, "double"), F.pandas_udf(common, "long")
         side = lambda df, x, cols: df.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols])
-        near = pairs.join(side(self.regs, "a", ["n", "regs"]), "a").join(side(self.regs, "b", ["n", "regs"]), "b")
-        near = near.filter((F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b")) & (estimated_("n_a", "n_b", "regs_a", "regs_b") >= ESTIMATE)).select("a", "b", "n_a", "n_b")
+        regs = ["n", "regs", "low"]
+        near = pairs.distinct().join(side(self.regs, "a", regs), "a").join(side(self.regs, "b", regs), "b")
+        near = near.filter((4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & (equal_registers("low_a", "low_b") >= EQUAL))
+        near = near.filter(estimated_("n_a", "n_b", "regs_a", "regs_b") >= ESTIMATE).select("a", "b", "n_a", "n_b")
         shared = near.join(side(self.sets, "a", ["members"]), "a").join(side(self.sets, "b", ["members"]), "b").select("a", "b", "n_a", "n_b", common_("members_a", "members_b").alias("both"))
         links = written(shared.filter(100 * F.col("both") >= 75 * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"), "confirmed")
         if links.isEmpty():
             return False
         self.links = links if self.links is None else self.links.unionByName(links)
+        self.comp = components(self.links)
         return True
 
 
@@ -220,20 +247,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of docs."""
     found = sketches(docs)
     some = found.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = written(some.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.first("regs").alias("regs")), "classes")
-    b = Buckets(docs, classes.groupBy("id").agg(F.first("n").alias("n"), F.first("regs").alias("regs")))
-    entries = b.labelled()
-    b.test(b.hub_pairs(entries, True))
+    classes = written(some.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.first("regs").alias("regs"), F.first("low").alias("low")), "classes")
+    b = Buckets(docs, classes.groupBy("id").agg(F.first("n").alias("n"), F.first("regs").alias("regs"), F.first("low").alias("low")))
+    b.test(b.hub_pairs(b.labelled(), True))
     n = b.entries.count()
     for _ in range(HUB_ROUNDS):
-        entries = written(b.labelled(), "entries")
-        if b.open_pairs(entries) <= FEW * n:
+        entries = b.labelled()
+        if b.open_pairs(entries) <= FEW * n or not b.test(b.hub_pairs(entries, False)):
             break
-        b.test(b.hub_pairs(entries, False))
     b.test(b.all_pairs(written(b.labelled(), "entries")))
     own = some.select("doc_id", "s1", "s2").join(classes.select("s1", "s2", "id"), ["s1", "s2"])
-    if b.links is not None:
-        own = own.join(components(b.links), "id", "left").withColumn("id", F.coalesce("comp", "id"))
+    if b.comp is not None:
+        own = own.join(b.comp, "id", "left").withColumn("id", F.coalesce("comp", "id"))
     comp = own.groupBy("doc_id").agg(F.min("id").alias("component_id"))
     return (
         found.select("doc_id", F.col("n").alias("n_shingles"))
