@@ -6,8 +6,10 @@ set with Jaccard similarity of at least SIMILARITY (0.8). Lines without words st
 1. Words are counted over all texts in a table of 2**20 hashed counters (its size is fixed, so it is broadcast). Counter
    and hash give a total order of words, rare ones first.
 2. Lines with equal sets are one class (counted by partial sums); its first line stands for it.
-3. Each class sends the prefix of its ordered set: sets that are similar enough share a word there. Pairs that share a
-   prefix word must pass the length filter, the positional filter (what can still be shared after that place) and a
+3. Each class sends the prefix of its ordered set: sets that are similar enough share a word there. A line only needs one
+   earlier similar line to go, so of words that occur often (COMMON times, by their counters) the earliest class is first
+   compared with all others (a star, not all pairs); classes that are still in after that are compared with all earlier
+   ones. Pairs that share a prefix word must pass the length filter, the positional filter (what can still be shared after that place) and a
    bitmap filter (the sets' differences are at least the differing bits of 64-bit parity maps), all inside the join.
 4. Surviving pairs are verified on their full sets; the later class is removed.
 
@@ -30,6 +32,8 @@ from convolake.llm.common import batch_words, mix, table, written
 
 SIMILARITY = 0.8
 COUNTERS, CHUNKS, FAN_IN = 1 << 20, 64, 100
+#: Words with more occurrences are common; of the others, all pairs of lines are compared (at most so many to a line).
+COMMON = 64
 _SHIFT = np.uint64(64 - 20)
 
 
@@ -129,7 +133,8 @@ def _prefix_rows(counts, similarity: float):
                 place = np.arange(len(words)) - np.repeat(first, size)
                 reach = size - (-(-(t * size) // 1000)) + 1  # prefix length: size - ceil(t * size) + 1
                 keep = (place < np.repeat(reach, size)) & (count[by] > 1)  # a word that occurs once joins nothing
-                token, place, owner = (words[by][keep] >> np.uint64(32)).astype(np.uint32).view(np.int32), place[keep], number[keep]
+                common = count[by][keep] > COMMON
+                token, place, owner = (words[by][keep] >> np.uint64(32)).astype(np.uint32).view(np.int32), place[keep] | (common << 30), number[keep]
                 cut = np.searchsorted(owner, np.arange(1, len(first)))
                 once = np.unique(s1, return_index=True)[1]
                 tokens, places = np.split(token, cut), np.split(place.astype(np.int32), cut)
@@ -168,6 +173,36 @@ def _with_rid(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__rid", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
+def _candidates(earlier: DataFrame, later: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of entries that share a prefix word and pass the length, positional and bitmap filters, the earlier as a."""
+    c = lambda x, y: F.col(f"{x}.{y}")
+    t = round(similarity * 1000)
+    least = F.ceil(t * (c("a", "n") + c("b", "n")) / (1000 + t) - 1e-9)
+    before = (c("a", "doc") < c("b", "doc")) | ((c("a", "doc") == c("b", "doc")) & ((c("a", "line") < c("b", "line")) | ((c("a", "line") == c("b", "line")) & (c("a", "id") < c("b", "id")))))
+    pairs = earlier.alias("a").join(
+        later.alias("b"),
+        (c("a", "token") == c("b", "token"))
+        & before
+        & (F.bit_count(c("a", "sig").bitwiseXOR(c("b", "sig"))) <= c("a", "n") + c("b", "n") - 2 * least)
+        & (F.least(c("a", "n") - c("a", "place"), c("b", "n") - c("b", "place")) >= least),
+    )
+    return pairs.select(c("a", "id").alias("a"), c("b", "id").alias("b"), c("a", "n").alias("na"), c("b", "n").alias("nb"))
+
+
+def _confirmed(d: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The later classes of pairs whose full sets are similar enough."""
+    t = round(similarity * 1000)
+    pairs = written(pairs.distinct(), "line-pairs")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    at = classes.select("id", "first.*").join(ids, "id").groupBy("doc_id", "rid").agg(F.collect_list(F.struct("id", "line")).alias("asked"))
+    sets = written(d.join(at, ["doc_id", "rid"]).select("text", "asked").mapInPandas(_set_rows, "id long, words binary").dropDuplicates(["id"]), "line-sets")
+    overlap = F.pandas_udf(_overlap, "long")
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("words").alias(f"words_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("b", "na", "nb", overlap("words_a", "words_b").alias("both"))
+    similar = both.filter(1000 * F.col("both") >= t * (F.col("na") + F.col("nb") - F.col("both")))
+    return written(similar.select(F.col("b").alias("id")).distinct(), "later-lines")
+
+
 def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, rid (hash of the text) and line of each line to remove."""
     kind = dict(docs.dtypes)["doc_id"]
@@ -182,34 +217,14 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         .agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first(F.struct("tokens", "places")).alias("prefix"))
     )
     classes = written(first.join(prefixes, ["s1", "s2"]).withColumn("id", F.monotonically_increasing_id()), "line-classes")
-    entry = classes.select("id", "n", "sig", F.explode(F.arrays_zip("prefix.tokens", "prefix.places")).alias("p")).select(
-        F.col("p.tokens").alias("token"), "id", "sig", (F.col("n").cast("long") * (1 << 31) + F.col("p.places")).alias("np")
-    )
-    n, place = lambda x: F.shiftright(f"{x}.np", 31), lambda x: F.col(f"{x}.np").bitwiseAND((1 << 31) - 1)
-    t = round(similarity * 1000)
-    least = F.ceil(t * (n("a") + n("b")) / (1000 + t) - 1e-9)
-    pairs = (
-        entry.alias("a")
-        .join(
-            entry.alias("b"),
-            (F.col("a.token") == F.col("b.token"))
-            & (F.col("a.id") < F.col("b.id"))
-            & (F.bit_count(F.col("a.sig").bitwiseXOR(F.col("b.sig"))) <= n("a") + n("b") - 2 * least)
-            & (F.least(n("a") - place("a"), n("b") - place("b")) >= least),
-        )
-        .select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), n("a").alias("na"), n("b").alias("nb"))
-        .distinct()
+    entries = classes.select("id", "n", "sig", F.col("first.doc_id").alias("doc"), F.col("first.line").alias("line"), F.explode(F.arrays_zip("prefix.tokens", "prefix.places")).alias("p")).select(
+        F.col("p.tokens").alias("token"), "id", "sig", "doc", "line", "n", F.col("p.places").bitwiseAND((1 << 30) - 1).alias("place"), (F.col("p.places") >= 1 << 30).alias("common")
     )
-    pairs = written(pairs, "line-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    at = classes.select("id", "first.*").join(ids, "id").groupBy("doc_id", "rid").agg(F.collect_list(F.struct("id", "line")).alias("asked"))
-    sets = d.join(at, ["doc_id", "rid"]).select("text", "asked").mapInPandas(_set_rows, "id long, words binary").dropDuplicates(["id"])
-    sets = written(sets.join(classes.select("id", "first"), "id"), "line-sets")
-    overlap = F.pandas_udf(_overlap, "long")
-    side = lambda x: sets.select(F.col("id").alias(x), F.col("words").alias(f"words_{x}"), F.col("first").alias(f"first_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "first_a", "first_b", overlap("words_a", "words_b").alias("both"))
-    similar = both.filter(1000 * F.col("both") >= t * (F.col("na") + F.col("nb") - F.col("both")))
-    later = written(similar.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct(), "later-lines")
+    rare, common = entries.filter("not common"), entries.filter("common")
+    earliest = common.groupBy("token").agg(F.min_by("id", F.struct("doc", "line", "id")).alias("id"), F.count("*").alias("size")).filter("size > 1").select("token", "id")
+    near = _candidates(rare, rare, similarity).unionByName(_candidates(common.join(earliest, ["token", "id"]), common, similarity))
+    later = _confirmed(d, classes, near, similarity)
+    later = later.unionByName(_confirmed(d, classes, _candidates(common, common.join(later, "id", "left_anti"), similarity), similarity)).distinct()
     marked = classes.select("id", "s1", "s2", "first", "copies").join(later.withColumn("goes", F.lit(True)), "id", "left")
     marked = marked.filter("goes OR copies > 1").select("s1", "s2", "first", "goes")
     return lines.join(marked, ["s1", "s2"]).filter(F.coalesce("goes", F.lit(False)) | (F.struct("doc_id", "rid", "line") != F.col("first"))).select("doc_id", "rid", "line")
@@ -221,16 +236,20 @@ def _removed(docs: DataFrame, similarity: float) -> DataFrame:
 
 def without_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs with the text of each document less its removed lines; all columns stay (n_chars, if there, is recounted)."""
-    d = docs.withColumn("__own", F.xxhash64(F.coalesce("text", F.lit(""))))
-    r = _removed(docs, similarity)
-    d = d.join(r, (F.col("doc_id") == F.col("__doc")) & (F.col("__own") == F.col("__rid")), "left")
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("removed", i)), "\n")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
-    out = d.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(dict(docs.dtypes)["n_chars"])))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = docs.columns
+    d = docs.select(*[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(columns)], F.col("text").alias("__text"), F.col("doc_id").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__own"))
+    d = d.join(_removed(docs, similarity), (F.col("__id") == F.col("__doc")) & (F.col("__own") == F.col("__rid")), "left")
+    changed = F.col("removed").isNotNull()
+    kept = F.array_join(F.filter(F.split("__text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
+
+    def column(i: int, c: str):
+        if c == "text":
+            return F.when(changed, kept).otherwise(F.col("__text"))
+        if c == "n_chars":
+            return F.when(changed, F.length(kept).cast(dict(docs.dtypes)[c])).otherwise(F.col(f"__in_{i}"))
+        return F.col(f"__in_{i}")
+
+    return d.select(*[column(i, c).alias(c) for i, c in enumerate(columns)])
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
