@@ -1,11 +1,15 @@
 """Operator 10: licence recognition by sentence rules.
 
-A text is cut into sentences (at line ends and after . ! ? followed by a blank), each sentence is normalised and looked
-up among the known licence sentences, and the sequence of identifiers found is matched against ordered rules: a rule
-holds if its identifiers occur in that order. Everything is DataFrame expressions over one scan; nothing is shuffled.
+A text is normalised (lower case, runs of anything but letters and digits as one blank, so comment leaders vanish) with
+its boundaries kept: hard ones after . ! ? and at lines without letters and digits, soft ones at other line ends. A known
+licence sentence is found where it stands between two boundaries; inside it, soft boundaries count as blanks, so wrapped
+sentences are found as well as one-line titles. The leftmost and then longest sentence holds. The sequence of identifiers
+found is matched against ordered rules: a rule holds if its identifiers occur in that order. Everything is DataFrame
+expressions over one scan; nothing is shuffled.
 
 Defined results: a null or empty text, or one without known sentences, has empty lists; a sentence that occurs again
-counts again in the sequence, and a rule is reported once; further columns of the input are ignored.
+counts again in the sequence, and a rule is reported once; further columns of the input are ignored. ORACLE knows
+SENTENCES and RULES and one-line sentences only: it gives the same rows where no text has a wrapped or a further one.
 """
 
 from __future__ import annotations
@@ -71,6 +75,100 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("ccby4.ref", "CC-BY-4.0", ("ccby4.ref",)),
 )
 
+_FREE = "this {} is free software you can redistribute it and or modify it under the terms of the gnu {}general public license "
+_FSF = "as published by the free software foundation "
+_LATER = "either version {} of the license or at your option any later version"
+
+
+def _gnu() -> dict[str, str]:
+    """The grants of the GNU licences, by what they call the work."""
+    out: dict[str, str] = {}
+    for work in ("program", "library", "software", "file"):
+        for kind, name, versions in (("", "gpl", ("2", "3")), ("lesser ", "lgpl", ("2 1", "3")), ("library ", "lgpl", ("2",)), ("affero ", "agpl", ("3",))):
+            for v in versions:
+                start, i = _FREE.format(work, kind), name + v.replace(" ", "")
+                out[start + _FSF + _LATER.format(v)] = f"{i}.grant"
+                out[start + _FSF + f"version {v} of the license"] = out[start + f"version {v} " + _FSF.strip()] = f"{i}.only"
+        for kind, name in (("lesser ", "lgpl"), ("library ", "lgpl"), ("affero ", "agpl")):
+            out[f"see the gnu {kind}general public license for more details"] = f"{name}.see"
+        out[f"this {work} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"] = "gpl.warranty"
+    return out
+
+
+_SPDX = {
+    "isc": "ISC", "0bsd": "0BSD", "bsd 2 clause": "BSD-2-Clause", "bsd 3 clause": "BSD-3-Clause", "mpl 2 0": "MPL-2.0", "epl 1 0": "EPL-1.0", "epl 2 0": "EPL-2.0", "unlicense": "Unlicense", "zlib": "Zlib", "bsl 1 0": "BSL-1.0", "cc0 1 0": "CC0-1.0",
+    **{f"{k} {v.replace('.', ' ')} {w.replace('-', ' ')}": f"{k.upper()}-{v}-{w}" for k, v in (("gpl", "2.0"), ("gpl", "3.0"), ("lgpl", "2.1"), ("lgpl", "3.0"), ("agpl", "3.0")) for w in ("only", "or-later")},
+}
+
+#: Further sentences that only the operator knows.
+FURTHER_SENTENCES: dict[str, str] = _gnu() | {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit.grant",
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": "mit.notice",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "mit.liability",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache2.copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache2.copy",
+    "gnu general public license": "gpl.title",
+    "gnu lesser general public license": "lgpl.title",
+    "gnu affero general public license": "agpl.title",
+    "version 2 june 1991": "gpl2.version",
+    "version 3 29 june 2007": "gpl3.version",
+    "version 2 1 february 1999": "lgpl21.version",
+    "version 3 19 november 2007": "agpl3.version",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd.grant",
+    "all advertising materials mentioning features or use of this software must display the following acknowledgement": "bsd.advert",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd.warranty",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc.grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc.grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd.grant",
+    "isc license": "isc.title",
+    "eclipse public license v 1 0": "epl1.title",
+    "eclipse public license v 2 0": "epl2.title",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html": "epl1.grant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl2.grant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at http www eclipse org legal epl 2 0": "epl2.grant",
+    "mozilla public license version 2 0": "mpl2.title",
+    "this is free and unencumbered software released into the public domain": "unlicense.grant",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib.grant",
+    "boost software license version 1 0 august 17th 2003": "bsl1.title",
+    **{f"spdx license identifier {x}": f"spdx.{x.replace(' ', '-')}" for x in _SPDX},
+}
+
+FURTHER_RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
+    ("mit.grant", "MIT", ("mit.grant",)),
+    ("gpl3.grant", "GPL-3.0-or-later", ("gpl3.grant",)),
+    ("gpl3.only", "GPL-3.0-only", ("gpl3.only",)),
+    ("gpl3.title", "GPL-3.0-only", ("gpl.title", "gpl3.version")),
+    ("gpl2.grant", "GPL-2.0-or-later", ("gpl2.grant",)),
+    ("gpl2.only", "GPL-2.0-only", ("gpl2.only",)),
+    ("gpl2.title", "GPL-2.0-only", ("gpl.title", "gpl2.version")),
+    ("lgpl3.grant", "LGPL-3.0-or-later", ("lgpl3.grant",)),
+    ("lgpl3.only", "LGPL-3.0-only", ("lgpl3.only",)),
+    ("lgpl3.title", "LGPL-3.0-only", ("lgpl.title", "gpl3.version")),
+    ("lgpl21.grant", "LGPL-2.1-or-later", ("lgpl21.grant",)),
+    ("lgpl21.only", "LGPL-2.1-only", ("lgpl21.only",)),
+    ("lgpl21.title", "LGPL-2.1-only", ("lgpl.title", "lgpl21.version")),
+    ("lgpl2.grant", "LGPL-2.0-or-later", ("lgpl2.grant",)),
+    ("lgpl2.only", "LGPL-2.0-only", ("lgpl2.only",)),
+    ("agpl3.grant", "AGPL-3.0-or-later", ("agpl3.grant",)),
+    ("agpl3.only", "AGPL-3.0-only", ("agpl3.only",)),
+    ("agpl3.title", "AGPL-3.0-only", ("agpl.title", "agpl3.version")),
+    ("bsd4", "BSD-4-Clause", ("bsd.source", "bsd.binary", "bsd.advert")),
+    ("isc.grant", "ISC", ("isc.grant",)),
+    ("isc.title", "ISC", ("isc.title",)),
+    ("0bsd.grant", "0BSD", ("0bsd.grant",)),
+    ("epl2.grant", "EPL-2.0", ("epl2.grant",)),
+    ("epl2.title", "EPL-2.0", ("epl2.title",)),
+    ("epl1.grant", "EPL-1.0", ("epl1.grant",)),
+    ("epl1.title", "EPL-1.0", ("epl1.title",)),
+    ("mpl2.title", "MPL-2.0", ("mpl2.title",)),
+    ("unlicense.grant", "Unlicense", ("unlicense.grant",)),
+    ("zlib.grant", "Zlib", ("zlib.grant",)),
+    ("bsl1.title", "BSL-1.0", ("bsl1.title",)),
+    *((f"spdx.{x.replace(' ', '-')}", lic, (f"spdx.{x.replace(' ', '-')}",)) for x, lic in _SPDX.items()),
+)
+
+KNOWN_SENTENCES, KNOWN_RULES = FURTHER_SENTENCES | SENTENCES, RULES + FURTHER_RULES
+
 
 def sentences_of(text: Column) -> Column:
     """The normalised sentences of a text, in order."""
@@ -78,13 +176,26 @@ def sentences_of(text: Column) -> Column:
     return F.transform(cut, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
 
 
-def license_scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES) -> DataFrame:
+def bounded(text: Column) -> Column:
+    """The normalised text with H for its hard and S for its soft boundaries (no capital is left in it otherwise)."""
+    t = F.lower(F.concat(F.lit("\n"), F.coalesce(text, F.lit("")), F.lit("\n")))
+    t = F.regexp_replace(t, r"\bv\.(?=[^a-z0-9]{1,40}[0-9])", "v")  # "v. 2.0" goes on
+    t = F.regexp_replace(t, r"(\n[^a-z0-9\n]*+(?:[0-9]{1,2}|[a-z]{1,3}))\)(?=[ \t])", "$1H")  # marks of a list: a) (1)
+    t = F.regexp_replace(t, r"[.!?](?=[ \t\r\n])", "H")
+    t = F.regexp_replace(t, r"\n[^a-z0-9\n]*+\n[^a-z0-9]*+", "H")
+    t = F.regexp_replace(F.translate(t, "\n", "S"), "[^a-z0-9HS]+", " ")
+    t = F.regexp_replace(F.regexp_replace(t, "[ HS]*H[ HS]*+", "H"), " ?S ?", "S")
+    # the name of an organisation stands for the copyright holder
+    return F.regexp_replace(t, r"(?<=[HS])neither[ S]the[ S]names?[ S]of(?:[ S][a-z0-9]{1,40}){1,20}?[ S]nor[ S]the[ S]names[ S]of[ S](?:its|their|any)[ S]contributors(?=[ S])", "neither the name of the copyright holder nor the names of its contributors")
+
+
+def license_scan(docs: DataFrame, sentences: dict[str, str] = KNOWN_SENTENCES, rules=KNOWN_RULES) -> DataFrame:
     """doc_id, sentence_ids (in order), rules and licenses (both in the order of the rules) of each document."""
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    lengths = F.array(*[F.lit(n) for n in sorted({len(s) for s in sentences})])
-    # a sentence whose length no known one has is dropped before the lookup
-    found = F.transform(F.filter(sentences_of(F.col("text")), lambda s: F.array_contains(lengths, F.length(s))), lambda s: F.element_at(known, s))
-    d = docs.select("doc_id", F.filter(found, lambda x: x.isNotNull()).alias("sentence_ids"))
+    either = "|".join(s.replace(" ", "[ S]") for s in sorted(sentences, key=lambda s: (-len(s), s)))
+    spans = F.regexp_extract_all(bounded(F.col("text")), F.lit(f"(?<=[HS])(?:{either})(?=[HS])"), F.lit(0))
+    found = F.transform(spans, lambda s: F.element_at(known, F.translate(s, "S", " ")))
+    d = docs.select("doc_id", found.alias("sentence_ids"))
     chain = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
     d = d.withColumn("chain", chain)
     pattern = lambda ids: "(,.*)?".join("," + i.replace(".", r"\.") + "(?=,)" for i in ids)

@@ -89,3 +89,69 @@ def test_licenses(spark, docs):
 def test_sentences_cut(spark):
     d = spark.createDataFrame([("Version 2.0. Next one!\n\nA",)], "t string")
     assert d.select(licenses.sentences_of(F.col("t")).alias("s")).first().s == ["version 2 0", "next one", "", "a"]
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 A. N. Other
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+APACHE = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */"""
+GPL = """#    This program is free software: you can redistribute it and/or modify
+#    it under the terms of the GNU General Public License as published by
+#    the Free Software Foundation, either version 3 of the License, or
+#    (at your option) any later version.
+#
+#    This program is distributed in the hope that it will be useful,
+#    but WITHOUT ANY WARRANTY; without even the implied warranty of
+#    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+#    GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+b) Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the University of
+   Somewhere nor the names of its contributors may be used to endorse or promote products
+   derived from this software without specific prior written permission."""
+
+
+def test_wrapped_licenses(spark, docs):
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"
+    lgpl = GPL.replace("program", "library").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")
+    texts = [MIT, APACHE, GPL, BSD, mpl, lgpl, GPL.replace("\n", "\r\n"), GPL.split("#\n")[0].replace("version 3", "version 2"), "not the\nMIT License of\nall", "Apache License\nVersion 2.0, January 2004\n"]
+    got = {r.doc_id: r for r in licenses.license_scan(docs(texts)).collect()}
+    assert got[0].sentence_ids == ["mit.title", "mit.grant", "mit.notice", "mit.warranty"] and got[0].rules == ["mit.full", "mit.title", "mit.grant"]
+    assert got[1].sentence_ids == ["apache2.grant", "apache2.copy", "apache2.warranty", "apache2.see"] and got[1].licenses == ["Apache-2.0"]
+    assert got[2].sentence_ids == got[6].sentence_ids == ["gpl3.grant", "gpl.warranty", "gpl.see"] and got[2].licenses == ["GPL-3.0-or-later"]
+    assert got[3].sentence_ids == ["bsd.grant", "bsd.source", "bsd.binary", "bsd.names"] and got[3].rules == ["bsd3", "bsd2"]
+    assert got[4].licenses == ["MPL-2.0"] and got[5].licenses == ["LGPL-2.1-or-later"] and got[7].licenses == ["GPL-2.0-or-later"]
+    assert got[8].sentence_ids == [] and got[9].rules == ["apache2.title"]
+    long = docs(["\n" * 100_000 + ". " * 100_000 + "neither the name of " + "x " * 50_000, " - \n" * 50_000 + "MIT License"])
+    assert [r.sentence_ids for r in licenses.license_scan(long).orderBy("doc_id").collect()] == [[], ["mit.title"]]
