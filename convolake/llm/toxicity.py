@@ -2,7 +2,9 @@
 
 Words and word stems that mark toxic rows are learned from a bounded sample of labelled training rows (documents whose
 crc32(doc_id) mod 5 is not 0) by document frequency, in Spark. The lexicon (bounded, so its broadcast is too) is held as
-a trie; a Levenshtein automaton walked along it finds misspelled words. Hits are weighed by their surroundings: those
+a trie; a Levenshtein automaton walked along it finds misspelled words, also those spelled with digits or signs: where
+no run of letters of a chunk (what white space and separators leave) is a hit, the whole chunk is looked up as one word.
+Hits are weighed by their surroundings: those
 inside quotation marks or after a reporting word count as quoted, and the densest window of words counts by itself. A
 logistic regression over these few features gives the score.
 
@@ -33,6 +35,10 @@ WINDOW = 12
 CACHE = 400_000
 REPORTING = frozenset("said says say called calls quote quoted quotes wrote word words term citation cité dit dijo sagte".split())
 _WORD = re.compile(r"[^\W\d_]+")
+#: What may be a word with digits or signs for letters: no white space and separators inside, some signs at its ends.
+_CHUNK = re.compile(r"[@$*#+€£&%]?[^\W_](?:[^\s,;:/\\()\[\]{}<>\"“”«»„?=…—–]*[^\W_])?[@$*#+€£&%]?")
+#: Terms and words of fewer letters are too close to other words for a fuzzy match.
+FUZZY_LETTERS = 4
 _QUOTES = re.compile("[\"“”«»„]")
 FEATURES = ("words", "stems", "fuzzy", "terms", "window", "quoted", "length")
 
@@ -78,12 +84,13 @@ class Lexicon:
 
     def __init__(self, words: tuple[str, ...], stems: tuple[str, ...]):
         self.words, self.stems = frozenset(words), frozenset(stems)
-        long = [w for w in words if len(w) >= 5]
+        long = [w for w in words if len(w) >= FUZZY_LETTERS]
         self.trie = Trie(long)
         # with one edit, one half of the term stays whole: at the start or at the end of the word
         self.heads, self.tails = frozenset(w[: len(w) // 2] for w in long), frozenset(w[len(w) // 2 :] for w in long)
         self.head_sizes, self.tail_sizes = sorted({len(x) for x in self.heads}), sorted({len(x) for x in self.tails})
         self.cache: dict[str, str] = {}
+        self.cut: dict[str, tuple[tuple[int, str], ...]] = {}
 
     def kind(self, w: str) -> str:
         """"w", "s", "f" for a word, a stem, a misspelled word; "" for none."""
@@ -99,24 +106,40 @@ class Lexicon:
             return "w"
         if any(w[:k] in self.stems for k in STEMS):
             return "s"
-        if len(w) >= 4 and (any(w[:k] in self.heads for k in self.head_sizes) or any(w[-k:] in self.tails for k in self.tail_sizes)):
+        if len(w) >= FUZZY_LETTERS and (any(w[:k] in self.heads for k in self.head_sizes) or any(w[-k:] in self.tails for k in self.tail_sizes)):
             return "f" if self.trie.near(w, 1) is not None else ""
         return ""
 
+    def parts(self, chunk: str) -> tuple[tuple[int, str], ...]:
+        """Place and text of the words of a chunk: its runs of letters, or itself if only as a whole it is a hit."""
+        if chunk.isalpha():
+            return ((0, chunk),)
+        got = self.cut.get(chunk)
+        if got is None:
+            if len(self.cut) >= CACHE:
+                self.cut.clear()
+            got = tuple((m.start(), m[0]) for m in _WORD.finditer(chunk))
+            if not any(self.kind(w) for _, w in got) and self.kind(chunk):
+                got = ((0, chunk),)
+            self.cut[chunk] = got
+        return got
+
     def features(self, text: str | None) -> list[float]:
         lower = (text or "").lower()
-        found = _WORD.findall(lower)
-        hit = {w for w in set(found) if self.kind(w)}
+        chunks = _CHUNK.findall(lower)
+        parts = {c: self.parts(c) for c in set(chunks)}
+        hit = {w for p in parts.values() for _, w in p if self.kind(w)}
         if not hit:
-            return [0.0] * 6 + [float(np.log1p(len(found)))]
+            return [0.0] * 6 + [float(np.log1p(sum(len(parts[c]) for c in chunks)))]
+        found = [(m.start() + k, w) for m in _CHUNK.finditer(lower) for k, w in parts[m[0]]]
         quotes = [m.start() for m in _QUOTES.finditer(lower)]
         at, quoted, kinds = [], 0, {"w": 0, "s": 0, "f": 0}
-        for i, m in enumerate(_WORD.finditer(lower)):
-            if m[0] in hit:
+        for i, (start, w) in enumerate(found):
+            if w in hit:
                 at.append(i)
-                kinds[self.kind(m[0])] += 1
-                inside = int(np.searchsorted(quotes, m.start())) % 2 == 1 and len(quotes) > 1
-                quoted += inside or bool(REPORTING.intersection(found[max(0, i - 3) : i]))
+                kinds[self.kind(w)] += 1
+                inside = int(np.searchsorted(quotes, start)) % 2 == 1 and len(quotes) > 1
+                quoted += inside or any(x in REPORTING for _, x in found[max(0, i - 3) : i])
         places = np.array(at)
         window = int((np.searchsorted(places, places + WINDOW) - np.arange(len(places))).max())
         logs = [float(np.log1p(x)) for x in (kinds["w"], kinds["s"], kinds["f"], len(hit), window)]

@@ -39,6 +39,25 @@ def test_automaton_finds_misspelled_words():
     assert [lex.kind(w) for w in ("idiot", "idiott", "1diot"[1:], "loweis", "lower", "iidot")] == ["w", "f", "f", "s", "", ""]
 
 
+def test_digits_and_signs_are_letters_of_misspelled_words():
+    terms = ("idiot", "moron", "trash", "stupid", "scum")
+    lex = X.Lexicon(terms, ())
+    fuzzy = lambda t: round(np.expm1(lex.features(t)[2]))
+    for w in ("1diot", "m0ron", "tr@sh", "st*pid", "$cum", "scu*", "sc-um", "scvm", "id1ot"):
+        assert lex.features(f"you ({w}), and more")[:2] == [0, 0] and fuzzy(f"you ({w}), and more") == 1
+    assert lex.features("trash-talk 7moron7 scum's")[0] == np.log1p(3) and fuzzy("trash-talk 7moron7 scum's") == 0
+    assert lex.features("a m0ron b-c 12.5 d_e")[6] == np.log1p(6) and fuzzy("12:30 don't b-c www.x.org m0r0n 2024") == 0
+    for _ in range(2000):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randint(1, 2)):
+            w[rng.randrange(len(w))] = rng.choice("a01@$*xu")
+        w = "".join(w)
+        pieces = [x for x in X._WORD.findall(w) if len(x) >= 4]
+        near = any(distance(x, t) == 1 for x in [*pieces, w] for t in terms)
+        exact = w in terms or any(x in terms for x in pieces)
+        assert exact or (fuzzy(w) > 0) == near, w
+
+
 def test_toxicity_held_out_accuracy(spark, docs):
     words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
     texts, bad = [], []
