@@ -1,11 +1,13 @@
 """Operator 5: SentencePiece encoding with seeded merge dropout, and decoding.
 
 Encoding follows the BPE model's agenda: the best-scored pair of neighbouring symbols (leftmost on ties) merges first.
-With dropout, a candidate merge is skipped if the keyed hash of seed, variant, word and the places of its two parts
-falls under the dropout rate; skipped candidates never come back, so the outcome depends on the key alone. A document's
-variant (one of VARIANTS) is a hash of its id, so equal words are cut differently in different documents, while a worker
-looks up each word of a variant once (bounded caches). No piece has a blank inside, so blanks cut a text into units that
-are encoded apart; many units merge at the same time, one merge each a round, in numpy.
+With dropout, a candidate merge is skipped if the keyed hash of seed, document, occurrence, word and the places of its two
+parts falls under the dropout rate; skipped candidates never come back, so the outcome depends on the key alone. A
+document's variant is a 64-bit hash of its id, an occurrence is its place among the text's units, so every occurrence of a
+word is cut anew. A worker keeps (in bounded caches) each word's pieces without dropout and the candidates on the way
+there: an occurrence that skips none of these has these pieces, any other is merged by itself. No piece has a blank
+inside, so blanks cut a text into units that are encoded apart; many units merge at the same time, one merge each a
+round, in numpy.
 
 Characters without a piece become byte pieces, and so do a text's own U+2581 signs, which makes decoding lossless for
 every text. With a rate of 0 the pieces are those of the sentencepiece library (but for U+2581).
@@ -28,7 +30,9 @@ from pyspark.sql import functions as F
 
 from convolake.llm.common import mix, table
 
-RATE, SEED, VARIANTS = 0.1, 17, 4
+RATE, SEED = 0.1, 17
+#: Variants that tests try; any number of 64 bits is one.
+VARIANTS = 4
 CACHE_UNITS = 300_000
 #: Units that merge at the same time; characters of a unit beyond which it is cut off into a batch of its own.
 ROUND = 8_192
@@ -62,10 +66,18 @@ class PieceCoder:
         self.pair = np.array([x[0] for x in pairs] + [2**62], np.int64)
         self.rank = np.array([x[1] for x in pairs] + [0], np.int64)
         self.merged = np.array([x[2] for x in pairs] + [0], np.int32)
-        self.caches: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-
-    def _candidates(self, sym, nxt, row, at, key, length):
-        """Rank (_NEVER if there is none) and piece of the merge of the symbols at (row, at) and after it."""
+        self._forget()
+
+    def _forget(self) -> None:
+        """Units with their numbers; by number the pieces without dropout, the hash, and the candidates' hashed places."""
+        self.number: dict[str, int] = {}
+        self.whole: list[bytes] = []
+        self.word = self.spots = np.zeros(0, np.uint64)
+        self.first = self.count = np.zeros(0, np.int64)
+
+    def _candidates(self, sym, nxt, row, at, key, length, seen=None):
+        """Rank (_NEVER if there is none) and piece of the merge of the symbols at (row, at) and after it. With seen, none
+        is skipped and rows and hashed places of all are put there."""
         right = nxt[row, at]
         last = right >= length[row]
         right = np.where(last, 0, right)
@@ -76,23 +88,34 @@ class PieceCoder:
         if self.rate > 0:
             end = nxt[row, right]
             spot = (at.astype(np.uint64) << np.uint64(42)) | (right.astype(np.uint64) << np.uint64(21)) | end.astype(np.uint64)
-            found &= mix(key[row] ^ mix(spot + np.uint64(1))) >= self.limit
+            spot = mix(spot + np.uint64(1))
+            if seen is None:
+                found &= mix(key[row] ^ spot) >= self.limit
+            else:
+                seen.append((row[found], spot[found]))
         return np.where(found, self.rank[place], _NEVER), self.merged[place]
 
-    def _merge(self, units: list[str], variant: int) -> list[bytes]:
-        """The piece ids (as uint16 or uint32 bytes) of units of about the same length."""
+    @staticmethod
+    def _words(units: list[str]) -> np.ndarray:
+        return np.fromiter((zlib.crc32(u.encode()) | (zlib.adler32(u.encode()) << 32) for u in units), np.uint64, len(units))
+
+    def _keys(self, words: np.ndarray, variants) -> np.ndarray:
+        return mix(words ^ self.seed ^ (np.asarray(variants).astype(np.uint64) << np.uint64(7)))
+
+    def _merge(self, units: list[str], variant, seen=None) -> list[bytes]:
+        """The piece ids (as uint16 or uint32 bytes) of units of about the same length. variant: of all, or of each."""
         n, width = len(units), max(map(len, units))
         length = np.fromiter(map(len, units), np.int64, n)
         sym = np.full((n, width), -1, np.int32)
         inside = np.arange(width) < length[:, None]
         get = self.char.get
         sym[inside] = np.fromiter((get(c, -1) for u in units for c in u), np.int32, int(length.sum()))
-        key = mix(np.fromiter((zlib.crc32(u.encode()) | (zlib.adler32(u.encode()) << 32) for u in units), np.uint64, n) ^ self.seed ^ np.uint64(variant << 7))
+        key = self._keys(self._words(units), variant) if seen is None else None
         nxt = np.tile(np.arange(1, width + 1), (n, 1))
         prv = np.tile(np.arange(-1, width - 1), (n, 1))
         row, at = np.nonzero(inside)
         rank, piece = np.full((n, width), _NEVER), np.zeros((n, width), np.int32)
-        rank[row, at], piece[row, at] = self._candidates(sym, nxt, row, at, key, length)
+        rank[row, at], piece[row, at] = self._candidates(sym, nxt, row, at, key, length, seen)
         alive, live = inside.copy(), np.arange(n)
         while len(live):
             best = rank[live].argmin(axis=1)
@@ -107,11 +130,11 @@ class PieceCoder:
             alive[live, gone], rank[live, gone] = False, _NEVER
             more = after < length[live]
             prv[live[more], after[more]] = best[more]
-            rank[live, best], piece[live, best] = self._candidates(sym, nxt, live, best, key, length)
+            rank[live, best], piece[live, best] = self._candidates(sym, nxt, live, best, key, length, seen)
             left = prv[live, best]
             has = left >= 0
             r, p = live[has], left[has]
-            rank[r, p], piece[r, p] = self._candidates(sym, nxt, r, p, key, length)
+            rank[r, p], piece[r, p] = self._candidates(sym, nxt, r, p, key, length, seen)
         kind = self.kind
         ids = sym[alive]
         ends = np.cumsum(alive.sum(axis=1))
@@ -134,29 +157,55 @@ class PieceCoder:
             ids += [int(sym[at])] if sym[at] >= 0 else [self.byte[b] for b in unit[at : nxt[at]].encode()]
         return np.array(ids, self.kind).tobytes()
 
-    def _learn(self, new: list[str], cache: dict[str, bytes], variant: int) -> None:
-        new.sort(key=len)
+    def _parts(self, units: list[str], by: list[int]) -> Iterator[list[int]]:
+        """Places of units (by: in order of length) that merge at the same time."""
         at = 0
-        while at < len(new):
-            n = max(1, min(ROUND, (1 << 19) // len(new[min(at + ROUND, len(new)) - 1])))
-            part = new[at : at + n]
-            cache.update(zip(part, self._merge(part, variant), strict=True))
+        while at < len(by):
+            n = max(1, min(ROUND, (1 << 19) // len(units[by[min(at + ROUND, len(by)) - 1]])))
+            yield by[at : at + n]
             at += n
 
+    def _learn(self, new: list[str]) -> None:
+        new.sort(key=len)
+        words, firsts, counts, spots = [self.word], [self.first], [self.count], [self.spots]
+        base = len(self.spots)
+        for part in self._parts(new, list(range(len(new)))):
+            units, seen = [new[i] for i in part], []
+            self.number.update(zip(units, range(len(self.whole), len(self.whole) + len(units)), strict=True))
+            self.whole += self._merge(units, 0, seen)
+            row = np.concatenate([r for r, _ in seen]) if seen else np.zeros(0, np.int64)
+            n = np.bincount(row, minlength=len(units))
+            spots.append(np.concatenate([x for _, x in seen])[np.argsort(row, kind="stable")] if seen else np.zeros(0, np.uint64))
+            words.append(self._words(units))
+            counts.append(n)
+            firsts.append(base + np.cumsum(n) - n)
+            base += int(n.sum())
+        self.word, self.first, self.count, self.spots = map(np.concatenate, (words, firsts, counts, spots))
+
     def encode(self, texts: list[str | None], variants: list[int]) -> list[bytes]:
         """Piece ids of each text, as bytes of self.kind."""
-        out: list[bytes] = [b""] * len(texts)
-        for variant in set(variants):
-            cache = self.caches[variant]
-            mine = [i for i, v in enumerate(variants) if v == variant]
-            units = [_UNIT.findall(" " + texts[i]) if texts[i] else [] for i in mine]
-            if len(cache) > CACHE_UNITS:
-                cache.clear()
-            if new := set().union(*units) - cache.keys():
-                self._learn(list(new), cache, variant)
-            for i, us in zip(mine, units, strict=True):
-                out[i] = b"".join(map(cache.__getitem__, us))
-        return out
+        cut = [_UNIT.findall(" " + t) if t else [] for t in texts]
+        units = [u for us in cut for u in us]
+        if len(self.number) > CACHE_UNITS:
+            self._forget()
+        if new := set(units) - self.number.keys():
+            self._learn(list(new))
+        ids = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        got = list(map(self.whole.__getitem__, ids.tolist()))
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        ends = np.cumsum(sizes)
+        if self.rate > 0 and len(units):
+            place = np.arange(len(units)) - np.repeat(ends - sizes, sizes)
+            keys = mix(np.repeat(np.array([v & (2**64 - 1) for v in variants], np.uint64), sizes) ^ mix(place.astype(np.uint64) + np.uint64(1)))
+            n = self.count[ids]
+            entry = np.arange(int(n.sum())) + np.repeat(self.first[ids] - (np.cumsum(n) - n), n)
+            skipped = mix(np.repeat(self._keys(self.word[ids], keys), n) ^ self.spots[entry]) < self.limit
+            own = np.unique(np.repeat(np.arange(len(units)), n)[skipped])
+            by = own[np.argsort(np.fromiter((len(units[i]) for i in own.tolist()), np.int64, len(own)), kind="stable")].tolist()
+            for part in self._parts(units, by):
+                for i, x in zip(part, self._merge([units[i] for i in part], keys[part]), strict=True):
+                    got[i] = x
+        return [b"".join(got[e - k : e]) for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
@@ -180,12 +229,12 @@ def encoded(docs: DataFrame, path: str | None = None, rate: float = RATE, seed:
                 ids = [np.frombuffer(x, c.kind) for x in c.encode(part["text"].tolist(), part["variant"].tolist())]
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "variant": part["variant"].to_numpy(), "pieces": [x.astype(np.int32) for x in ids], "decoded": [c.decode(x) for x in ids]})
 
-    return _with_variant(docs, seed).mapInPandas(run, f"doc_id {kind}, variant int, pieces array<int>, decoded string")
+    return _with_variant(docs, seed).mapInPandas(run, f"doc_id {kind}, variant long, pieces array<int>, decoded string")
 
 
 def _with_variant(docs: DataFrame, seed: int) -> DataFrame:
-    variant = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(VARIANTS))), F.lit(0))
-    return docs.select("doc_id", "text", variant.cast("int").alias("variant"))
+    variant = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit(seed))), F.lit(0))
+    return docs.select("doc_id", "text", variant.cast("long").alias("variant"))
 
 
 def piece_digests(docs: DataFrame, path: str | None = None, rate: float = RATE, seed: int = SEED) -> DataFrame:
@@ -210,7 +259,7 @@ def piece_digests(docs: DataFrame, path: str | None = None, rate: float = RATE,
                     }
                 )
 
-    return _with_variant(docs, seed).mapInPandas(run, f"doc_id {kind}, variant int, n_pieces long, ids_crc32 long, lossless boolean")
+    return _with_variant(docs, seed).mapInPandas(run, f"doc_id {kind}, variant long, n_pieces long, ids_crc32 long, lossless boolean")
 
 
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -154,6 +154,20 @@ def test_dropout_is_the_agendas_and_lossless():
         assert c.decode(np.frombuffer(c.encode([t], [1])[0], np.uint16)) == t
 
 
+def test_dropout_varies_with_document_and_occurrence(spark, docs):
+    c = P.PieceCoder(P.model_path(), 0.3)
+    text = " ".join(["international connection naïveté"] * 40)
+    for v in (0, 3, 2**64 - 5, -5):
+        units = P._UNIT.findall(" " + text)
+        keys = [int(P.mix(np.array([v & (2**64 - 1)], np.uint64) ^ P.mix(np.array([k + 1], np.uint64)))[0]) for k in range(len(units))]
+        want = [i for u, k in zip(units, keys, strict=True) for i in np.frombuffer(c._merge([u], np.array([k], np.uint64))[0], np.uint16)]
+        assert np.frombuffer(c.encode([text], [v])[0], np.uint16).tolist() == want
+    one = [np.frombuffer(x, np.uint16) for x in c.encode([text, text], [1, 2])]
+    assert one[0].tolist() != one[1].tolist() and all(c.decode(x) == text for x in one)
+    got = P.piece_digests(docs(["international connection understanding"] * 60), rate=0.3).collect()
+    assert len({r.variant for r in got}) == 60 and len({r.ids_crc32 for r in got}) > 4 and all(r.lossless for r in got)
+
+
 def test_piece_digests(spark, docs):
     got = P.piece_digests(docs([*TEXTS, "plain words"], variant="clash", pieces=1)).collect()
     assert all(r.lossless for r in got) and {r.n_pieces for r in got if r.doc_id in (1, 2)} == {0}
