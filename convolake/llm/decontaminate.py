@@ -9,8 +9,11 @@ bands that reach the bound are verified by an alignment inside the band.
 The benchmark is the stated query set: it is taken in blocks of bounded size (BLOCK characters, about), each matched
 against all texts in one pass without a shuffle, so one block's index is all that is ever broadcast.
 
-Defined results: null and empty texts or items match nothing; items of fewer than MIN_CHARS characters cannot be told
-from chance and are left out; items with the same text are each reported; repeated rows are each scanned; item_ids that
+Items of fewer than MIN_CHARS characters get no edits: they are found word for word, where no letter or digit goes on
+beyond them (scripts without blanks aside).
+
+Defined results: null and empty texts or items match nothing; items of fewer than Q characters have no q-gram and are
+left out; items with the same text are each reported; repeated rows are each scanned; item_ids that
 are null are left out. decontaminated() keeps documents without doc_id if they are clean, as any other.
 """
 
@@ -66,11 +69,13 @@ class Index:
 
     def __init__(self, items: tuple[tuple[int, str], ...], edits: float = EDITS):
         found = [(i, codes(t)[0]) for i, t in items]
-        found = [(i, c) for i, c in found if len(c) >= MIN_CHARS]
+        found = [(i, c) for i, c in found if len(c) >= Q]
         self.ids = np.array([i for i, _ in found], np.int64)
         self.codes = [c for _, c in found]
         m = np.array([len(c) for c in self.codes], np.int64)
         self.edits = np.minimum((m * edits).astype(np.int64), (m - Q) // Q)  # the bound stays at 1 or more
+        self.short = m < MIN_CHARS
+        self.edits[self.short] = 0
         self.least = m - Q + 1 - Q * self.edits
         gram = [grams(c) for c in self.codes]
         size = [len(g) for g in gram]
@@ -119,6 +124,11 @@ class Index:
         if not len(item):
             return []
         diagonal, place = spot[enough] - self.place[entry[enough]], self.place[entry[enough]]
+        short = self.short[item]
+        verbatim = self._verbatim(item[short], diagonal[short], c, at) if short.any() else []
+        item, diagonal, place = item[~short], diagonal[~short], place[~short]
+        if not len(item):
+            return verbatim
         band = diagonal // (self.edits[item] + 1)
         code = item * np.int64(1 << 40) + band + (1 << 30)
         code, place = np.concatenate([code, code - 1]), np.concatenate([place, place])
@@ -144,7 +154,29 @@ class Index:
                 near = (i, b // 2) if (i, b // 2) in best else (i, (b - 1) // 2)
                 if near not in best or found[3] < best[near][3]:
                     best[near] = found
-        return _apart(sorted(best.values(), key=lambda x: (x[0], x[3], x[1])))
+        return sorted(verbatim + _apart(sorted(best.values(), key=lambda x: (x[0], x[3], x[1]))))
+
+    def _verbatim(self, item: np.ndarray, diagonal: np.ndarray, c: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The hits of short items, of which all q-grams lie on one diagonal; of an item's overlapping ones the first."""
+        key, count = np.unique(item * np.int64(1 << 40) + diagonal + (1 << 30), return_counts=True)
+        of, start = key >> 40, (key & ((1 << 40) - 1)) - (1 << 30)
+        whole = count >= self.least[of]
+        out, last = [], (-1, 0)
+        for i, d in zip(of[whole].tolist(), start[whole].tolist(), strict=True):
+            end = d + len(self.codes[i])
+            if d < 0 or last[0] == i and d < last[1] or not np.array_equal(c[d:end], self.codes[i]):
+                continue
+            if d > 0 and _goes_on(c[d - 1], c[d]) or end < len(c) and _goes_on(c[end - 1], c[end]):
+                continue
+            last = (i, end)
+            out.append((int(self.ids[i]), int(at[d]), int(at[end - 1]) + 1, 0))
+        return out
+
+
+def _goes_on(a: int, b: int) -> bool:
+    """Whether a word goes on from one code point to the next; scripts without blanks have a word at each character."""
+    alone = lambda x: x >= 0x2E80 or 0xE00 <= x < 0xF00 or 0x1000 <= x < 0x10A0 or 0x1780 <= x < 0x1800
+    return all(0xD800 > x or x > 0xDFFF for x in (a, b)) and chr(a).isalnum() and chr(b).isalnum() and not (alone(a) or alone(b))
 
 
 def _apart(hits: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:

@@ -213,3 +213,25 @@ def test_decontamination_finds_all_within_the_budget(spark, docs):
     clean = {r.doc_id for r in D.decontaminated(docs(texts), bench, block=300).collect()}
     assert clean == set(range(len(texts))) - {i for i, _ in found}
     assert D.contamination(docs(texts), bench.limit(0)).count() == 0
+
+
+def test_short_items_are_found_word_for_word(spark, docs):
+    import re
+
+    items = [(0, "Who wrote it?"), (1, "the seven hills"), (2, "aa aa aa aa"), (3, "tiny"), (4, "the seven hills of Rome and the river"), (5, "谁写了这本关于河的书"), (6, "exactly8")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["So: who  WROTE\nit? The seven hills.", "the seven hillside", "bathe seven hills", "xthe seven hills, the seven hills", "aa " * 9, "tiny", "the seven hells", "The seven hills of Rome and the river", "他问谁写了这本关于河的书吗", "exactly8", "exactly80", None, ""]
+    for _ in range(200):
+        texts.append("".join(rng.choice(["the ", "seven ", "hills", " ", "aa ", "aa", ".", "who wrote it", "?"]) for _ in range(30)))
+    want = set()
+    for i, t in enumerate(texts):
+        flat = re.sub(r"[ \t\n\r\f\v]+", " ", (t or "").lower())
+        for k, item in items:
+            edge = (r"\b" if item[0].isalnum() and ord(item[0]) < 0x2E80 else "", r"\b" if item[-1].isalnum() and ord(item[-1]) < 0x2E80 else "")
+            if len(item) >= 8 and re.search(edge[0] + re.escape(item.lower()) + edge[1], flat):
+                want.add((i, k))
+    rows = D.contamination(docs(texts), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == want and {(0, 0), (0, 1), (3, 1), (7, 4), (8, 5), (9, 6)} <= want and all(r.edits == 0 for r in rows)
+    assert [(r.start, r.stop) for r in rows if (r.doc_id, r.item_id) in ((0, 0), (3, 1))] == [(4, 18), (18, 33)]
+    assert {r.doc_id for r in D.decontaminated(docs(texts), bench).collect()} == set(range(len(texts))) - {i for i, _ in want}
+    assert len(D.Index(((1, "the seven hills"),)).search("the seven hills " * 20_000)) == 20_000
