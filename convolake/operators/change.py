@@ -66,12 +66,12 @@ def distribution_shift(changes: DataFrame, least: float = 0.15) -> DataFrame:
 
 
 def boolean_strings(df: DataFrame) -> DataFrame:
-    """Metadata keys whose values are words for yes or no."""
+    """Metadata keys whose values are strings that say yes or no, with the number of such rows."""
     ok = F.when(valid_json(F.col("metadata")), F.col("metadata"))
-    key = F.explode(F.json_object_keys(ok)).alias("key")
-    d = df.select(ok.alias("m"), key).withColumn("value", F.try_variant_get(F.try_parse_json("m"), "$", "map<string,string>")[F.col("key")])
-    raw = F.lower(F.col("value"))
-    return d.filter(raw.isin("true", "false", "sim", "nao") & F.col("m").rlike(F.concat(F.lit('"'), F.col("key"), F.lit(r'"\s*:\s*"')))).groupBy("key").agg(F.count("*").alias("rows"))
+    d = df.select(ok.alias("m"), F.explode(F.json_object_keys(ok)).alias("key"))
+    value = F.try_variant_get(F.try_parse_json("m"), "$", "map<string,variant>")[F.col("key")]
+    d = d.withColumn("value", value).filter(F.schema_of_variant("value") == "STRING")
+    return d.filter(F.lower(F.try_variant_get("value", "$", "string")).isin("true", "false", "sim", "nao")).groupBy("key").agg(F.count("*").alias("rows"))
 
 
 def key_renames(df: DataFrame) -> DataFrame:

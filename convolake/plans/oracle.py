@@ -24,6 +24,9 @@ def last(value: str, order: str, where: str = "TRUE") -> str:
 
 PHONE = r"(^|[^A-Za-z0-9_])(\+55\s?)?(\(?\d{2}\)?\s?)?(9?\d{4})-?\d{4}($|[^A-Za-z0-9_])"
 PII = {"email": re_("body", C.EMAIL), "phone": re_("body", PHONE, False), "cpf": re_("body", C.CPF, False), "cep": re_("body", C.CEP, False), "plate": re_("body", C.PLATE)}
+_bare = lambda p, masked: f"len(list_filter(regexp_extract_all(body, {q('(?i)' + p)}), lambda x: NOT regexp_full_match(x, {q(masked)}))) > 0"
+#: Whether a body holds personal data that is not masked.
+UNMASKED = f"({_bare(C.EMAIL, '[xX._%+-]+@[xX.-]+[.][xX]{2,}')} OR {_bare(C.PLATE, '[Xx9-]+')} OR {PII['phone']} OR {PII['cpf']} OR {PII['cep']})"
 NORM = lambda c: f"trim(regexp_replace(lower(strip_accents(coalesce({c}, ''))), '[^a-z0-9]+', ' ', 'g'))"
 TIME = '"timestamp" NULLS LAST, message_id'
 LEAD_ORDER = 'conversation_id NULLS LAST, "timestamp" NULLS LAST, message_id NULLS LAST'

@@ -19,6 +19,8 @@ from convolake.operators import publication as P
 from convolake.operators import silver as S
 from convolake.plans.columns import Aggregate, Alias, Bucket, apply_columns, condition, schema_sample
 from convolake.plans.oracle import AUDIENCE, sql
+from convolake.plans.oracle import PII as PII_SQL
+from convolake.plans.oracle import UNMASKED as UNMASKED_SQL
 from convolake.sources.messages import fixture_messages, message_ids, publish, read_parquet, read_report, scratch_folder, write_parquet, write_report
 from convolake.streaming.refresh import replay_idle, replay_ingest, replay_refresh
 
@@ -237,7 +239,8 @@ add("mask_email", lambda s, d: bronze(s, d).select("message_id", T.mask_email(F.
 add("mask_plate", lambda s, d: bronze(s, d).select("message_id", T.mask_plate(F.col("message_body")).alias("masked")), "SELECT message_id, regexp_replace(coalesce(message_body, ''), 'ABC[0-9][A-Z][0-9]{2}', 'XXX9X99') AS masked FROM bronze")
 add("mask_body", lambda s, d: silver(s, d).select("message_id", "message_body_masked", (F.length("message_body_masked") == F.length(T.safe_string(F.col("message_body")))).alias("same_length")))
 add("mask_known_names", lambda s, d: silver(s, d).select("message_id", T.mask_known_names(T.safe_string(F.col("message_body")), F.col("conversation_lead_name"), F.col("conversation_agent_name")).alias("masked")))
-add("pii_classes", lambda s, d: bronze(s, d).select("message_id", F.array_join(T.pii_classes(F.col("message_body")), ",").alias("classes")), "SELECT message_id, concat_ws(',', CASE WHEN contains_email THEN 'email' END, CASE WHEN contains_phone THEN 'phone' END, CASE WHEN contains_cpf THEN 'cpf' END, CASE WHEN contains_cep THEN 'cep' END, CASE WHEN contains_plate THEN 'plate' END) AS classes FROM silver WHERE message_id NOT LIKE '%d'")
+_classes = ", ".join(f"CASE WHEN {p} THEN '{k}' END" for k, p in PII_SQL.items())
+add("pii_classes", lambda s, d: bronze(s, d).select("message_id", F.array_join(T.pii_classes(F.col("message_body")), ",").alias("classes")), f"SELECT message_id, concat_ws(',', {_classes}) AS classes FROM (SELECT message_id, coalesce(message_body, '') AS body FROM bronze)")
 add("pii_unmasked_classes", lambda s, d: silver(s, d).filter(F.size(T.unmasked_classes(F.col("message_body_masked"))) > 0).agg(F.count("*").alias("leaks")), "SELECT count(*) AS leaks FROM bronze WHERE FALSE")
 add("drift_report", lambda s, d: B.drift_report(B.drift_policy(B.drift_events(bronze(s, d)), {"message_type": "block"})).filter("events > 0"), "SELECT 'unknown_metadata_key' AS drift_class, 1 AS events, 'passthrough_with_alert' AS policy FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1) UNION ALL SELECT 'category_drift', 1, 'block' FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)")
 add("pub_column_audit", lambda s, d: P.column_audit(P.sanitize(silver(s, d)).drop("sender_name_masked")), "SELECT count(*) AS rows, '' AS forbidden_present, 'sender_name_masked' AS safe_missing FROM silver")
@@ -300,7 +303,7 @@ VOCABULARY = ("fechado", "perdido", "sem_interesse", "venda_fechada", "em_negoci
 _outcomes = lambda s, d: bronze(s, d).filter("conversation_outcome IS NOT NULL").select("message_id", F.concat("conversation_outcome", F.when(F.col("direction") == "inbound", "").otherwise("s")).alias("outcome"))
 add("out_normalize", lambda s, d: V.normalized_output(_outcomes(s, d), "outcome", VOCABULARY, {"proposta_enviada": "em_negociacao"}).select("message_id", "outcome", "outcome_normalized"))
 add("out_validate", lambda s, d: V.first_violation(silver(s, d), {"direction": ("inbound",), "message_type": ("text", "image")}, "message_body").select("message_id", "violation"),
-    "SELECT message_id, CASE WHEN direction NOT IN ('inbound') THEN 'vocabulary:direction' WHEN message_type NOT IN ('text', 'image') THEN 'vocabulary:message_type' WHEN message_length > 280 THEN 'too_long' END AS violation FROM silver WHERE direction NOT IN ('inbound') OR message_type NOT IN ('text', 'image') OR NOT (contains_email OR contains_phone OR contains_cpf OR contains_cep OR contains_plate)")
+    f"SELECT message_id, CASE WHEN direction NOT IN ('inbound') THEN 'vocabulary:direction' WHEN message_type NOT IN ('text', 'image') THEN 'vocabulary:message_type' WHEN message_length > 280 THEN 'too_long' WHEN {UNMASKED_SQL} THEN 'pii' END AS violation FROM silver")
 add("out_error_summary", lambda s, d: silver(s, d).select("conversation_id", F.concat_ws(":", "channel", "status", "message_type").alias("e")).distinct().groupBy("conversation_id").agg(F.array_join(F.array_sort(F.collect_list("e")), " | ").alias("errors")), "SELECT conversation_id, string_agg(e, ' | ' ORDER BY e) AS errors FROM (SELECT DISTINCT conversation_id, concat_ws(':', channel, status, message_type) AS e FROM silver) GROUP BY 1")
 # --- checks -------------------------------------------------------------------------------------------------------------
 _row = lambda layer, check, n: f"SELECT '{layer}' AS layer, '{check}' AS \"check\", CASE WHEN v = 0 THEN 'passed' ELSE 'failed' END AS status, v AS violating_rows FROM (SELECT CAST({n[0]} AS BIGINT) AS v FROM {n[1]})"
