@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,9 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset (tests)."""
+    """The folder that spark.checkpoint.dir names; a temporary one only where that is unset and Spark runs in one process
+    (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own_dir:
             _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
@@ -29,12 +33,38 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Spark removes a query's shuffle files when it ends (else when the driver happens to collect its garbage).
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: cuts lineage, and survives the loss of any executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """df as a table in the shared folder: cuts lineage, and survives the loss of any executor. The shuffle files behind
+    it go once it is written."""
+    return Scratch(df.sparkSession).written(df, name)
+
+
+class Scratch:
+    """Tables in the shared folder that are emptied again when the work that needs them is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(_CLEANUP) if before is None else self.spark.conf.set(_CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Writes nothing over each table, which any store that Spark writes to can do."""
+        for path in self.paths:
+            self.spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
+        self.paths = []
 
 
 def bind(value: Column, body) -> Column:

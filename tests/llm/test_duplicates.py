@@ -51,7 +51,8 @@ def components(texts):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in range(len(texts))}
 
 
-def test_near_duplicates(spark, docs):
+@pytest.mark.parametrize("sizes", [{}, {"best": 1, "tile": 5}])
+def test_near_duplicates(spark, docs, sizes):
     base = prose(200)
     texts = [edited(base, rng.randint(0, 7)) for _ in range(60)] + [prose(80)] * 5 + ["a b c", "A  b c", "a b", "", None, " \n"]
     chain = prose(150)
@@ -60,8 +61,10 @@ def test_near_duplicates(spark, docs):
         texts.append(chain)
     rng.shuffle(texts)
     d = docs(texts, n="x", regs=1, comp="y").repartition(3)
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dups.near_duplicates(d).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dups.near_duplicates(d, **sizes).collect()}
     assert got == components(texts)
+    if sizes:
+        return
     kept = near_dups.without_near_duplicates(d)
     assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {i for i, v in got.items() if v[2]}
 
@@ -75,6 +78,40 @@ def test_near_duplicates_edges(spark, docs):
     assert [(r.component_id, r.kept) for r in near_dups.near_duplicates(twice).collect()] == [(0, True)] * 2
 
 
+def test_rows_with_one_doc_id_are_one_node(spark, docs):
+    a, b = prose(60), prose(60)
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (4, prose(60)), (4, None), (1, a)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_dups.near_duplicates(d).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)}
+    kept = near_dups.without_near_duplicates(d).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id == 1) == [(1, min(a, b))] and {r.doc_id for r in kept} == {1, 4}
+
+
+def test_many_pairs_just_below_the_threshold(spark, docs):
+    """A bucket of documents that all share about 0.7 with each other, a few of them linked: the second comparison."""
+    base = prose(120)
+    texts = [edited(base, 4) for _ in range(60)]
+    texts += [edited(t, 1) for t in texts[:9]] + [base]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dups.near_duplicates(docs(texts).repartition(3), best=1, tile=16).collect()}
+    assert got == components(texts)
+
+
+def test_registers_merge_and_bands_find_pairs():
+    r = np.random.default_rng(3)
+    found = wide = 0
+    for _ in range(300):
+        h = r.integers(0, 2**64, 460, dtype=np.uint64)
+        a, b = np.sort(h[:402]), np.sort(h[57:])  # 345 of 460 values are shared: just the threshold
+        x, y = near_dups.registers(np.concatenate((a, b)), np.array([0, len(a)]), near_dups.WIDE)
+        union = near_dups.registers(np.sort(h), np.array([0]), near_dups.WIDE)[0]
+        assert (near_dups.merged(x, y) == union).all()
+        n, k = near_dups.BANDS, near_dups.ROWS
+        found += (x[: n * k].reshape(n, k) == y[: n * k].reshape(n, k)).all(axis=1).any() and ((x ^ y)[: near_dups.REGISTERS] & 255 == 0).sum() >= near_dups.EQUAL
+        wide += ((x ^ y) & 255 == 0).sum() >= near_dups.WIDE_EQUAL
+    assert found == 300 and wide == 300
+
+
 def test_estimate_is_close():
     a, b = list(range(1000)), list(range(200, 1200))
     h = near_dups.mix(np.array(a + b, np.uint64) + np.uint64(1))
@@ -99,16 +136,19 @@ def removed_lines(texts):
     return out
 
 
-def test_line_dedup(spark, docs):
+@pytest.mark.parametrize("sizes", [{}, {"common": 12, "best": 1}, {"common": 4, "tile": 3, "best": 1, "sent": 0}])
+def test_line_dedup(spark, docs, sizes):
     base = [prose(rng.randint(1, 40)) for _ in range(60)]
     texts = ["\n".join(edited(rng.choice(base), rng.randint(0, 3)) if rng.random() < 0.7 else prose(12) for _ in range(8)) for _ in range(40)]
     texts += [texts[0], None, "", "\n\n", "same\nsame\nSAME same", "x " * 5000]
     d = docs(texts, line=1, rid="x", removed=2).repartition(3)
     want = removed_lines(texts)
     got = defaultdict(list)
-    for r in line_dups.duplicate_lines(d).collect():
-        got[r.doc_id].append(r.line)
-    assert {i: sorted(v) for i, v in got.items()} == dict(want)
+    for r in line_dups.duplicate_lines(d, **sizes).collect():
+        got[r.doc_id] += r.removed
+    assert got == want
+    if sizes:
+        return
     out = line_dups.without_duplicate_lines(d)
     assert out.columns == d.columns
     for r in out.collect():
@@ -135,19 +175,34 @@ def brute_repeats(texts, n=repeats.LENGTH):
     return out
 
 
-@pytest.mark.parametrize("bucket, chunk, piece", [(20_000, 4096, 1 << 20), (20, 16, 1500)])
-def test_repeats(spark, docs, monkeypatch, bucket, chunk, piece):
-    monkeypatch.setattr(repeats, "BUCKET", bucket)
-    monkeypatch.setattr(repeats, "CHUNK", chunk)
-    monkeypatch.setattr(repeats, "PIECE", piece)
+@pytest.mark.parametrize("sizes", [{}, {"bucket": 20, "group": 5}])
+def test_repeats(spark, docs, sizes):
     base = prose(300)
     texts = [edited(base, rng.randint(1, 6)) for _ in range(40)] + [base] * 3 + ["a" * 1000, "ab" * 500, "a" * 399, "a" * 400, "b" * 401, "", None]
     texts += ["x" * 400 + "y" + "x" * 400] + [prose(60) + base[300 : 300 + rng.randint(350, 700)] + prose(60) for _ in range(10)]
     d = docs(texts, rid="clash", pos=1).repartition(3)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in repeats.remove_repeats(d).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in repeats.remove_repeats(d, **sizes).collect()}
     assert [got[i] for i in range(len(texts))] == brute_repeats(texts)
 
 
+def test_multikey_sort():
+    r = np.random.default_rng(5)
+    m = r.integers(0, 3, (3000, 16)).astype(np.uint8)
+    m[500:1500] = m[7]
+    assert [m[i].tobytes() for i in repeats.multikey_sort(m)] == sorted(x.tobytes() for x in m)
+    g = r.integers(0, 4, 3000)
+    assert [(g[i], m[i].tobytes()) for i in repeats.multikey_sort(m, g)] == sorted((k, x.tobytes()) for k, x in zip(g, m, strict=True))
+
+
+def test_long_texts_are_cut_with_overlap(monkeypatch):
+    monkeypatch.setattr(repeats, "PIECE", 1500)
+    base = prose(900)
+    whole = [repeats.window_anchors(np.frombuffer(base.encode(), np.uint8), np.array([len(base.encode())]))]
+    got = repeats.anchor_rows(iter([__import__("pandas").DataFrame({"rid": [1], "text": [base]})]))
+    starts = {p - d for b in got for p, lo, hi in zip(b["pos"], b["dlo"], b["dhi"], strict=True) for d in range(lo, hi + 1)}
+    assert starts == {x for a, first, last, *_ in whole for f, t in zip(first, last, strict=True) for x in range(f, t + 1)}
+
+
 def test_repeats_edges(spark, docs):
     assert repeats.remove_repeats(docs([])).count() == 0
     twice = docs(["q" * 10 + prose(100)])
