@@ -3,53 +3,56 @@
 A document's set holds its distinct shingles of five words (A-Z lower-cased); a shorter text is one shingle. Documents
 are linked where the Jaccard similarity of their sets reaches 0.75; components of linked documents share an id.
 
-1. Each document gets REGISTERS minima of exponentially spaced hash values, truncated to 16 bits (SetSketch: mergeable,
-   and equal with a chance of about the similarity), and a 128-bit key of its whole set.
-2. Documents with equal sets are one class from here on; its smallest id stands for it.
+1. Each document gets REGISTERS minima of exponentially spaced hash values, truncated to 16 bits (SetSketch: merged() takes
+   the registers of a union, and registers are equal with a chance of about the similarity), and a 128-bit key of its set.
+2. Documents with equal sets are one class from here on.
 3. Registers are banded; classes that share a band are candidates. Of each band's bucket the class with most company
    (its hub) is paired with all others, so that a bucket of n gives n - 1 pairs. Pairs pass if the likelihood estimate
    of the similarity, jointly from registers and set sizes, is near enough, and are then confirmed on the full sets.
-4. Where a bucket's members are not all connected by then, members in different components are compared inside the join
-   itself: only pairs with enough equal registers (low bytes, counted by bit operations) leave it, to be estimated and
-   confirmed like the others. Buckets with very many open pairs take further hubs first. So no pair of a bucket that lies
-   between components goes unseen, and no bucket lists all its pairs.
-
-Bands, and the count of equal registers, each find a pair at the threshold with a chance of 1 - 2e-6. Set keys have 128 bits and shingles 64. Defined results:
-null texts and texts without words have empty sets, stay alone and are kept; a null doc_id has a null component and is
-kept; rows with the same doc_id share one component; an empty table gives an empty result.
+4. Where a bucket's members are not all connected by then, those outside its largest component are compared with all
+   members of other components, within the bucket (large buckets are dealt over tiles: pairs of blocks). Of the partners
+   with enough equal registers (low bytes), the BEST are passed on, to be estimated and confirmed like the others.
+5. Classes that had more partners than were passed on are compared once more with all members of their buckets in other
+   components, by WIDE registers instead: few pairs below the threshold pass these, and all that do are confirmed.
+
+Bands, and either count of equal registers, each miss a pair at the threshold with a chance of about 2e-6. Set keys have
+128 bits and shingles 64. Defined results: null texts and texts without words have empty sets, stay alone and are kept;
+a null doc_id has a null component and is kept; rows with the same doc_id are one node, whatever their texts; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from convolake.llm.common import batch_words, mix, table, written
+from convolake.llm.common import Scratch, batch_words, mix, table, written
 from convolake.llm.components import components
+from convolake.llm.groups import apart, arranged, by_groups, tiled
 
 WORDS = 5
 THRESHOLD = 0.75
 BANDS, ROWS = 24, 3
-#: Registers: the first BANDS * ROWS are banded, all are compared. Seven low bytes go into a long.
-LONGS, LANES = 18, 7
-REGISTERS = LONGS * LANES
-#: Equal registers (of 126) that a pair must have: 4.6 standard errors below what the threshold lets expect.
-EQUAL = 72
+#: Registers: the first BANDS * ROWS are banded, all are compared; WIDE of them where these leave too much open.
+REGISTERS, WIDE = 126, 1_024
+#: Equal low bytes that a pair must have: 4.6 standard errors below what the threshold lets expect.
+EQUAL, WIDE_EQUAL = 72, 705
 BASE = 1.001
 #: Estimates from which pairs are confirmed: about four standard errors below the threshold.
 ESTIMATE = 0.55
-#: Further hubs are taken while more open pairs than this many times the bucket entries are left, and links are found.
-FEW = 2_000
-HUB_ROUNDS = 4
+#: Partners that a bucket passes on for a class at first; classes in a block of a large bucket.
+BEST, TILE = 2, 512
+#: Bytes of registers that are compared at a time.
+BYTES = 1 << 24
 
 _rng = np.random.Generator(np.random.PCG64(811))
-_TIMES = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64) | np.uint64(1)
-_PLUS = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64)
+_TIMES = _rng.integers(0, 2**64, WIDE, dtype=np.uint64) | np.uint64(1)
+_PLUS = _rng.integers(0, 2**64, WIDE, dtype=np.uint64)
 _PLACE = _rng.integers(0, 2**64, WORDS, dtype=np.uint64) | np.uint64(1)
 
 
@@ -84,32 +87,23 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return h[new], np.bincount(owner[new], minlength=n)
 
 
-def registers(h: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """SetSketch registers of the sets that begin at start in h (none is empty): REGISTERS columns of 16 bits."""
-    out = np.empty((len(start), REGISTERS), np.uint16)
-    for i in range(REGISTERS):
+def registers(h: np.ndarray, start: np.ndarray, count: int = REGISTERS) -> np.ndarray:
+    """SetSketch registers of the sets that begin at start in h (none is empty): count columns of 16 bits."""
+    out = np.empty((len(start), count), np.uint16)
+    for i in range(count):
         least = np.minimum.reduceat(h * _TIMES[i] + _PLUS[i], start)
         exponential = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64)
         out[:, i] = np.clip(np.floor(1 - np.log(np.maximum(exponential, 1e-300)) / np.log(BASE)) + 20_000, 0, 65_535)
     return out
 
 
-def low_bytes(r: np.ndarray) -> np.ndarray:
-    """The low bytes of a row of registers, seven to a long (the eighth byte stays free, so that sums cannot overflow)."""
-    out = np.zeros((LONGS, 8), np.uint8)
-    out[:, :LANES] = (r & 255).astype(np.uint8).reshape(LONGS, LANES)
-    return out.view(np.int64)[:, 0]
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The registers of the union of two sets."""
+    return np.maximum(a, b)
 
 
-def equal_registers(a: str, b: str) -> Column:
-    """How many low bytes of the array columns a and b are equal."""
-    ones, tops = int.from_bytes(b"\x7f" * LANES, "little"), int.from_bytes(b"\x80" * LANES, "little")
-
-    def unequal(i: int) -> Column:
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        return F.bit_count((x.bitwiseAND(F.lit(ones)) + F.lit(ones)).bitwiseOR(x).bitwiseAND(F.lit(tops)))
-
-    return F.lit(REGISTERS) - reduce(lambda x, y: x + y, [unequal(i) for i in range(LONGS)])
+def low_bytes(r: np.ndarray) -> list[bytes]:
+    return [x.tobytes() for x in (r & 255).astype(np.uint8)]
 
 
 def sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,10 +114,10 @@ def sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             start = (np.cumsum(size) - size)[some]
             s1, s2, regs, low = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64), [None] * len(part), [None] * len(part)
             if len(some):
-                s1[some] = np.add.reduceat(mix(h ^ np.uint64(0x5BD1E995)), start).view(np.int64)
-                s2[some] = np.add.reduceat(mix(h + np.uint64(0x27D4EB2F)), start).view(np.int64)
-                for i, r in zip(some, registers(h, start), strict=True):
-                    regs[i], low[i] = r.tobytes(), low_bytes(r)
+                s1[some], s2[some] = set_keys(h, start)
+                r = registers(h, start)
+                for i, x, y in zip(some, r, low_bytes(r), strict=True):
+                    regs[i], low[i] = x.tobytes(), y
             yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n": size, "s1": s1, "s2": s2, "regs": regs, "low": low})
 
 
@@ -136,12 +130,35 @@ def _slices(b: pd.DataFrame, chars: int = 1 << 19) -> Iterator[pd.DataFrame]:
         yield b.iloc[a:e]
 
 
+def set_keys(h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.add.reduceat(mix(h ^ np.uint64(0x5BD1E995)), start).view(np.int64), np.add.reduceat(mix(h + np.uint64(0x27D4EB2F)), start).view(np.int64)
+
+
 def set_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sets of the classes that texts stand for (asked: their ids and keys)."""
     for b in batches:
         for part in _slices(b):
             h, size = shingles(part["text"].tolist())
-            ends = np.cumsum(size)
-            yield pd.DataFrame({"id": part["doc_id"].to_numpy(), "members": [h[e - n : e].tobytes() for e, n in zip(ends, size, strict=True)]})
+            some = np.flatnonzero(size)
+            start = (np.cumsum(size) - size)[some]
+            ids, members = [], []
+            if len(some):
+                asked = part["asked"].tolist()
+                for i, at, k1, k2 in zip(some, start, *set_keys(h, start), strict=True):
+                    for x in asked[i]:
+                        if x["s1"] == k1 and x["s2"] == k2:
+                            ids.append(x["id"])
+                            members.append(h[at : at + size[i]].tobytes())
+            yield pd.DataFrame({"id": np.array(ids, np.int64), "members": members})
+
+
+def wide_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for a in range(0, len(b), 64):
+            part = b.iloc[a : a + 64]
+            size = part["members"].str.len().to_numpy() // 8
+            h = np.frombuffer(b"".join(part["members"]), np.uint64)
+            yield pd.DataFrame({"id": part["id"].to_numpy(), "low": low_bytes(registers(h, np.cumsum(size) - size, WIDE))})
 
 
 _GRID = np.linspace(0, 1, 201)
@@ -169,109 +186,188 @@ def common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(a, b, strict=True)], dtype="int64")
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    kind = dict(docs.dtypes)["doc_id"]
-    return written(docs.select("doc_id", "text").mapInPandas(sketch_rows, f"doc_id {kind}, n long, s1 long, s2 long, regs binary, low array<long>"), "sketches")
+def _compared(least: int, best: int | None):
+    """Of rows of complete buckets (bucket, id, comp, n, low; asked if best is None): pairs of members of different
+    components with at least so many equal low bytes. Who asks for partners are the members outside a bucket's largest
+    component or, if best is None, those marked asked, for whom all partners are passed on, each pair by the bucket of
+    the first band that it shares (regs: the banded registers)."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch | None:
+        bucket, ids, comp, n = (rows.column(c).to_numpy() for c in ("bucket", "id", "comp", "n"))
+        by = np.lexsort((n, bucket))
+        bucket, ids, comp, n = bucket[by], ids[by], comp[by], n[by]
+        group = np.cumsum(np.concatenate(([True], bucket[1:] != bucket[:-1]))) - 1
+        if best is None:
+            askers = np.flatnonzero(rows.column("asked").to_numpy(zero_copy_only=False)[by])
+        else:
+            at = np.lexsort((comp, group))
+            new = np.flatnonzero(np.concatenate(([True], (np.diff(group[at]) != 0) | (np.diff(comp[at]) != 0))))
+            size = np.diff(np.append(new, len(at)))
+            order = np.lexsort((size, group[at][new]))
+            last = np.flatnonzero(np.append(np.diff(group[at][new][order]) != 0, True))
+            main = comp[at][new][order][last]
+            askers = np.flatnonzero(comp != main[group])
+        if not len(askers):
+            return None
+        low = rows.column("low").combine_chunks()
+        low = np.frombuffer(b"".join(low.to_pylist()), np.uint8).reshape(len(by), -1)[by]
+        if best is None:
+            band = rows.column("band").to_numpy()[by]
+            banded = np.frombuffer(b"".join(rows.column("regs").to_pylist()), np.uint16).reshape(len(by), BANDS, ROWS)[by]
+        own = apart(rows, group, by)
+        span = np.int64(n.max() * 2 + 2)
+        code = group * span + n
+        from_ = np.searchsorted(code, group[askers] * span + -(-3 * n[askers] // 4))
+        to = np.searchsorted(code, group[askers] * span + 4 * n[askers] // 3, side="right")
+        count = to - from_
+        step = max(1, BYTES // low.shape[1])
+        found = []
+        edges = np.unique(np.minimum(np.searchsorted(np.cumsum(count), np.arange(step, count.sum() + step, step)) + 1, len(askers)))
+        a = 0
+        for e in edges:
+            owner, k = arranged(count[a:e])
+            i, j = askers[a:e][owner], from_[a:e][owner] + k
+            other = (comp[i] != comp[j]) & own(i, j)
+            i, j = i[other], j[other]
+            for c in range(0, len(i), step):
+                x, y = i[c : c + step], j[c : c + step]
+                equal = (low[x] == low[y]).sum(axis=1)
+                ok = np.flatnonzero(equal >= least)
+                if best is None:
+                    ok = ok[(banded[x[ok]] == banded[y[ok]]).all(axis=2).argmax(axis=1) == band[x[ok]]]
+                found.append((x[ok], y[ok], equal[ok]))
+            a = e
+        if not found:
+            return None
+        i, j, equal = (np.concatenate(x) for x in zip(*found, strict=True))
+        more = np.zeros(len(i), bool)
+        if best is not None and len(i):
+            order = np.lexsort((ids[j], -equal, i))
+            i, j = i[order], j[order]
+            start = np.flatnonzero(np.diff(i, prepend=-1))
+            size = np.diff(np.append(start, len(i)))
+            rank = np.arange(len(i)) - np.repeat(start, size)
+            more = np.repeat(size > best, size)[rank < best]
+            i, j = i[rank < best], j[rank < best]
+        return pa.RecordBatch.from_arrays([*map(pa.array, (ids[i], ids[j], more))], ["asker", "other", "more"]) if len(i) else None
+
+    return work
 
 
 class Buckets:
     """The classes that share bands, and the links among them that are confirmed so far."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame):
+    def __init__(self, docs: DataFrame, classes: DataFrame, s: Scratch):
+        self.s = s
         bands = classes.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.substring("regs", k * 2 * ROWS + 1, F.lit(2 * ROWS)))).alias("band", "values"))
-        bands = bands.select(F.xxhash64("band", "values").alias("bucket"), "id")
+        bands = bands.select(F.xxhash64("band", "values").alias("bucket"), "band", "id")
         full = bands.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-        self.entries = written(bands.join(full, "bucket"), "buckets")
+        self.entries = s.written(bands.join(full, "bucket"), "buckets")
         company = self.entries.groupBy("id").agg(F.sum("size").alias("company"))
-        self.regs = written(classes.select("id", "n", "regs", "low").join(company, "id"), "candidates")
-        ids = self.regs.select(F.col("id").alias("doc_id"))
-        self.sets = written(
-            docs.select("doc_id", "text").join(ids, "doc_id").mapInPandas(set_rows, f"id {dict(docs.dtypes)['doc_id']}, members binary").dropDuplicates(["id"]), "sets"
-        )
+        self.regs = s.written(classes.join(company, "id"), "candidates")
+        asked = self.regs.groupBy("doc_id").agg(F.collect_list(F.struct("id", "s1", "s2")).alias("asked"))
+        self.sets = s.written(docs.select("doc_id", "text").join(asked, "doc_id").mapInPandas(set_rows, "id long, members binary").dropDuplicates(["id"]), "sets")
         self.links = self.comp = None
 
-    def labelled(self) -> DataFrame:
-        """bucket, id, comp, company, n and low of each entry."""
-        regs = self.regs.select("id", "company", "n", "low")
+    def labelled(self, *columns: str) -> DataFrame:
+        """id, comp and these columns of each class that shares a band."""
+        regs = self.regs.select("id", *columns)
         if self.comp is None:
-            regs = regs.withColumn("comp", F.col("id"))
-        else:
-            regs = regs.join(self.comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        return self.entries.select("bucket", "id").join(regs, "id")
-
-    def hub_pairs(self, entries: DataFrame, first: bool) -> DataFrame:
-        """Each bucket's next hub with the members that are not connected to it. The first hub is the class with most
-        company; later ones are sought outside the component that holds most of the bucket's company."""
-        best = lambda c: F.max_by(c, F.struct("company", -F.col("id")))
-        if first:
-            hubs = entries.groupBy("bucket").agg(best("id").alias("hub"), best("comp").alias("hub_comp"))
-        else:
-            parts = entries.groupBy("bucket", "comp").agg(best("id").alias("id"), F.max("company").alias("most"), F.sum("company").alias("company"))
-            largest = parts.groupBy("bucket").agg(best("comp").alias("large"))
-            rest = parts.join(largest, "bucket").filter("comp <> large")
-            hubs = rest.groupBy("bucket").agg(F.max_by("id", F.struct("company", -F.col("id"))).alias("hub"), F.max_by("comp", F.struct("company", -F.col("id"))).alias("hub_comp"))
-        return entries.join(hubs, "bucket").filter("comp <> hub_comp").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-
-    def all_pairs(self, entries: DataFrame) -> DataFrame:
-        """Pairs of a bucket's members in different components that may be similar enough by size and equal registers."""
-        mixed = entries.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bucket")
-        e = entries.join(mixed, "bucket").select("bucket", "id", "comp", "n", "low")
-        left = e.select("bucket", F.col("id").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"), F.col("low").alias("low_a"))
-        right = e.select(F.col("bucket").alias("other"), F.col("id").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"), F.col("low").alias("low_b"))
-        may = (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
-        return left.join(right, (F.col("bucket") == F.col("other")) & may & (equal_registers("low_a", "low_b") >= EQUAL)).select("a", "b")
-
-    def open_pairs(self, entries: DataFrame) -> int:
-        sizes = entries.groupBy("bucket", "comp").agg(F.count("*").cast("double").alias("n"))
-        got = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("q")).agg(F.sum((F.col("n") * F.col("n") - F.col("q")) / 2)).first()[0]
-        return int(got or 0)
-
-    def test(self, pairs: DataFrame) -> bool:
-        """Confirms pairs; whether new links came of it."""
+            return regs.withColumn("comp", F.col("id"))
+        return regs.join(self.comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+    def hub_pairs(self) -> DataFrame:
+        """Each bucket's hub, the class with most company, with its other members."""
+        entries = self.entries.select("bucket", "id").join(self.regs.select("id", "company"), "id")
+        hubs = entries.groupBy("bucket").agg(F.max_by("id", F.struct("company", -F.col("id"))).alias("hub"))
+        return entries.join(hubs, "bucket").filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+
+    def mixed(self, only: DataFrame | None = None) -> DataFrame:
+        """bucket, band, id and comp of the members of buckets with several components (of those that hold an id of only)."""
+        entries = self.s.written(self.entries.select("bucket", "band", "id").join(self.labelled(), "id"), "labelled")
+        parts = entries.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bucket")
+        if only is not None:
+            parts = parts.join(entries.join(only, "id").select("bucket").distinct(), "bucket")
+        return entries.join(parts, "bucket")
+
+    def compared(self, rows: DataFrame, least: int, best: int | None, tile: int) -> DataFrame:
+        rows = tiled(rows, "bucket", ["id"], tile, self.s)
+        work = by_groups(_compared(least, best), "bucket", 1 << 14)
+        return self.s.written(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(work, "asker long, other long, more boolean"), "compared")
+
+    def test(self, pairs: DataFrame) -> None:
+        """Confirms pairs of ids (a < b)."""
         estimated_, common_ = F.pandas_udf(estimated, "double"), F.pandas_udf(common, "long")
         side = lambda df, x, cols: df.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols])
-        regs = ["n", "regs", "low"]
-        near = pairs.distinct().join(side(self.regs, "a", regs), "a").join(side(self.regs, "b", regs), "b")
-        near = near.filter((4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & (equal_registers("low_a", "low_b") >= EQUAL))
+        near = pairs.distinct().join(side(self.regs, "a", ["n", "regs"]), "a").join(side(self.regs, "b", ["n", "regs"]), "b")
+        near = near.filter(4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
         near = near.filter(estimated_("n_a", "n_b", "regs_a", "regs_b") >= ESTIMATE).select("a", "b", "n_a", "n_b")
         shared = near.join(side(self.sets, "a", ["members"]), "a").join(side(self.sets, "b", ["members"]), "b").select("a", "b", "n_a", "n_b", common_("members_a", "members_b").alias("both"))
-        links = written(shared.filter(100 * F.col("both") >= 75 * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"), "confirmed")
-        if links.isEmpty():
-            return False
-        self.links = links if self.links is None else self.links.unionByName(links)
-        self.comp = components(self.links)
-        return True
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of docs."""
-    found = sketches(docs)
+        links = self.s.written(shared.filter(100 * F.col("both") >= 75 * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"), "confirmed")
+        self.linked(links)
+
+    def linked(self, links: DataFrame) -> None:
+        if not links.isEmpty():
+            self.links = links if self.links is None else self.links.unionByName(links)
+            self.comp = components(self.links, self.s)
+
+    def link_all(self, best: int, tile: int) -> None:
+        ordered = lambda df: df.select(F.least("asker", "other").alias("a"), F.greatest("asker", "other").alias("b"))
+        self.test(self.hub_pairs())
+        rows = self.mixed().join(self.regs.select("id", "n", "low"), "id")
+        found = self.compared(rows, EQUAL, best, tile)
+        self.test(ordered(found))
+        more = self.s.written(found.filter("more").select(F.col("asker").alias("id")).distinct(), "asking")
+        if more.isEmpty():
+            return
+        rows = self.s.written(self.mixed(more), "mixed")
+        wide = self.s.written(self.sets.join(rows.select("id").distinct(), "id").mapInPandas(wide_rows, "id long, low binary"), "wide")
+        rows = rows.join(wide, "id").join(self.regs.select("id", "n", F.substring("regs", 1, 2 * BANDS * ROWS).alias("regs")), "id").join(more.withColumn("asked", F.lit(True)), "id", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+        self.test(ordered(self.compared(rows, WIDE_EQUAL, None, tile)))
+
+
+def near_duplicates(docs: DataFrame, best: int = BEST, tile: int = TILE) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row of docs. best and tile do not change the result."""
+    s, kind = Scratch(docs.sparkSession), dict(docs.dtypes)["doc_id"]
+    found = s.written(docs.select("doc_id", "text").mapInPandas(sketch_rows, f"doc_id {kind}, n long, s1 long, s2 long, regs binary, low binary"), "sketches")
     some = found.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = written(some.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.first("regs").alias("regs"), F.first("low").alias("low")), "classes")
-    b = Buckets(docs, classes.groupBy("id").agg(F.first("n").alias("n"), F.first("regs").alias("regs"), F.first("low").alias("low")))
-    b.test(b.hub_pairs(b.labelled(), True))
-    n = b.entries.count()
-    for _ in range(HUB_ROUNDS):
-        entries = b.labelled()
-        if b.open_pairs(entries) <= FEW * n or not b.test(b.hub_pairs(entries, False)):
-            break
-    b.test(b.all_pairs(written(b.labelled(), "entries")))
-    own = some.select("doc_id", "s1", "s2").join(classes.select("s1", "s2", "id"), ["s1", "s2"])
+    classes = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("regs").alias("regs"), F.first("low").alias("low"))
+    classes = s.written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    b = Buckets(docs, classes, s)
+    own = s.written(some.select("doc_id", "s1", "s2").join(classes.select("s1", "s2", "id"), ["s1", "s2"]).select("doc_id", "id").distinct(), "own")
+    texts = own.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z").select("doc_id", "a")
+    b.linked(s.written(own.join(texts, "doc_id").filter("id <> a").select("a", F.col("id").alias("b")), "same-doc"))
+    b.link_all(best, tile)
+    labels = classes.select("id", "doc_id")
     if b.comp is not None:
-        own = own.join(b.comp, "id", "left").withColumn("id", F.coalesce("comp", "id"))
-    comp = own.groupBy("doc_id").agg(F.min("id").alias("component_id"))
-    return (
+        labels = labels.join(b.comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        least = labels.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+        labels = labels.join(least, "comp").select("id", "component_id")
+    else:
+        labels = labels.withColumnRenamed("doc_id", "component_id")
+    comp = own.join(labels, "id").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    out = (
         found.select("doc_id", F.col("n").alias("n_shingles"))
         .join(comp, "doc_id", "left")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+    out = written(out, "near-duplicates")
+    s.clear()
+    return out
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component (that with the smallest doc_id), with all columns."""
+    """One document of each component (that with the smallest doc_id), with all columns; of rows with the same doc_id, that
+    with the least text. Rows without doc_id all stay."""
     gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    rest = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    repeated = written(docs.groupBy("doc_id").agg(F.count("*").alias("__n")).filter("__n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")), "repeated-ids")
+    if repeated.isEmpty():
+        return rest
+    of = F.col("doc_id") == F.col("__gone")
+    one = rest.join(repeated, of, "left_semi").withColumn("__rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))).filter("__rank = 1").drop("__rank")
+    return rest.join(repeated, of, "left_anti").unionByName(one)
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
