@@ -8,14 +8,17 @@ about one for every 170 bytes, and by what stands to the left of these.
 1. Anchors of each text, with the hash of the stretch that all windows of the anchor span.
 2. Equal stretches are counted (partial sums, so that groups of copies meet as counts): their windows all repeat.
 3. One anchor for each different stretch, where anchors with the same substring have several, goes on as a suffix.
-   Sampled splitters deal the suffixes over ranges by their leading bytes; each bucket is sorted by multikey quicksort
-   (eight bytes at a time), and common prefixes of neighbours give, for each window, the rank of its right part; the
-   same on the left. Two windows are equal if and only if both ranks are.
-4. Runs of suffixes that reach the edge of a bucket may go on in another: their windows are compared across boundaries
-   by 64-bit hashes, dealt by anchor, place in the window and hash, so that no run has to meet in one task.
+   Sampled splitters deal the suffixes over ranges by their leading bytes (a short prefix and hashes that keep runs with
+   equal anchors together, so that what the sampler sends to the driver stays small); each bucket is sorted by multikey
+   quicksort (eight bytes at a time, three ways), and common prefixes of neighbours give, for each window, the rank of
+   its right part; the same on the left. Two windows are equal if and only if both ranks are.
+4. Runs of suffixes at the edge of a bucket may go on in another: their windows are compared across boundaries by 64-bit
+   hashes, dealt by anchor, place in the window and hash. Windows are counted by anchor, and those of anchors with many
+   are dealt over as many more groups, so that no run has to meet in one task.
 
 Hashes of steps 2 and 4 have 128 (substring and stretch) and 64 bits (within one anchor's run). Rows are identified by
-doc_id and text; a repeated row repeats its own text elsewhere. Defined results: null and empty texts have 0 bytes and
+doc_id where it is an integer that no other row has, else by a 64-bit hash of doc_id and text; a repeated row repeats its
+own text elsewhere. Defined results: null and empty texts have 0 bytes and
 keep the empty string; texts shorter than LENGTH lose nothing; an empty table gives an empty result.
 """
 
@@ -29,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convolake.llm.common import prefix_hash, span_hash, table, written
+from convolake.llm.common import Scratch, prefix_hash, span_hash, table, written
 
 LENGTH = 400
 ANCHOR = 64
@@ -37,7 +40,10 @@ PIECE = 1 << 20
 #: Suffixes in a bucket, on average, and windows that are ranked at a time.
 BUCKET, CHUNK = 20_000, 4_096
 _PLACES = LENGTH - ANCHOR + 1
-_BLOCK, _SALT = 8, 4
+#: Bytes of a suffix in the range key, window places in a group of the comparison across boundaries, and windows in it.
+LEADING, _BLOCK, GROUP = 16, 8, 100_000
+#: Stretches of rows with fewer than this many are sorted as strings.
+_FEW = 48
 _WINDOW = np.dtype([("d", "<u2"), ("h", "<u8"), ("rid", "<i8"), ("pos", "<i8"), ("dup", "u1")])
 
 
@@ -120,22 +126,27 @@ def byte_matrix(strings: list[bytes], width: int) -> np.ndarray:
 
 
 def multikey_sort(m: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
-    """The order of m's rows (within group, if given): eight bytes at a time, only runs that still tie go on."""
+    """The order of m's rows (within group, if given) by multikey quicksort: a stretch of rows is parted in three by one
+    word of eight bytes against a pivot, and only those that are equal go on to the next word."""
     keys = m.view(">u8").astype(np.uint64)
-    order = np.arange(len(m)) if group is None else np.argsort(group, kind="stable")
-    tied = np.zeros(len(m), np.int64) if group is None else np.unique(group[order], return_inverse=True)[1]
-    live = np.arange(len(m))  # places of the order that are still in a run of ties
-    for word in range(keys.shape[1]):
-        if not len(live):
-            break
-        k = keys[order[live], word]
-        by = np.lexsort((k, tied[live]))
-        order[live], k = order[live][by], k[by]
-        run = tied[live]
-        split = np.concatenate(([True], (k[1:] != k[:-1]) | (run[1:] != run[:-1])))
-        tied[live] = live[np.maximum.accumulate(np.where(split, np.arange(len(live)), 0))]
-        alone = split & np.append(split[1:], True)
-        live = live[~alone]
+    if group is not None:
+        keys = np.hstack([group.astype(np.uint64)[:, None], keys])
+    rows, order = [x.tobytes() for x in keys.astype(">u8")], np.arange(len(m))
+    todo = [(0, len(m), 0)]
+    while todo:
+        lo, hi, word = todo.pop()
+        if hi - lo < 2 or word == keys.shape[1]:
+            continue
+        here = order[lo:hi]
+        if hi - lo < _FEW:
+            order[lo:hi] = sorted(here.tolist(), key=lambda i: rows[i][8 * word :])  # noqa: B023
+            continue
+        k = keys[here, word]
+        pivot = np.sort(k[:: max(1, len(k) // 9)])[4]
+        less, more = k < pivot, k > pivot
+        a, e = lo + int(less.sum()), hi - int(more.sum())
+        order[lo:hi] = np.concatenate((here[less], here[~(less | more)], here[more]))
+        todo += [(lo, a, word), (a, e, word + 1), (e, hi, word)]
     return order
 
 
@@ -181,7 +192,7 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, a, np.nonzero(edge == -1)[1] - 1
 
 
-SORTED = "rid long, start long, stop long, anchor long, part int, windows binary"
+SORTED = "rid long, start long, stop long, anchor long, part int, n long, windows binary"
 
 
 def sorted_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,7 +208,8 @@ def sorted_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     rid, pos, lo, hi, count = (b[c].to_numpy()[order] for c in ("rid", "pos", "dlo", "dhi", "n"))
     del b
     group = np.cumsum(common_prefix(right, np.arange(len(right))) < ANCHOR) - 1
-    edge_groups = {group[0], group[-1]}
+    leading = right[:, :LEADING].copy().view(f"S{LEADING}")[:, 0]
+    at_edge = (leading == leading[0]) | (leading == leading[-1])  # with equal leading bytes, the ranges go by hashes
     ends = np.flatnonzero(np.diff(group, append=group[-1] + 1)) + 1
     at = 0
     while at < len(group):  # whole runs, about CHUNK rows at a time; a longer run is taken as a whole
@@ -211,9 +223,9 @@ def sorted_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(sub) < stop - at:
                 edge = np.ones(len(rows), bool)
             else:
-                edge = np.isin(group[rows], list(edge_groups))
+                edge = at_edge[rows]
             r, d1, d2 = _runs(dup & (count[rows] == 1)[:, None])
-            yield pd.DataFrame({"rid": rid[rows[r]], "start": pos[rows[r]] - d2, "stop": pos[rows[r]] - d1 + LENGTH, "anchor": np.zeros(len(r), np.int64), "part": -1, "windows": None})
+            yield pd.DataFrame({"rid": rid[rows[r]], "start": pos[rows[r]] - d2, "stop": pos[rows[r]] - d1 + LENGTH, "anchor": np.zeros(len(r), np.int64), "part": -1, "n": 0, "windows": None})
             if edge.any():
                 yield _edge_windows(right[rows], left[rows], rid[rows], pos[rows], first & edge[:, None], dup | (count[rows] > 1)[:, None])
         at = stop
@@ -238,15 +250,31 @@ def _edge_windows(right, left, rid, pos, first, dup) -> pd.DataFrame:
     out["d"], out["h"], out["rid"], out["pos"], out["dup"] = d, span_hash(sums, start, start + LENGTH), rid[row], pos[row], dup[row, d]
     at = np.arange(len(right)) * width + width_l
     anchor = span_hash(sums, at, at + ANCHOR).astype(np.int64)[row]
-    part = (d // _BLOCK * _SALT + (out["h"] % np.uint64(_SALT)).astype(np.int64)).astype(np.int32)
+    part = (d // _BLOCK).astype(np.int32)
     by = np.lexsort((part, anchor))
     out, anchor, part = out[by], anchor[by], part[by]
     cut = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (anchor[1:] != anchor[:-1]))))
     return pd.DataFrame(
-        {"rid": 0, "start": 0, "stop": 0, "anchor": anchor[cut], "part": part[cut], "windows": [x.tobytes() for x in np.split(out, cut[1:])]}
+        {"rid": 0, "start": 0, "stop": 0, "anchor": anchor[cut], "part": part[cut], "n": np.diff(np.append(cut, len(out))), "windows": [x.tobytes() for x in np.split(out, cut[1:])]}
     )
 
 
+def salted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Windows dealt by hash over the groups of their anchor and part."""
+    for b in batches:
+        rows = []
+        for anchor, part, groups, windows in zip(b["anchor"], b["part"], b["groups"], b["windows"], strict=True):
+            if groups == 1:
+                rows.append((anchor, part, 0, windows))
+                continue
+            x = np.frombuffer(windows, _WINDOW)
+            own = (x["h"] % np.uint64(groups)).astype(np.int64)
+            by = np.argsort(own, kind="stable")
+            cut = np.flatnonzero(np.diff(own[by], prepend=-1))
+            rows += [(anchor, part, int(own[w[0]]), x[w].tobytes()) for w in np.split(by, cut[1:])]
+        yield pd.DataFrame(rows, columns=["anchor", "part", "salt", "windows"])
+
+
 def across(group: pd.DataFrame) -> pd.DataFrame:
     """Of one anchor's windows from several buckets: those that occur in more than one and were not known to repeat."""
     x = np.concatenate([np.frombuffer(w, _WINDOW) for w in group["windows"]])
@@ -290,35 +318,44 @@ def digested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.drop(columns="kept")
 
 
-def repeated_stretches(docs: DataFrame) -> DataFrame:
-    """rid, start, stop (bytes) of stretches of docs (rid, text) whose windows all repeat; they may overlap."""
-    anchors = written(docs.select("rid", "text").mapInPandas(anchor_rows, "rid long, pos long, dlo int, dhi int, key long, ctx long"), "anchors")
+def repeated_stretches(docs: DataFrame, s: Scratch, bucket: int = BUCKET, group: int = GROUP) -> DataFrame:
+    """rid, start, stop (bytes) of stretches of docs (rid, text) whose windows all repeat; they may overlap. bucket and
+    group do not change what they cover."""
+    anchors = s.written(docs.select("rid", "text").mapInPandas(anchor_rows, "rid long, pos long, dlo int, dhi int, key long, ctx long"), "anchors")
     same = ["key", "ctx", "dlo", "dhi"]
-    stretches = written(anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min("rid").alias("rid"), F.min_by("pos", "rid").alias("pos")), "stretches")
+    stretches = s.written(anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min("rid").alias("rid"), F.min_by("pos", "rid").alias("pos")), "stretches")
     copies = anchors.join(stretches.filter("n > 1").select(*same), same).select("rid", (F.col("pos") - F.col("dhi")).alias("start"), (F.col("pos") - F.col("dlo") + LENGTH).alias("stop"))
     several = stretches.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
-    rest = written(stretches.join(several, "key").select("rid", "pos", "dlo", "dhi", "n"), "suffixes")
+    rest = s.written(stretches.join(several, "key").select("rid", "pos", "dlo", "dhi", "n"), "suffixes")
     per_doc = rest.groupBy("rid").agg(F.collect_list(F.struct("pos", "dlo", "dhi", "n")).alias("anchors"))
     suffixes = docs.select("rid", "text").join(per_doc, "rid").mapInPandas(suffix_rows, "rid long, pos long, dlo int, dhi int, n long, right binary, left binary")
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rest.count() // BUCKET))
-    found = written(suffixes.repartitionByRange(n, "right", "left").mapInPandas(sorted_bucket, SORTED), "sorted")
-    edges = found.filter("part >= 0").select("anchor", "part", "windows").groupBy("anchor", "part").applyInPandas(across, "rid long, start long, stop long")
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rest.count() // bucket))
+    ranges = [F.substring("right", 1, LEADING), F.xxhash64(F.substring("right", 1, ANCHOR)), F.xxhash64("rid", "pos")]
+    found = s.written(suffixes.repartitionByRange(n, *ranges).mapInPandas(sorted_bucket, SORTED), "sorted")
+    windows = found.filter("part >= 0").select("anchor", "part", "n", "windows")
+    sizes = windows.groupBy("anchor", "part").agg(F.ceil(F.sum("n") / group).alias("groups"))
+    dealt = windows.join(sizes, ["anchor", "part"]).select("anchor", "part", "groups", "windows").mapInPandas(salted, "anchor long, part int, salt long, windows binary")
+    edges = dealt.groupBy("anchor", "part", "salt").applyInPandas(across, "rid long, start long, stop long")
     return copies.unionByName(found.filter("part < 0").select("rid", "start", "stop")).unionByName(edges)
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.coalesce("text", F.lit(""))).alias("rid"))
+    """doc_id, text and rid, which identifies the row (up to repeated ones)."""
+    d = docs.select("doc_id", "text")
+    if dict(d.dtypes)["doc_id"] in ("bigint", "int", "smallint", "tinyint") and d.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").isEmpty():
+        return d.withColumn("rid", F.col("doc_id").cast("long"))
+    return d.withColumn("rid", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.coalesce("text", F.lit(""))))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, **sizes) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of each document."""
-    return _applied(docs, without, "kept binary")
+    return _applied(docs, without, "kept binary", **sizes)
 
 
-def _applied(docs: DataFrame, how, last: str) -> DataFrame:
-    d = identified(docs)
-    spans = repeated_stretches(d).groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    kind = dict(docs.dtypes)["doc_id"]
+def _applied(docs: DataFrame, how, last: str, **sizes) -> DataFrame:
+    s, d, kind = Scratch(docs.sparkSession), identified(docs), dict(docs.dtypes)["doc_id"]
+    spans = written(repeated_stretches(d, s, **sizes).groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
+    s.clear()
     return d.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInPandas(how, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {last}")
 
 
