@@ -1,8 +1,10 @@
 """Operator 6: quality rules with verdicts by host.
 
 Rules look at one document each; a host (the document's source) gets a failure rate that is shrunk towards the rate of
-all hosts by a beta prior fitted to the hosts (method of moments). Documents that fail a soft rule are forgiven on hosts
-with a low shrunk rate and rejected on the others; a host nearly all of whose documents fail is rejected as a whole.
+all hosts by a beta prior fitted to the hosts (method of moments, weighted by documents and less the sampling noise).
+Documents that fail a soft rule by far (over 1.5 times its limit), or several of them, are rejected; those that fail one
+by little are judged by their host: rejected where its shrunk rate is above that of all hosts, forgiven elsewhere. A host
+nearly all of whose documents fail is rejected as a whole.
 All of it is DataFrame expressions: no Python runs on the executors.
 
 Defined results: a null or empty text has no words and fails the base rule; a null source counts as a host of its own,
@@ -19,8 +21,9 @@ from convolake.llm.common import SPACE, bind, table, words_of, written
 
 MIN_WORDS = 20
 WINDOW = 8
-#: Shrunk failure rate from which a host's documents with a soft failure go, and from which all its documents go.
-HOST_LIMIT = 0.05
+#: Times the rate of all hosts from which a host's documents with a small soft failure go; rate from which all its
+#: documents go.
+HOST_RATIO = 1.05
 HOST_BLOCK = 0.8
 #: Bounds of the prior's weight, in documents.
 PRIOR_MIN, PRIOR_MAX = 1.0, 10_000.0
@@ -89,32 +92,35 @@ def quality_signals(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "source"
         + (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")).cast("int")
         + ((F.col("word_chars") > 12 * F.col("n_words")) | (2 * F.col("word_chars") < 5 * F.col("n_words"))).cast("int")
     )
-    return d.withColumns({"base_failed": base, "n_soft_failed": soft})
+    far = (20 * F.col("n_symbols") > 3 * F.col("word_chars")) | (20 * F.col("n_dup_lines") > 9 * F.col("n_lines")) | (F.col("word_chars") > 15 * F.col("n_words")) | (F.col("word_chars") < 2 * F.col("n_words"))
+    return d.withColumns({"base_failed": base, "n_soft_failed": soft, "far_failed": far | (soft > 1)})
 
 
 def host_verdicts(signals: DataFrame) -> DataFrame:
     """One row per host: documents, failures, shrunk failure rate and the two verdicts."""
     failed = F.col("base_failed") | (F.col("n_soft_failed") > 0)
     hosts = signals.groupBy(F.coalesce("source", F.lit("")).alias("host")).agg(F.count("*").alias("n_docs"), F.count_if(failed).alias("n_failed"))
-    rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg((F.sum("n_failed") / F.sum("n_docs")).alias("mean"), F.var_pop(rate).alias("var"))
-    weight = F.when(F.col("var") > 0, F.least(F.greatest(F.col("mean") * (1 - F.col("mean")) / F.col("var") - 1, F.lit(PRIOR_MIN)), F.lit(PRIOR_MAX))).otherwise(PRIOR_MAX)
+    n, f = F.sum("n_docs"), F.sum("n_failed")
+    prior = hosts.agg((f / n).alias("mean"), n.alias("n"), F.count("*").alias("n_hosts"), F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs")).alias("squares"))
+    noise = F.col("mean") * (1 - F.col("mean"))
+    prior = prior.select("mean", ((F.col("squares") - F.col("n") * F.col("mean") * F.col("mean")) / F.col("n") - noise * F.col("n_hosts") / F.col("n")).alias("var"), noise.alias("noise"))
+    weight = F.when(F.col("var") > 0, F.least(F.greatest(F.col("noise") / F.col("var") - 1, F.lit(PRIOR_MIN)), F.lit(PRIOR_MAX))).otherwise(PRIOR_MAX)
     shrunk = (F.col("n_failed") + weight * F.col("mean")) / (F.col("n_docs") + weight)
-    # the prior is one row, so this join only appends its two numbers to each host
+    # the prior is one row, so this join only appends its numbers to each host
     return (
         hosts.join(F.broadcast(prior))
         .withColumn("host_rate", shrunk)
-        .select("host", "n_docs", "n_failed", "host_rate", (F.col("host_rate") >= HOST_LIMIT).alias("host_strict"), (F.col("host_rate") >= HOST_BLOCK).alias("host_blocked"))
+        .select("host", "n_docs", "n_failed", "host_rate", (F.col("host_rate") > HOST_RATIO * F.col("mean")).alias("host_strict"), (F.col("host_rate") >= HOST_BLOCK).alias("host_blocked"))
     )
 
 
-def judged(signals: DataFrame) -> DataFrame:
+def judged(signals: DataFrame, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """signals (a written table) with host_rate and kept."""
     hosts = written(host_verdicts(signals), "hosts")
-    small = hosts.count() <= BROADCAST_HOSTS
+    small = hosts.count() <= broadcast_hosts
     right = hosts.select("host", "host_rate", "host_strict", "host_blocked")
     s = signals.withColumn("host", F.coalesce("source", F.lit("")))
-    kept = ~F.col("base_failed") & ~F.col("host_blocked") & ~((F.col("n_soft_failed") > 0) & F.col("host_strict"))
+    kept = ~F.col("base_failed") & ~F.col("host_blocked") & ~F.col("far_failed") & ~((F.col("n_soft_failed") > 0) & F.col("host_strict"))
     return s.join(F.broadcast(right) if small else right, "host").withColumn("kept", kept)
 
 
@@ -131,7 +137,7 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     held = docs.select(*[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(columns)], F.col("text"), F.col("source"))
     signals = quality_signals(held, ("source", *[f"__in_{i}" for i in range(len(columns))])).select(
-        "source", "base_failed", "n_soft_failed", *[f"__in_{i}" for i in range(len(columns))]
+        "source", "base_failed", "n_soft_failed", "far_failed", *[f"__in_{i}" for i in range(len(columns))]
     )
     out = judged(written(signals, "signals")).filter("kept")
     return out.select(*[F.col(f"__in_{i}").alias(c) for i, c in enumerate(columns)])
@@ -158,12 +164,14 @@ s AS (SELECT w.doc_id, host, CAST(len(ws) AS BIGINT) AS n_words,
         CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
       FROM w LEFT JOIN cov USING (doc_id)),
 r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-        10 * n_symbols > word_chars OR 10 * n_dup_lines > 3 * n_lines OR word_chars > 12 * n_words OR 2 * word_chars < 5 * n_words AS soft FROM s),
+        10 * n_symbols > word_chars OR 10 * n_dup_lines > 3 * n_lines OR word_chars > 12 * n_words OR 2 * word_chars < 5 * n_words AS soft,
+        20 * n_symbols > 3 * word_chars OR 20 * n_dup_lines > 9 * n_lines OR word_chars > 15 * n_words OR word_chars < 2 * n_words
+          OR CAST(10 * n_symbols > word_chars AS INT) + CAST(10 * n_dup_lines > 3 * n_lines AS INT) + CAST(word_chars > 12 * n_words OR 2 * word_chars < 5 * n_words AS INT) > 1 AS far FROM s),
 h AS (SELECT host, count(*) AS n, count(*) FILTER (base_failed OR soft) AS f FROM r GROUP BY host),
-p AS (SELECT sum(f) / sum(n) AS m, var_pop(f / n) AS v FROM h),
+p AS (SELECT sum(f) / sum(n) AS m, (sum(f * f / n) - sum(n) * (sum(f) / sum(n)) * (sum(f) / sum(n))) / sum(n) - (sum(f) / sum(n)) * (1 - sum(f) / sum(n)) * count(*) / sum(n) AS v FROM h),
 pw AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 10000.0) ELSE 10000.0 END AS wt FROM p),
-hr AS (SELECT host, (f + wt * m) / (n + wt) AS rate FROM h, pw)
+hr AS (SELECT host, m, (f + wt * m) / (n + wt) AS rate FROM h, pw)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND rate < 0.8 AND NOT (soft AND rate >= 0.05) AS kept
+       NOT base_failed AND rate < 0.8 AND NOT far AND NOT (soft AND rate > 1.05 * m) AS kept
 FROM r JOIN hr USING (host)
 """

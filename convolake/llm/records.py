@@ -27,6 +27,7 @@ import unicodedata
 import uuid
 import zlib
 from array import array
+from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -233,6 +234,37 @@ def read_records(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
     return found.join(before, "shard").select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def read_shuffled(folder: str, index: DataFrame, seed: int, open_files: int = 16) -> DataFrame:
+    """doc_id and ids of each record in an order drawn by seed: the index is dealt in that order over tasks, and each task
+    reads its records one by one at their offsets (so many shards stay open at a time)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        files: OrderedDict = OrderedDict()
+        for b in batches:
+            docs, out = [], []
+            for shard, at, size in zip(b["shard"], b["offset"], b["length"], strict=True):
+                if shard not in files:
+                    if len(files) >= open_files:
+                        files.popitem(last=False)[1].close()
+                    files[shard] = store.open_input_file(f"{root}/{shard}")
+                files.move_to_end(shard)
+                files[shard].seek(int(at))
+                ((_, payload),) = frames(files[shard].read(int(size)))
+                doc, null, width = struct.unpack_from(_META, payload)
+                docs.append(None if null else doc)
+                out.append(np.frombuffer(payload[_META_SIZE:], "<u2" if width == 2 else "<u4").astype(np.int64))
+            yield pd.DataFrame({"doc_id": pd.array(docs, "Int64"), "ids": out})
+        for f in files.values():
+            f.close()
+
+    n = max(index.sparkSession.sparkContext.defaultParallelism, int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    drawn = index.select("shard", "offset", "length", F.xxhash64("shard", "offset", F.lit(seed)).alias("draw"))
+    return drawn.repartitionByRange(n, "draw").sortWithinPartitions("draw").mapInPandas(run, "doc_id long, ids array<long>")
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/records-{uuid.uuid4().hex}"
     index = write_records(table(spark, sf_dir, "documents"), folder)

@@ -4,9 +4,9 @@ Words and word stems that mark toxic rows are learned from a bounded sample of l
 crc32(doc_id) mod 5 is not 0) by document frequency, in Spark. The lexicon (bounded, so its broadcast is too) is held as
 a trie; a Levenshtein automaton walked along it finds misspelled words, also those spelled with digits or signs: where
 no run of letters of a chunk (what white space and separators leave) is a hit, the whole chunk is looked up as one word.
-Hits are weighed by their surroundings: those
-inside quotation marks or after a reporting word count as quoted, and the densest window of words counts by itself. A
-logistic regression over these few features gives the score.
+Hits are weighed by their surroundings: one inside a pair of quotation marks or after a reporting word counts as
+QUOTED_WEIGHT hits, and the densest window of words counts by itself. A logistic regression over these few features
+gives the score.
 
 Defined results: a null or empty text has no hits and gets the score of a text without hits; without training rows of
 both labels every score is the smoothed share of toxic ones; a row without doc_id is not held out; labels that repeat
@@ -16,6 +16,7 @@ count once, as toxic if any says so, and null labels are left out.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,11 +29,14 @@ from convolake.llm.common import table, written
 
 #: Bounds: labelled rows that are learned from (by hash of doc_id), and terms of the lexicon.
 TRAIN_ROWS, LEXICON = 20_000, 2_000
-#: A term marks toxic rows if it occurs in this share of them (and in MIN_ROWS), this many times oftener than elsewhere.
+#: A term marks toxic rows if it occurs in this share of them (and in MIN_ROWS), this many times oftener than elsewhere,
+#: and if chance would give less than one such term among all (Chernoff bound of the binomial tail).
 MIN_SHARE, MIN_ROWS, MIN_RATIO = 0.01, 3, 15.0
 STEMS = (4, 5, 6)
 WINDOW = 12
 CACHE = 400_000
+#: What a quoted hit counts for, and how many characters a quotation has at most.
+QUOTED_WEIGHT, QUOTATION = 0.25, 400
 REPORTING = frozenset("said says say called calls quote quoted quotes wrote word words term citation cité dit dijo sagte".split())
 _WORD = re.compile(r"[^\W\d_]+")
 #: What may be a word with digits or signs for letters: no white space and separators inside, some signs at its ends.
@@ -133,16 +137,23 @@ class Lexicon:
             return [0.0] * 6 + [float(np.log1p(sum(len(parts[c]) for c in chunks)))]
         found = [(m.start() + k, w) for m in _CHUNK.finditer(lower) for k, w in parts[m[0]]]
         quotes = [m.start() for m in _QUOTES.finditer(lower)]
-        at, quoted, kinds = [], 0, {"w": 0, "s": 0, "f": 0}
+        inside, k = [], 0
+        while k + 1 < len(quotes):
+            pair = quotes[k + 1] - quotes[k] <= QUOTATION
+            inside += quotes[k : k + 2] if pair else []
+            k += 2 if pair else 1
+        at, quoted, weight, kinds = [], 0, [], {"w": 0.0, "s": 0.0, "f": 0.0}
         for i, (start, w) in enumerate(found):
             if w in hit:
                 at.append(i)
-                kinds[self.kind(w)] += 1
-                inside = int(np.searchsorted(quotes, start)) % 2 == 1 and len(quotes) > 1
-                quoted += inside or any(x in REPORTING for _, x in found[max(0, i - 3) : i])
-        places = np.array(at)
-        window = int((np.searchsorted(places, places + WINDOW) - np.arange(len(places))).max())
-        logs = [float(np.log1p(x)) for x in (kinds["w"], kinds["s"], kinds["f"], len(hit), window)]
+                cited = bool(bisect_left(inside, start) % 2) or any(x in REPORTING for _, x in found[max(0, i - 3) : i])
+                quoted += cited
+                weight.append(QUOTED_WEIGHT if cited else 1.0)
+                kinds[self.kind(w)] += weight[-1]
+        places, sums = np.array(at), np.concatenate(([0.0], np.cumsum(weight)))
+        window = float((sums[np.searchsorted(places, places + WINDOW)] - sums[:-1]).max())
+        terms = len(hit) * float(np.mean(weight))
+        logs = [float(np.log1p(x)) for x in (kinds["w"], kinds["s"], kinds["f"], terms, window)]
         return [*logs, quoted / len(at), float(np.log1p(len(found)))]
 
 
@@ -175,10 +186,12 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON) -> tuple[tuple[str, ...
     terms = train.select("toxic", F.explode(F.array_distinct(F.concat(F.filter(words, lambda w: F.length(w) > 2), *stems))).alias("term"))
     rate = (F.col("bad") + 0.5) / (total.bad + 1) / ((F.col("good") + 0.5) / (total.good + 1))
     least = max(MIN_ROWS, MIN_SHARE * total.bad)
+    counts = written(terms.groupBy("term").agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")), "toxic-terms")
+    share = (total.bad + 0.5) / (total.bad + total.good + 1)
+    n, p = F.col("bad") + F.col("good"), F.col("bad") / (F.col("bad") + F.col("good"))
+    beyond = F.col("bad") * F.log(p / share) + F.when(p < 1, F.col("good") * F.log((1 - p) / (1 - share))).otherwise(0.0)
     chosen = (
-        terms.groupBy("term")
-        .agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good"))
-        .filter((F.col("bad") >= least) & (rate >= MIN_RATIO))
+        counts.filter((F.col("bad") >= least) & (n > 0) & (rate >= MIN_RATIO) & (beyond >= float(np.log(max(1, counts.count())))))
         .orderBy(F.desc(F.col("bad") - F.col("good")), "term")
         .limit(size)
         .collect()

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from convolake.llm import decontaminate as D
 from convolake.llm import pieces as P
@@ -58,6 +59,16 @@ def test_digits_and_signs_are_letters_of_misspelled_words():
         assert exact or (fuzzy(w) > 0) == near, w
 
 
+def test_quoted_terms_score_lower_than_abuse():
+    m = X.ToxicityModel(("idiot", "moron"), (), np.array([1.0, 1.0, 0.8, 0.5, 1.0, 0.0, 0.0, -2.0]))
+    pad = " and so on with many more words of plain prose"
+    for abuse, cited in (("you idiot" + pad, 'the "idiot" entry' + pad), ("what an idi0t you are" + pad, "they wrote “what an idi0t” you know" + pad), ("go away moron" + pad, "the word moron" + pad)):
+        a, c = m.scores([abuse, cited])
+        assert c < a - 0.2, (abuse, a, c)
+    one, far = m.scores(['a " b idiot' + pad, '" ' + "x " * 300 + "idiot" + " x" * 300 + ' "'])
+    assert abs(one - m.scores(["a b idiot" + pad])[0]) < 1e-9 and abs(one - far) < 1e-9  # no closing mark near by: not a quotation
+
+
 def test_toxicity_held_out_accuracy(spark, docs):
     words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
     texts, bad = [], []
@@ -104,6 +115,18 @@ def test_records_round_trip(spark, docs):
     assert R.read_records(spark, empty, R.write_records(docs([]), empty)).count() == 0
 
 
+def test_records_are_read_in_shuffled_order(spark, docs):
+    texts = [f"text {i} " + "w" * (i % 7) for i in range(50)] + [None]
+    d = docs(texts + texts[:3]).withColumn("doc_id", F.when(F.col("doc_id") < 51, F.col("doc_id")))
+    folder = f"{shared_dir(spark)}/records-test-{rng.random()}"
+    index = R.write_records(d.repartition(3), folder)
+    whole = sorted((r.n_tokens, r.ids_crc32) for r in R.read_records(spark, folder, index).collect())
+    one, same, other = ([(r.doc_id, tuple(r.ids)) for r in R.read_shuffled(folder, index, seed).collect()] for seed in (1, 1, 2))
+    assert one == same != other and sorted(one, key=str) == sorted(other, key=str)
+    assert [x for x, _ in one if x is not None] != sorted(x for x, _ in one if x is not None)
+    assert sorted((len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for _, i in one) == whole and len(one) == 54
+
+
 def test_damaged_records_are_noticed():
     data = R.frame(b"hello") + R.frame(b"")
     assert [(at, bytes(p)) for at, p in R.frames(data)] == [(0, b"hello"), (21, b"")]
