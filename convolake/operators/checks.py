@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from convolake import contract as C
 from convolake.functions.text import unmasked_classes
-from convolake.operators.common import any_flag
+from convolake.operators.common import any_flag, smallest
 from convolake.operators.gold import audience_of, with_measures, with_segments
 
 
@@ -22,7 +22,17 @@ def results(df: DataFrame, layer: str, checks: dict[str, Column]) -> DataFrame:
 
 def columns_result(df: DataFrame, layer: str, required: tuple[str, ...]) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
-    return results(df.limit(1), layer, {"required_columns": F.lit(len(missing)) + F.count("*") * 0})
+    return results(df, layer, {"required_columns": F.lit(len(missing)) + F.count("*") * 0})
+
+
+def violating_keys(df: DataFrame, layer: str, key: str, checks: dict[str, Column], n: int = 5) -> DataFrame:
+    """Of checks on single rows (conditions that hold for violations): violating rows and the n smallest of their keys."""
+    found = df.select(F.coalesce(F.col(key).cast("string"), F.lit("<null>")).alias("key"), F.explode(F.array_compact(F.array(*[F.when(v, F.lit(k)) for k, v in checks.items()]))).alias("check"))
+    counts = found.groupBy("check").agg(F.count("*").alias("violating_rows"))
+    named = df.sparkSession.createDataFrame([(k,) for k in checks], "check string")
+    d = named.join(counts, "check", "left").join(smallest(found, "check", "key", n), "check", "left")
+    rows = F.coalesce("violating_rows", F.lit(0)).cast("long")
+    return d.select(F.lit(layer).alias("layer"), "check", F.when(rows == 0, "passed").otherwise("failed").alias("status"), rows.alias("violating_rows"), F.coalesce("samples", F.lit("")).alias("samples"))
 
 
 def repeated(*keys: str) -> Column:

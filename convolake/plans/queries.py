@@ -44,6 +44,13 @@ def parsed(spark, d):
     return B.parse_metadata(bronze(spark, d))
 
 
+def held(df: DataFrame, name: str) -> DataFrame:
+    """df as a table that further steps read, instead of working it out anew for each."""
+    at = scratch_folder(df.sparkSession, name)
+    write_parquet(df, at)
+    return read_parquet(df.sparkSession, at, df.schema)
+
+
 def silver(spark, d):
     return S.silver_messages(bronze(spark, d))
 
@@ -58,12 +65,12 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def gold(spark, d):
-    m = silver(spark, d)
+    m = held(silver(spark, d), "silver")
     return G.gold_leads(S.silver_leads(m), m)
 
 
 def semantics(spark, d):
-    return V.conversation_semantics(V.conversation_features(silver(spark, d)))
+    return held(V.conversation_semantics(V.conversation_features(silver(spark, d))), "semantics")
 
 
 def texts(spark, d):
@@ -101,9 +108,9 @@ def _through_json(s, d):
 
 
 def _published(s, d):
-    m = silver(s, d)
-    ld = S.silver_leads(m)
-    g = G.gold_leads(ld, m)
+    m = held(silver(s, d), "silver")
+    ld = held(S.silver_leads(m), "leads")
+    g = held(G.gold_leads(ld, m), "gold")
     layers = {"bronze": bronze(s, d), "silver_messages": P.sanitize(m), "silver_leads": ld, "conversations": V.conversation_features(m), "gold": G.public_gold(g), "gold_macro": G.gold_macro(g)}
     at = publish(layers, scratch_folder(s, "layers"), Q.gold_key_checks(g))
     return s.read.parquet(at["gold"]).select("lead_key", "intent_stage", "total_messages")
@@ -314,6 +321,9 @@ for _n in ("dq_bronze_id_unique", "dq_bronze_channel"):
     _check = "message_id_unique" if _n.endswith("unique") else "channel_supported"
     add(_n, (lambda c: lambda s, d: Q.bronze_checks(bronze(s, d)).filter(F.col("check") == c))(_check), _row("bronze", _check, ("count(*) - count(DISTINCT message_id)" if _n.endswith("unique") else _f("channel <> 'whatsapp'"), "bronze")))
 _first = """(SELECT conversation_id, first(direction ORDER BY "timestamp" NULLS LAST, message_id) AS direction FROM bronze GROUP BY 1)"""
+_bad = {"timestamp_present": '"timestamp" IS NULL', "metadata_valid": "NOT json_ok", "message_type_known": "message_type NOT IN ('text', 'image', 'audio')"}
+add("dq_violating_keys", lambda s, d: Q.violating_keys(bronze(s, d), "bronze", "message_id", {"timestamp_present": F.col("timestamp").isNull(), "metadata_valid": ~B.valid_json(F.col("metadata")), "message_type_known": ~F.col("message_type").isin("text", "image", "audio")}),
+    " UNION ALL ".join(f"SELECT 'bronze' AS layer, '{k}' AS \"check\", CASE WHEN count(*) = 0 THEN 'passed' ELSE 'failed' END AS status, count(*) AS violating_rows, coalesce((SELECT string_agg(message_id, ',' ORDER BY message_id) FROM (SELECT DISTINCT message_id FROM parsed WHERE {c} ORDER BY 1 LIMIT 5)), '') AS samples FROM parsed WHERE {c}" for k, c in _bad.items()))
 add("dq_bronze_first_outbound", lambda s, d: Q.first_outbound(bronze(s, d)), f"SELECT count(*) AS conversations, count(*) FILTER (direction <> 'outbound') AS violating, (SELECT string_agg(conversation_id, ',' ORDER BY conversation_id) FROM (SELECT conversation_id FROM {_first} WHERE direction <> 'outbound' ORDER BY 1 LIMIT 5)) AS sample FROM {_first}")
 add("dq_silver_leads", lambda s, d: Q.silver_lead_checks(leads(s, d)), _union("silver_leads", {"lead_key_unique": ("count(*) - count(DISTINCT lead_key)", "leads"), "timestamps_present": (_f("first_seen_at IS NULL"), "leads"), "counts_not_negative": (_f("message_count < 0"), "leads"), "no_leaks": ("0", "(SELECT 1)")}))
 add("dq_silver_messages", lambda s, d: Q.silver_message_checks(silver(s, d)), _union("silver_messages", {"timestamp_present": (_f('"timestamp" IS NULL'), "silver"), "dedupe_keys_unique": (f"""count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(f'"{k}"' for k in C.DEDUPE_KEYS)} FROM silver))""", "silver"), **{f"no_{k}_leak": ("0", "(SELECT 1)") for k in C.FLAGS}, "vehicle_consistent": ("0", "(SELECT 1)")}))

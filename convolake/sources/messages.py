@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -92,12 +93,17 @@ def fixture_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share: below spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
+    """A new folder that all executors share: below spark.checkpoint.dir, or a temporary one where that is unset and Spark
+    runs in one process (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
@@ -129,14 +135,22 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
 
 
 def publish(layers: dict[str, DataFrame], folder: str, checks: DataFrame | None = None) -> dict[str, str]:
-    """Write, audit, publish: all layers go to a staging folder; only if no check failed are they copied to their place.
+    """Write, audit, publish: all layers go once to a folder of a new version; only if no check failed does one row that
+    names the version join the table of versions, so that readers see all layers of a version or none.
 
-    Nothing is replaced where a check fails (ValueError with the failed checks)."""
+    Nothing is published where a check fails (ValueError with the failed checks)."""
     spark = next(iter(layers.values())).sparkSession
+    version = uuid.uuid4().hex
     for name, df in layers.items():
-        df.write.mode("overwrite").parquet(f"{folder}/_staged/{name}")
+        df.write.parquet(f"{folder}/{version}/{name}")
     if checks is not None and (failed := [r.check for r in checks.filter("status = 'failed'").select("check").limit(100).collect()]):
         raise ValueError(f"not published: {', '.join(sorted(failed))}")
-    for name in layers:
-        spark.read.parquet(f"{folder}/_staged/{name}").write.mode("overwrite").parquet(f"{folder}/{name}")
-    return {name: f"{folder}/{name}" for name in layers}
+    row = spark.range(1).select(F.lit(version).alias("version"), F.array(*[F.lit(n) for n in layers]).alias("layers"), F.current_timestamp().alias("published_at"))
+    row.coalesce(1).write.mode("append").parquet(f"{folder}/versions")
+    return published(spark, folder)
+
+
+def published(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Where the layers of the version that was published last are."""
+    last = spark.read.parquet(f"{folder}/versions").agg(F.max_by(F.struct("version", "layers"), F.struct("published_at", "version")).alias("v")).first().v
+    return {name: f"{folder}/{last.version}/{name}" for name in last.layers}

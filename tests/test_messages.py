@@ -13,7 +13,7 @@ from convolake.operators import change as D
 from convolake.operators import checks as Q
 from convolake.operators import gold, silver
 from convolake.plans.columns import Bucket, apply_columns, condition
-from convolake.sources.messages import configured, publish
+from convolake.sources.messages import configured, publish, published
 
 META = '{"device":"android","city":"Recife","state":"PE","response_time_sec":60,"is_business_hours":true,"lead_source":"ads"}'
 
@@ -132,6 +132,24 @@ def test_gold_macro_and_checks(spark):
     broken = Q.gold_domain_checks(g.withColumn("risk_signal", F.lit("?")))
     assert Q.summary(broken).first().failed == "gold.domain_risk_signal"
     assert Q.diagnosed(broken).first().kind == "vocabulary"
+    failed = lambda checks: Q.summary(checks).first().failed
+    lit = lambda v, t="string": F.lit(v).cast(t)
+    assert failed(Q.gold_key_checks(g.union(g))) == "gold.lead_key_unique"
+    assert failed(Q.gold_key_checks(g.withColumn("total_messages", lit(-1, "long")))) == "gold.counts_not_negative"
+    assert "gold.closure_flag" in failed(Q.gold_key_checks(g.withColumn("has_closed_outcome", ~F.col("has_closed_outcome"))))
+    assert "gold.persona_audience" in failed(Q.gold_key_checks(g.withColumn("audience_segment", lit("?"))))
+    assert "gold.provenance" in failed(Q.gold_key_checks(g.withColumn("intent_stage_source_family", lit("?"))))
+    assert failed(Q.gold_coherence(g.withColumn("risk_signal", lit("?")))) == "gold_coherence.same_risk_signal"
+    assert failed(Q.silver_reconcile(leads.withColumn("message_count", F.col("message_count") + 1), m)) == "silver_reconcile.same_message_count"
+    one = g.orderBy("lead_key").limit(1)
+    assert failed(Q.gold_reconcile(g.join(one, "lead_key", "left_anti"), leads)) == "gold_reconcile.keys_missing_left"
+    assert failed(Q.gold_reconcile(g, leads.join(one, "lead_key", "left_anti"))) == "gold_reconcile.keys_missing_right"
+    assert failed(Q.macro_checks(macro.withColumn("lead_pct", F.lit(1.5)))) == "gold_macro.share_in_range"
+    assert failed(Q.macro_checks(macro.filter("dimension <> 'engagement_bucket'"))) == "gold_macro.dimensions_present"
+    assert "silver_messages.no_cpf_leak" in failed(Q.silver_message_checks(m.withColumn("message_body_masked", lit("cpf 123.456.789-01"))))
+    assert "silver_leads.no_leaks" in failed(Q.silver_lead_checks(leads.withColumn("lead_contact_ref", lit("a@b.com"))))
+    keys = {r.check: (r.status, r.violating_rows, r.samples) for r in Q.violating_keys(m, "silver", "message_id", {"odd": F.col("message_id").isin("m3", "m1", "m2"), "none": F.lit(False)}, 2).collect()}
+    assert keys == {"odd": ("failed", 3, "m1,m2"), "none": ("passed", 0, "")}
     empty = gold.dimension_counts(g.limit(0), ("risk_signal", "nowhere")).orderBy("dimension").collect()
     assert [(r.dimension, r.dimension_value, r.lead_count) for r in empty] == [("nowhere", "sem_contrato", 0), ("risk_signal", "sem_informacao", 0)]
 
@@ -172,5 +190,9 @@ def test_publish_stops_at_failed_checks(spark, tmp_path):
     bad = Q.results(d, "x", {"none": F.count("*")})
     with pytest.raises(ValueError, match="none"):
         publish({"t": d}, str(tmp_path / "a"), bad)
-    assert not (tmp_path / "a" / "t").exists()
+    assert not (tmp_path / "a" / "versions").exists()
     assert spark.read.parquet(publish({"t": d}, str(tmp_path / "b"))["t"]).count() == 3
+    with pytest.raises(ValueError, match="none"):
+        publish({"t": d.limit(1)}, str(tmp_path / "b"), bad)
+    assert spark.read.parquet(published(spark, str(tmp_path / "b"))["t"]).count() == 3
+    assert spark.read.parquet(publish({"t": d.limit(2)}, str(tmp_path / "b"))["t"]).count() == 2
