@@ -58,6 +58,8 @@ class PieceCoder:
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(pieces) if sp.is_byte(i)}
         plain = {p.replace("▁", " "): i for i, p in enumerate(pieces) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
         self.char = {p: i for p, i in plain.items() if len(p) == 1}
+        self.letters = np.full(0x110000, -1, np.int32)  # the same by code point
+        self.letters[[ord(p) for p in self.char]] = list(self.char.values())
         self.bytes = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) or sp.is_unknown(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         # a pair's rank: the place of its merged piece among all, best score first
         score = {i: sp.get_score(i) for i in plain.values()}
@@ -102,15 +104,16 @@ class PieceCoder:
     def _keys(self, words: np.ndarray, variants) -> np.ndarray:
         return mix(words ^ self.seed ^ (np.asarray(variants).astype(np.uint64) << np.uint64(7)))
 
-    def _merge(self, units: list[str], variant, seen=None) -> list[bytes]:
-        """The piece ids (as uint16 or uint32 bytes) of units of about the same length. variant: of all, or of each."""
+    def _merge(self, units: list[str], variant, seen=None, key=None) -> list[bytes]:
+        """The piece ids (as uint16 or uint32 bytes) of units of about the same length. variant: of all, or of each; or key:
+        what _keys() gives for them."""
         n, width = len(units), max(map(len, units))
         length = np.fromiter(map(len, units), np.int64, n)
         sym = np.full((n, width), -1, np.int32)
         inside = np.arange(width) < length[:, None]
-        get = self.char.get
-        sym[inside] = np.fromiter((get(c, -1) for u in units for c in u), np.int32, int(length.sum()))
-        key = self._keys(self._words(units), variant) if seen is None else None
+        if key is None and seen is None:
+            key = self._keys(self._words(units), variant)
+        sym[inside] = self.letters[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)]
         nxt = np.tile(np.arange(1, width + 1), (n, 1))
         prv = np.tile(np.arange(-1, width - 1), (n, 1))
         row, at = np.nonzero(inside)
@@ -199,11 +202,12 @@ class PieceCoder:
             keys = mix(np.repeat(np.array([v & (2**64 - 1) for v in variants], np.uint64), sizes) ^ mix(place.astype(np.uint64) + np.uint64(1)))
             n = self.count[ids]
             entry = np.arange(int(n.sum())) + np.repeat(self.first[ids] - (np.cumsum(n) - n), n)
-            skipped = mix(np.repeat(self._keys(self.word[ids], keys), n) ^ self.spots[entry]) < self.limit
+            keys = self._keys(self.word[ids], keys)
+            skipped = mix(np.repeat(keys, n) ^ self.spots[entry]) < self.limit
             own = np.unique(np.repeat(np.arange(len(units)), n)[skipped])
             by = own[np.argsort(np.fromiter((len(units[i]) for i in own.tolist()), np.int64, len(own)), kind="stable")].tolist()
             for part in self._parts(units, by):
-                for i, x in zip(part, self._merge([units[i] for i in part], keys[part]), strict=True):
+                for i, x in zip(part, self._merge([units[i] for i in part], None, key=keys[part]), strict=True):
                     got[i] = x
         return [b"".join(got[e - k : e]) for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
