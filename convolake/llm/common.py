@@ -67,6 +67,12 @@ class Scratch:
         self.paths = []
 
 
+def small_side(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """df (a written table of few narrow columns) as the broadcast side of a join if it has so many rows at most; else as it
+    is, so that both sides are shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def bind(value: Column, body) -> Column:
     """body(value) with value evaluated once, however often body uses it (a lambda variable)."""
     return F.transform(F.array(value), body)[0]

@@ -348,15 +348,18 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, common: int
     return out
 
 
-def _removed(docs: DataFrame, similarity: float) -> DataFrame:
-    return duplicate_lines(docs, similarity).withColumnsRenamed({"doc_id": "__doc", "rid": "__rid"})
+def _removed(docs: DataFrame, similarity: float, sent: int = SENT) -> DataFrame:
+    """The lines to remove, broadcast to the texts if there are so many at most."""
+    gone = duplicate_lines(docs, similarity)
+    few = (gone.agg(F.sum(F.size("removed"))).first()[0] or 0) <= sent
+    return (F.broadcast(gone) if few else gone).withColumnsRenamed({"doc_id": "__doc", "rid": "__rid"})
 
 
-def without_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def without_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, sent: int = SENT) -> DataFrame:
     """docs with the text of each document less its removed lines; all columns stay (n_chars, if there, is recounted)."""
     columns = docs.columns
     d = docs.select(*[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(columns)], F.col("text").alias("__text"), F.col("doc_id").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__own"))
-    d = d.join(_removed(docs, similarity), (F.col("__id") == F.col("__doc")) & (F.col("__own") == F.col("__rid")), "left")
+    d = d.join(_removed(docs, similarity, sent), (F.col("__id") == F.col("__doc")) & (F.col("__own") == F.col("__rid")), "left")
     changed = F.col("removed").isNotNull()
     kept = F.array_join(F.filter(F.split("__text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from convolake.llm.common import Scratch, batch_words, mix, table, written
+from convolake.llm.common import Scratch, batch_words, mix, small_side, table, written
 from convolake.llm.components import components
 from convolake.llm.groups import apart, arranged, by_groups, tiled
 
@@ -47,6 +47,8 @@ BASE = 1.001
 ESTIMATE = 0.55
 #: Partners that a bucket passes on for a class at first; classes in a block of a large bucket.
 BEST, TILE = 2, 512
+#: Rows (ids, or classes whose sets are asked for) up to which they are broadcast to the texts.
+SENT = 500_000
 #: Bytes of registers that are compared at a time.
 BYTES = 1 << 24
 
@@ -257,7 +259,7 @@ def _compared(least: int, best: int | None):
 class Buckets:
     """The classes that share bands, and the links among them that are confirmed so far."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, s: Scratch):
+    def __init__(self, docs: DataFrame, classes: DataFrame, s: Scratch, sent: int = SENT):
         self.s = s
         bands = classes.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.substring("regs", k * 2 * ROWS + 1, F.lit(2 * ROWS)))).alias("band", "values"))
         bands = bands.select(F.xxhash64("band", "values").alias("bucket"), "band", "id")
@@ -265,7 +267,8 @@ class Buckets:
         self.entries = s.written(bands.join(full, "bucket"), "buckets")
         company = self.entries.groupBy("id").agg(F.sum("size").alias("company"))
         self.regs = s.written(classes.join(company, "id"), "candidates")
-        asked = self.regs.groupBy("doc_id").agg(F.collect_list(F.struct("id", "s1", "s2")).alias("asked"))
+        asked = s.written(self.regs.groupBy("doc_id").agg(F.collect_list(F.struct("id", "s1", "s2")).alias("asked")), "asked")
+        asked = F.broadcast(asked) if self.regs.count() <= sent else asked
         self.sets = s.written(docs.select("doc_id", "text").join(asked, "doc_id").mapInPandas(set_rows, "id long, members binary").dropDuplicates(["id"]), "sets")
         self.links = self.comp = None
 
@@ -326,14 +329,14 @@ class Buckets:
         self.test(ordered(self.compared(rows, WIDE_EQUAL, None, tile)))
 
 
-def near_duplicates(docs: DataFrame, best: int = BEST, tile: int = TILE) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of docs. best and tile do not change the result."""
+def near_duplicates(docs: DataFrame, best: int = BEST, tile: int = TILE, sent: int = SENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row of docs. The numbers do not change the result."""
     s, kind = Scratch(docs.sparkSession), dict(docs.dtypes)["doc_id"]
     found = s.written(docs.select("doc_id", "text").mapInPandas(sketch_rows, f"doc_id {kind}, n long, s1 long, s2 long, regs binary, low binary"), "sketches")
     some = found.filter("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("regs").alias("regs"), F.first("low").alias("low"))
     classes = s.written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    b = Buckets(docs, classes, s)
+    b = Buckets(docs, classes, s, sent)
     own = s.written(some.select("doc_id", "s1", "s2").join(classes.select("s1", "s2", "id"), ["s1", "s2"]).select("doc_id", "id").distinct(), "own")
     texts = own.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z").select("doc_id", "a")
     b.linked(s.written(own.join(texts, "doc_id").filter("id <> a").select("a", F.col("id").alias("b")), "same-doc"))
@@ -357,10 +360,10 @@ def near_duplicates(docs: DataFrame, best: int = BEST, tile: int = TILE) -> Data
     return out
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, sent: int = SENT) -> DataFrame:
     """One document of each component (that with the smallest doc_id), with all columns; of rows with the same doc_id, that
     with the least text. Rows without doc_id all stay."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = small_side(written(near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone"), sent)
     rest = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
     repeated = written(docs.groupBy("doc_id").agg(F.count("*").alias("__n")).filter("__n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")), "repeated-ids")
     if repeated.isEmpty():

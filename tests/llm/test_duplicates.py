@@ -51,7 +51,7 @@ def components(texts):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in range(len(texts))}
 
 
-@pytest.mark.parametrize("sizes", [{}, {"best": 1, "tile": 5}])
+@pytest.mark.parametrize("sizes", [{}, {"best": 1, "tile": 5, "sent": 0}])
 def test_near_duplicates(spark, docs, sizes):
     base = prose(200)
     texts = [edited(base, rng.randint(0, 7)) for _ in range(60)] + [prose(80)] * 5 + ["a b c", "A  b c", "a b", "", None, " \n"]
@@ -67,6 +67,7 @@ def test_near_duplicates(spark, docs, sizes):
         return
     kept = near_dups.without_near_duplicates(d)
     assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {i for i, v in got.items() if v[2]}
+    assert sorted(r.doc_id for r in near_dups.without_near_duplicates(d, sent=0).collect()) == sorted(r.doc_id for r in kept.collect())
 
 
 def test_near_duplicates_edges(spark, docs):
@@ -154,6 +155,8 @@ def test_line_dedup(spark, docs, sizes):
     for r in out.collect():
         t = texts[r.doc_id]
         assert r.text == (t if r.doc_id not in want else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[r.doc_id]))
+    shuffled = line_dups.without_duplicate_lines(d, sent=0)
+    assert sorted(map(str, shuffled.collect())) == sorted(map(str, out.collect()))
     assert line_dups.duplicate_lines(docs([])).count() == 0
 
 
