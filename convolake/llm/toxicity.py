@@ -200,8 +200,20 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON) -> tuple[tuple[str, ...
     return tuple(t for t in found if t[-1] != "*"), tuple(t[:-1] for t in found if t[-1] == "*")
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights (the last one constant) of a ridge-penalised logistic regression, by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, positive: int = 0) -> np.ndarray:
+    """Weights (the last one constant) of a ridge-penalised logistic regression, by Newton's method. Of the first so many
+    columns none lowers the score: those that would are left out."""
+    used = np.ones(x.shape[1], bool)
+    while True:
+        w = np.zeros(x.shape[1] + 1)
+        w[np.append(used, True)] = _fitted(x[:, used], y, ridge)
+        against = used & (w[:-1] < 0) & (np.arange(x.shape[1]) < positive)
+        if not against.any():
+            return w
+        used &= ~against
+
+
+def _fitted(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     x = np.hstack([x, np.ones((len(x), 1))])
     w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
@@ -240,7 +252,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     if not 0 < y.sum() < len(y):
         share = (y.sum() + 0.5) / (len(y) + 1.0)
         return ToxicityModel((), (), np.array([0.0] * len(FEATURES) + [np.log(share / (1 - share))]))
-    return ToxicityModel(words, stems, logistic(x, y))
+    return ToxicityModel(words, stems, logistic(x, y, positive=FEATURES.index("quoted")))
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
