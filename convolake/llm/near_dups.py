@@ -50,7 +50,7 @@ BEST, TILE = 2, 512
 #: Rows (ids, or classes whose sets are asked for) up to which they are broadcast to the texts.
 SENT = 500_000
 #: Bytes of registers that are compared at a time.
-BYTES = 1 << 24
+BYTES = 1 << 22
 
 _rng = np.random.Generator(np.random.PCG64(811))
 _TIMES = _rng.integers(0, 2**64, WIDE, dtype=np.uint64) | np.uint64(1)
