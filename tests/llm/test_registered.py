@@ -1,4 +1,4 @@
-"""The ten queries and the pipeline as they are registered, over a small folder of tables with awkward rows."""
+"""The queries and the pipeline as they are registered, over a small folder of tables with awkward rows."""
 
 import hashlib
 import zlib
@@ -6,6 +6,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_duplicates import brute_repeats, components, edited, prose, removed_lines
 from test_rules import base, quality_counts
 
@@ -30,6 +31,8 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(rows, COLUMNS).repartition(3).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([(0, LEAK), (1, None)], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
     spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(len(TEXTS))], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    vectors = [[float((i * 37 + k * k * 11 + i * i * k) % 101) / 100 for k in range(5)] for i in range(12)] + [None, [], [0.5, None, 0.1, 0.2, 0.3], [0.1] * 4 + [float("nan")], [float("inf")] + [0.1] * 4, [0.1, 0.2]]
+    spark.createDataFrame([(i if i != 3 else None, v, 1, "clash", 2.0) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int, y string, whitened double").write.parquet(f"{at}/embeddings.parquet")
     return at
 
 
@@ -46,7 +49,7 @@ def by_id(rows):
 
 def test_every_document_has_a_row(results):
     for name, rows in results.items():
-        if name != "op4_decontamination":
+        if name not in ("op4_decontamination", "op12_embedding_whitening"):
             assert sorted(r["doc_id"] for r in rows) == list(range(len(TEXTS))), name
 
 
@@ -84,7 +87,7 @@ def test_op4_and_op5(results):
     assert all(r["lossless"] for r in results["op5_sentence_pieces"])
 
 
-def test_op6_and_op10_equal_their_sql(results, folder):
+def test_queries_equal_their_sql(results, folder):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
     for name, sql in registry.oracle_sql().items():
@@ -114,8 +117,47 @@ def test_op9(results):
     assert [(got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) for i in range(len(TEXTS))] == want
 
 
+def test_op11(results):
+    for i, r in by_id(results["op11_language_mixtures"]).items():
+        letters = any(c.isalpha() for c in TEXTS[i] or "")
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) and r["lang_pred"] == ("en" if letters else "und") and r["score"] == float(letters)
+
+
+def test_op12(results, spark, folder):
+    rows = [r for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect() if r.embedding and len(r.embedding) == 5 and all(v is not None and np.isfinite(v) for v in r.embedding)]
+    x = np.array([[int(np.floor(1024 * v)) + 100_000 for v in r.embedding] for r in rows])
+    n, total = len(x), x.sum(0)
+    want = sorted((r.vec_id is not None, r.vec_id or 0, k, n, int(v)) for r, v in zip(rows, ((n * x - total) ** 2).sum(1), strict=True) for k in range(1, 6))
+    got = results["op12_embedding_whitening"]
+    assert n == 12 and want == sorted((r["vec_id"] is not None, r["vec_id"] or 0, r["component"], r["n"], r["deviation"]) for r in got)
+    assert max(r["identity_error"] for r in got) < 1e-9 and abs(sum({r["component"]: r["explained"] for r in got}.values()) - 1) < 1e-12
+
+
+def test_op13(results):
+    from test_infill import brute
+
+    for i, r in by_id(results["op13_fill_in_middle"]).items():
+        n, form, prefix, middle, output = brute(i, TEXTS[i])
+        digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        assert (r["n"], r["form"], r["prefix_chars"], r["middle_chars"]) == (n, form, prefix, middle)
+        assert (r["output_sha256"], r["restored_sha256"]) == (digest(output), digest(TEXTS[i] or ""))
+
+
+def test_null_ids_and_repeated_rows(spark, folder, tmp_path):
+    """Each of the new operators gives a row for each row, whatever its key."""
+    documents, vectors = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "embeddings"))
+    few = documents.filter("doc_id IN (0, 1, 2, 3, 14)")
+    few.union(few.filter("doc_id < 2")).union(few.withColumn("doc_id", F.lit(None).cast("long"))).coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    vectors.union(vectors).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {n: registry.queries()[n](spark, str(tmp_path)).collect() for n in ("op11_language_mixtures", "op12_embedding_whitening", "op13_fill_in_middle")}
+    assert len(got["op11_language_mixtures"]) == len(got["op13_fill_in_middle"]) == 12
+    assert sum(r.doc_id is None for r in got["op11_language_mixtures"]) == 5 and sum(r.doc_id == 0 for r in got["op13_fill_in_middle"]) == 2
+    assert len(got["op12_embedding_whitening"]) == 2 * 12 * 5 and sum(r.vec_id is None for r in got["op12_embedding_whitening"]) == 10
+    assert max(r.identity_error for r in got["op12_embedding_whitening"]) < 1e-9
+
+
 def test_empty_tables(spark, folder, tmp_path):
-    for name in ("documents", "benchmark", "labels"):
+    for name in ("documents", "benchmark", "labels", "embeddings"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
     for name, query in registry.queries().items():
         assert query(spark, str(tmp_path)).count() == 0, name
