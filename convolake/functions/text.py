@@ -12,14 +12,24 @@ from convolake import contract as C
 
 
 @cache
-def _accents() -> tuple[str, str]:
-    """Characters up to U+024F whose compatibility decomposition has one ASCII character, and that character."""
-    pairs = []
-    for code in range(0x80, 0x250):
-        plain = [c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 128]
+def _folds() -> tuple[str, str, dict[str, str], str]:
+    """From the compatibility decomposition (NFKD) of every character beyond ASCII: those with one ASCII character in it,
+    that character; those with several, and these; and a pattern that finds the latter."""
+    one, many = [], {}
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 128)
         if len(plain) == 1:
-            pairs.append((chr(code), plain[0]))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+            one.append((chr(code), plain))
+        elif plain:
+            many[chr(code)] = plain
+    spans: list[list[int]] = []
+    for code in map(ord, many):
+        if spans and spans[-1][1] == code - 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    found = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in spans)
+    return "".join(a for a, _ in one), "".join(b for _, b in one), many, f"[{found}]"
 
 
 def safe_string(c: Column) -> Column:
@@ -34,9 +44,21 @@ def safe_float(c: Column) -> Column:
     return c.try_cast("double")
 
 
+def decomposed(c: Column) -> Column:
+    """Characters replaced by the ASCII part of their compatibility decomposition where that has any (accents go, wide and
+    styled letters become plain ones, ligatures and enclosed letters become several). Only texts that hold one of the few
+    hundred characters that become several are taken apart."""
+    source, target, many, pattern = _folds()
+    several = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    text = safe_string(c)
+    plain = F.translate(text, source, target)
+    apart = F.transform(F.regexp_extract_all(plain, F.lit("(?s)."), F.lit(0)), lambda x: F.coalesce(several[x], x))
+    return F.when(~text.rlike(r"[^\x00-\x7F]"), text).when(text.rlike(pattern), F.array_join(apart, "")).otherwise(plain)
+
+
 def ascii_only(c: Column) -> Column:
-    """Accents dropped, then everything that is not ASCII."""
-    return F.regexp_replace(F.translate(safe_string(c), *_accents()), r"[^\x00-\x7F]", "")
+    """The compatibility decomposition (NFKD) without what is not ASCII."""
+    return F.regexp_replace(decomposed(c), r"[^\x00-\x7F]", "")
 
 
 def match_norm(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from convolake import contract as C
@@ -56,20 +56,50 @@ def metadata_keys(df: DataFrame) -> DataFrame:
     return df.select(F.explode(F.json_object_keys(ok)).alias("key")).distinct()
 
 
-def quarantine(df: DataFrame, timestamps: bool = True, metadata: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Rows that go on, and rejected rows with their reason."""
-    reason = F.concat_ws(
+def quarantine_reason(timestamps: bool = True, metadata: bool = True) -> Column:
+    """Why a row is rejected, empty where it is not; each rule can be off."""
+    return F.concat_ws(
         "|",
         F.when(F.lit(timestamps) & F.col("timestamp").isNull(), F.lit("invalid_timestamp")),
         F.when(F.lit(metadata) & ~valid_json(F.col("metadata")), F.lit("invalid_metadata")),
     )
-    d = df.withColumn("quarantine_reason", reason)
+
+
+def quarantine(df: DataFrame, timestamps: bool = True, metadata: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Rows that go on, and rejected rows with their reason."""
+    d = df.withColumn("quarantine_reason", quarantine_reason(timestamps, metadata))
     return d.filter("quarantine_reason = ''").drop("quarantine_reason"), d.filter("quarantine_reason <> ''")
 
 
-def quarantine_counts(df: DataFrame) -> DataFrame:
-    bad_time, bad_json = F.col("timestamp").isNull(), ~valid_json(F.col("metadata"))
-    return df.agg(F.count("*").alias("rows"), F.count_if(bad_time).alias("invalid_timestamp"), F.count_if(bad_json).alias("invalid_metadata"), F.count_if(bad_time | bad_json).alias("quarantined"))
+def _quarantine_counts() -> list[Column]:
+    reason = F.col("quarantine_reason")
+    return [
+        F.count("*").alias("rows"),
+        F.count_if(reason.contains("invalid_timestamp")).alias("invalid_timestamp"),
+        F.count_if(reason.contains("invalid_metadata")).alias("invalid_metadata"),
+        F.count_if(reason != "").alias("quarantined"),
+    ]
+
+
+def quarantine_counts(df: DataFrame, timestamps: bool = True, metadata: bool = True) -> DataFrame:
+    """One row: rows, rows of each reason (a rule that is off counts none), rejected rows."""
+    return df.withColumn("quarantine_reason", quarantine_reason(timestamps, metadata)).agg(*_quarantine_counts())
+
+
+def quarantine_write(df: DataFrame, path: str, timestamps: bool = True, metadata: bool = True) -> DataFrame:
+    """Writes all rows in one pass, accepted ones below path/quarantined=false and rejected ones (with their reason) below
+    path/quarantined=true, and returns the report (one row, as quarantine_counts()) that was counted on the way."""
+    told = Observation()
+    d = df.withColumn("quarantine_reason", quarantine_reason(timestamps, metadata)).observe(told, *_quarantine_counts())
+    d.withColumn("quarantined", F.col("quarantine_reason") != "").write.mode("overwrite").partitionBy("quarantined").parquet(path)
+    names = ("rows", "invalid_timestamp", "invalid_metadata", "quarantined")
+    return df.sparkSession.createDataFrame([tuple(int(told.get[n]) for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+def quarantine_read(spark: SparkSession, path: str, schema: str, quarantined: bool) -> DataFrame:
+    """The rows of one side; only its files are read."""
+    d = spark.read.schema(f"{schema}, quarantine_reason string, quarantined boolean").parquet(path)
+    return d.filter(F.col("quarantined") == quarantined).drop("quarantined", *([] if quarantined else ["quarantine_reason"]))
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -86,6 +116,25 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
+#: Columns whose most frequent values a profile shows. Fixed values.
+PROFILED = ("direction", "message_type", "status", "channel", "conversation_outcome")
+
+
+def profile_values(df: DataFrame, columns: tuple[str, ...] = PROFILED, n: int = 10) -> DataFrame:
+    """column_name, value, rows and rank of the n most frequent values of each column (nulls are a value; equals go by
+    value), from one scan: grouping sets count all columns at once, and ranks are limited before the shuffle by column."""
+    some = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counted = some.groupingSets([[F.col(c)] for c in columns], *[F.col(c) for c in columns]).agg(F.grouping_id().alias("set"), F.count("*").alias("rows"))
+    # in the grouping id the first column is the highest bit, and a column's bit is 0 in its own set
+    full, k = (1 << len(columns)) - 1, len(columns)
+    mine = [F.col("set") == full - (1 << (k - 1 - i)) for i in range(k)]
+    name = F.coalesce(*[F.when(m, F.lit(c)) for m, c in zip(mine, columns, strict=True)])
+    value = F.coalesce(*[F.when(m, F.col(c)) for m, c in zip(mine, columns, strict=True)])
+    d = counted.select(name.alias("column_name"), value.alias("value"), "rows")
+    rank = F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("rows"), F.asc_nulls_last("value")))
+    return d.withColumn("rank", rank).filter(F.col("rank") <= n)
+
+
 def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).count().orderBy(F.desc("count"), F.asc_nulls_last("value")).limit(n)
 
@@ -149,6 +198,13 @@ def drift_report(events: DataFrame) -> DataFrame:
     return classes.join(got, "drift_class", "left").select("drift_class", F.coalesce("n", F.lit(0)).alias("events"), F.coalesce("policy", F.lit("silent")).alias("policy"))
 
 
+def validation_report(df: DataFrame, overrides: dict[str, str] | None = None) -> DataFrame:
+    """drift_report() of a message table, with schema_ok: false on every row where any event blocks."""
+    report = drift_report(drift_policy(drift_events(df).drop("policy"), overrides))
+    blocked = report.agg(F.coalesce(F.bool_or(F.col("policy") == "block"), F.lit(False)).alias("blocked"))
+    return report.join(F.broadcast(blocked)).withColumn("schema_ok", ~F.col("blocked")).drop("blocked")  # blocked is one row
+
+
 def passthrough_names(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Unknown columns get the passthrough prefix."""
     known = {*C.REQUIRED_COLUMNS, *keep}

@@ -38,3 +38,13 @@ def smallest(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(key).orderBy(value))
     few = df.select(key, value).distinct().withColumn("__rank", rank).filter(F.col("__rank") <= n)
     return few.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(value)), ",").alias("samples"))
+
+
+def hashed(c: Column) -> Column:
+    """An order that has nothing to do with the values' own (hexadecimal MD5)."""
+    return F.md5(c.cast("binary"))
+
+
+def bottom_k(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """The n rows with the smallest key (nulls last): each task keeps n, so nothing else is moved."""
+    return df.orderBy(key.asc_nulls_last(), *df.columns).limit(n)

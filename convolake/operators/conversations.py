@@ -44,12 +44,6 @@ def conversation_features(messages: DataFrame) -> DataFrame:
     )
 
 
-def conversation_payload(messages: DataFrame) -> DataFrame:
-    """The masked messages of each conversation in order: a model's input, as long as the conversation."""
-    m = F.struct("timestamp", "message_id", "direction", "message_body_masked")
-    return messages.groupBy("conversation_id").agg(F.array_sort(F.collect_list(m)).alias("messages"))
-
-
 def conversation_input_hash(messages: DataFrame) -> DataFrame:
     """A stable hash of each conversation's input, from sums over its messages (no conversation is gathered)."""
     h = F.xxhash64("timestamp", "message_id", "direction", "message_body_masked")

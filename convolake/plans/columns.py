@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convolake.operators.common import smallest
+from convolake.operators.common import bottom_k, hashed
 
 
 def condition(df: DataFrame, expression: str) -> Column:
@@ -60,10 +60,24 @@ def apply_columns(gold: DataFrame, plan: list[Bucket | Alias | Aggregate], messa
     return gold
 
 
-def schema_sample(df: DataFrame, hidden: tuple[str, ...] = ()) -> DataFrame:
-    """column, type and up to five distinct values of each column that is not hidden."""
-    kinds = {c: t for c, t in df.dtypes if c not in hidden and not c.startswith("message_body")}
+def _shown(df: DataFrame, hidden: tuple[str, ...]) -> dict[str, str]:
+    return {c: t for c, t in df.dtypes if c not in hidden and not c.startswith("message_body")}
+
+
+def schema_sample(df: DataFrame, hidden: tuple[str, ...] = (), n: int = 5) -> DataFrame:
+    """column_name, dtype and samples of each column that is not hidden: the n of its distinct values whose hash is lowest,
+    joined. No order of rows and no split into partitions changes them; ranks are limited before the shuffle."""
+    kinds = _shown(df, hidden)
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in kinds])).alias("x")
-    few = smallest(df.select(cells).select("x.*").filter("value IS NOT NULL"), "column_name", "value", 5)
+    each = df.select(cells).select("x.*").filter("value IS NOT NULL").distinct()
+    rank = F.row_number().over(Window.partitionBy("column_name").orderBy(hashed(F.col("value")), "value"))
+    found = each.withColumn("r", rank).filter(F.col("r") <= n).groupBy("column_name").agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("samples"))
     dtype = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])
-    return few.withColumn("dtype", dtype[F.col("column_name")])
+    return found.select("column_name", "samples", dtype[F.col("column_name")].alias("dtype"))
+
+
+def row_sample(df: DataFrame, hidden: tuple[str, ...] = (), n: int = 10) -> DataFrame:
+    """The n rows (columns that are not hidden, as text) whose hash is lowest: each task keeps n of its own."""
+    kinds = _shown(df, hidden)
+    d = df.select(*[F.col(c).cast("string").alias(c) for c in kinds])
+    return bottom_k(d, hashed(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in kinds])), n)

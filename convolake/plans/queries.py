@@ -14,15 +14,16 @@ from convolake.operators import bronze as B
 from convolake.operators import change as D
 from convolake.operators import checks as Q
 from convolake.operators import conversations as V
+from convolake.operators import enrichment as N
 from convolake.operators import gold as G
 from convolake.operators import publication as P
 from convolake.operators import silver as S
-from convolake.plans.columns import Aggregate, Alias, Bucket, apply_columns, condition, schema_sample
+from convolake.plans.columns import Aggregate, Alias, Bucket, apply_columns, condition, row_sample, schema_sample
 from convolake.plans.oracle import AUDIENCE, sql
 from convolake.plans.oracle import PII as PII_SQL
 from convolake.plans.oracle import UNMASKED as UNMASKED_SQL
 from convolake.sources.messages import fixture_messages, message_ids, publish, read_parquet, read_report, scratch_folder, write_parquet, write_report
-from convolake.streaming.refresh import replay_idle, replay_ingest, replay_refresh
+from convolake.streaming.refresh import replay_idle, replay_ingest, replay_late, replay_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,10 +92,27 @@ def columns_of(name: str, layer: str, *cols: str) -> None:
 columns_of("src_parquet", "bronze", *C.REQUIRED_COLUMNS[1:])
 columns_of("src_bronze", "bronze", "conversation_id", "timestamp", "direction", "message_body")
 add("src_ids", lambda s, d: message_ids(bronze(s, d)), "SELECT DISTINCT message_id FROM bronze")
-add("snk_quarantine", lambda s, d: B.quarantine(bronze(s, d))[1].select("message_id", "quarantine_reason"),
+def _quarantined(s, d):
+    at = scratch_folder(s, "quarantine")
+    report = B.quarantine_write(bronze(s, d), at)
+    return at, report
+
+
+add("snk_quarantine", lambda s, d: B.quarantine_read(s, _quarantined(s, d)[0], C.BRONZE_SCHEMA, True).select("message_id", "quarantine_reason"),
     """SELECT message_id, concat_ws('|', CASE WHEN "timestamp" IS NULL THEN 'invalid_timestamp' END, CASE WHEN NOT json_ok THEN 'invalid_metadata' END) AS quarantine_reason FROM parsed WHERE "timestamp" IS NULL OR NOT json_ok""")
 
 
+def _quarantine_report(s, d):
+    """The counts taken while writing, beside those of the files."""
+    at, report = _quarantined(s, d)
+    count = lambda side, name: B.quarantine_read(s, at, C.BRONZE_SCHEMA, side).agg(F.count("*").alias(name))
+    return report.join(count(True, "rejected_read")).join(count(False, "accepted_read"))  # one row each
+
+
+add("snk_quarantine_report", _quarantine_report, """SELECT count(*) AS rows, count(*) FILTER ("timestamp" IS NULL) AS invalid_timestamp, count(*) FILTER (NOT json_ok) AS invalid_metadata, count(*) FILTER ("timestamp" IS NULL OR NOT json_ok) AS quarantined,
+    count(*) FILTER ("timestamp" IS NULL OR NOT json_ok) AS rejected_read, count(*) FILTER ("timestamp" IS NOT NULL AND json_ok) AS accepted_read FROM parsed""")
+
+
 def _through_parquet(s, d):
     at = scratch_folder(s, "parquet")
     write_parquet(parsed(s, d).select("message_id", "metadata_city"), at)
@@ -128,12 +146,25 @@ add("brz_cast_categories", lambda s, d: B.cast_categories(bronze(s, d)).select("
 add("brz_required_columns", lambda s, d: B.required_columns(bronze(s, d)), "SELECT count(*) AS row_count, '' AS missing_columns, TRUE AS schema_ok FROM bronze")
 add("brz_metadata_keys", lambda s, d: B.metadata_keys(bronze(s, d)), "SELECT DISTINCT unnest(json_keys(CASE WHEN json_valid(metadata) THEN metadata END)) AS key FROM bronze")
 add("brz_build", lambda s, d: B.cast_categories(parsed(s, d)).select("message_id", *_domains, *META), f"SELECT message_id, {', '.join(_cast(c, v) for c, v in _domains.items())}, {', '.join(META)} FROM parsed")
-add("brz_validation_report", lambda s, d: B.drift_report(B.drift_events(bronze(s, d))), """SELECT c AS drift_class, CASE c WHEN 'unknown_metadata_key' THEN (SELECT count(DISTINCT k) FROM (SELECT unnest(json_keys(CASE WHEN json_valid(metadata) THEN metadata END)) AS k FROM bronze) WHERE k NOT IN ('device', 'city', 'state', 'response_time_sec', 'is_business_hours', 'lead_source'))
-  WHEN 'category_drift' THEN (SELECT count(*) FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)) ELSE 0 END AS events, CASE c WHEN 'unknown_metadata_key' THEN 'passthrough_with_alert' WHEN 'category_drift' THEN 'quarantine' ELSE 'silent' END AS policy
-  FROM (VALUES ('missing_required'), ('unknown'), ('optional_known'), ('unknown_metadata_key'), ('type_mismatch'), ('category_drift')) t(c)""")
-add("brz_quarantine", lambda s, d: B.quarantine_counts(bronze(s, d)), """SELECT count(*) AS rows, count(*) FILTER ("timestamp" IS NULL) AS invalid_timestamp, count(*) FILTER (NOT json_ok) AS invalid_metadata, count(*) FILTER ("timestamp" IS NULL OR NOT json_ok) AS quarantined FROM parsed""")
+add("brz_validation_report", lambda s, d: B.validation_report(bronze(s, d), {"leadScore": "block"}), """SELECT *, NOT coalesce(bool_or(policy = 'block') OVER (), FALSE) AS schema_ok FROM (SELECT c AS drift_class, CASE c WHEN 'unknown_metadata_key' THEN (SELECT count(DISTINCT k) FROM (SELECT unnest(json_keys(CASE WHEN json_valid(metadata) THEN metadata END)) AS k FROM bronze) WHERE k NOT IN ('device', 'city', 'state', 'response_time_sec', 'is_business_hours', 'lead_source'))
+  WHEN 'category_drift' THEN (SELECT count(*) FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)) ELSE 0 END AS events, CASE c WHEN 'unknown_metadata_key' THEN 'block' WHEN 'category_drift' THEN 'quarantine' ELSE 'silent' END AS policy
+  FROM (VALUES ('missing_required'), ('unknown'), ('optional_known'), ('unknown_metadata_key'), ('type_mismatch'), ('category_drift')) t(c))""")
+def _toggled(s, d):
+    """The report under each setting of the two rules."""
+    from functools import reduce
+
+    m = bronze(s, d)
+    each = [B.quarantine_counts(m, t, j).select(F.lit(t).alias("timestamps"), F.lit(j).alias("metadata"), "*") for t in (True, False) for j in (True, False)]
+    return reduce(DataFrame.unionByName, each)
+
+
+add("brz_quarantine", _toggled, """SELECT t AS timestamps, j AS metadata, count(*) AS rows, count(*) FILTER (t AND "timestamp" IS NULL) AS invalid_timestamp, count(*) FILTER (j AND NOT json_ok) AS invalid_metadata,
+    count(*) FILTER ((t AND "timestamp" IS NULL) OR (j AND NOT json_ok)) AS quarantined FROM parsed, (VALUES (TRUE, TRUE), (TRUE, FALSE), (FALSE, TRUE), (FALSE, FALSE)) v(t, j) GROUP BY t, j""")
 add("brz_valid_json", lambda s, d: bronze(s, d).select("message_id", B.valid_json(F.col("metadata")).alias("valid")), "SELECT message_id, json_ok AS valid FROM parsed")
 add("brz_profile", lambda s, d: B.profile(bronze(s, d)), f"""SELECT count(*) AS rows, count(DISTINCT conversation_id) AS conversations, {', '.join(f'count(*) FILTER ("{c}" IS NULL) AS null_{c}' for c in C.REQUIRED_COLUMNS)}, min(length(message_body)) AS body_min, avg(length(message_body)) AS body_mean, quantile_cont(length(message_body), 0.95) AS body_p95, max(length(message_body)) AS body_max FROM bronze""")
+add("brz_profile_values", lambda s, d: B.profile_values(bronze(s, d)), f"""SELECT column_name, value, rows, rank FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY rows DESC, value NULLS LAST) AS rank FROM (
+    SELECT CASE {' '.join(f"WHEN GROUPING({c}) = 0 THEN '{c}'" for c in B.PROFILED)} END AS column_name, CASE {' '.join(f"WHEN GROUPING({c}) = 0 THEN {c}" for c in B.PROFILED)} END AS value, count(*) AS rows
+    FROM bronze GROUP BY GROUPING SETS ({', '.join(f"({c})" for c in B.PROFILED)}))) WHERE rank <= 10""")
 # --- schema evolution -----------------------------------------------------------------------------------------------------
 add("drift_columns", lambda s, d: B.drift_columns(s, bronze(s, d).withColumns({"extra": F.lit("x")}).drop("status").columns).join(bronze(s, d).agg(F.count("*").alias("rows"))), "SELECT column_name, drift_class, (SELECT count(*) FROM bronze) AS rows FROM (VALUES ('status', 'missing_required'), ('extra', 'unknown')) t(column_name, drift_class)")
 add("drift_metadata_keys", lambda s, d: B.drift_metadata_keys(bronze(s, d)), "SELECT DISTINCT k AS column_name, 'unknown_metadata_key' AS drift_class FROM (SELECT unnest(json_keys(CASE WHEN json_valid(metadata) THEN metadata END)) AS k FROM bronze) WHERE k NOT IN ('device', 'city', 'state', 'response_time_sec', 'is_business_hours', 'lead_source')")
@@ -148,14 +179,45 @@ add("drift_extra_agg", lambda s, d: S.extra_aggregates(silver(s, d), {"status":
     CAST(sum(duplicate_event_group_size) AS BIGINT) AS duplicate_event_group_size_sum, bool_or(is_empty_message) AS is_empty_message_any, bool_and(is_inbound) AS is_inbound_all,
     (SELECT message_type FROM (SELECT s2.message_type, count(*) AS n FROM silver s2 WHERE s2.lead_key = s.lead_key GROUP BY 1) ORDER BY n DESC, message_type LIMIT 1) AS message_type_mode FROM silver s GROUP BY lead_key""")
 CANDIDATES = ("agent_id", "campaign_id", "message_body")
-add("drift_promotion_stats", lambda s, d: D.promotion_stats(bronze(s, d), CANDIDATES).select("column_name", "density", "distinct_values", "numeric"), " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) / count(*) AS density, count(DISTINCT {c}) AS distinct_values, count(TRY_CAST({c} AS DOUBLE)) > 1 AS numeric FROM bronze" for c in CANDIDATES))
+PROMOTED = (*CANDIDATES, "response")
+_numbered = lambda s, d: parsed(s, d).withColumn("response", F.col("metadata_response_time_sec").cast("string"))
+_numbered_sql = "(SELECT *, CAST(metadata_response_time_sec AS VARCHAR) AS response FROM parsed)"
+_exact = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) / count(*) AS density, count(DISTINCT {c}) AS distinct_values, count(TRY_CAST({c} AS DOUBLE)) > 1 AS numeric, round(avg(TRY_CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(TRY_CAST({c} AS DOUBLE)), 6) AS std, CASE WHEN count(TRY_CAST({c} AS DOUBLE)) > 1 THEN 'numeric_continuous' ELSE 'categorical_text' END AS value_class FROM {_numbered_sql}" for c in PROMOTED)
+add("drift_promotion_stats", lambda s, d: D.promotion_stats(_numbered(s, d), PROMOTED).withColumns({c: F.round(c, 6) for c in ("mean", "std")}), _exact)
+
+
+def _by_cycles(s, d):
+    """Sketches of three cycles (days 1 to 10, 11 to 20, later or unknown), stored as they come, merged without the rows."""
+    m, at = _numbered(s, d), scratch_folder(s, "sketches")
+    day = F.coalesce(F.dayofyear("timestamp"), F.lit(366))
+    for cycle, (low, high) in enumerate(((1, 10), (11, 20), (21, 366))):
+        D.column_sketches(m.filter(day.between(low, high)), PROMOTED, cycle).coalesce(1).write.mode("append").parquet(at)
+    return D.sketched_stats(D.merged_sketches(s.read.schema(D.SKETCHES).parquet(at)))
+
+
+add("drift_promotion_sketches", lambda s, d: _by_cycles(s, d).join(D.promotion_stats(_numbered(s, d), PROMOTED).select("column_name", F.col("distinct_values").alias("exact")), "column_name")
+    .select("column_name", "density", "numeric", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "value_class", (F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * 0.05).alias("within_5_pct")),
+    f"SELECT column_name, density, numeric, mean, std, value_class, TRUE AS within_5_pct FROM ({_exact})")
 _stats = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) / count(*) AS density, count(DISTINCT {c}) AS n FROM bronze" for c in CANDIDATES)
 add("drift_promotion_level", lambda s, d: D.promotion_stats(bronze(s, d), CANDIDATES).select("column_name", D.promotion_level(F.col("density"), F.col("distinct_values"), F.col("numeric"), F.lit(5), F.col("column_name") == "message_body").alias("level")),
     f"SELECT column_name, CASE WHEN density < 0.2 OR column_name = 'message_body' THEN 'none' WHEN n <= 20 AND density > 0.7 THEN 'macro_dimension' WHEN n > 100 AND density > 0.5 THEN 'silver' ELSE 'bronze_optional' END AS level FROM ({_stats} )")
 add("drift_promotion_confidence", lambda s, d: D.promotion_stats(bronze(s, d), CANDIDATES).select("column_name", D.promotion_confidence(F.lit(4), F.lit(True), (F.col("distinct_values") <= 20).cast("double"), F.col("column_name") == "message_body").alias("confidence")),
     f"SELECT column_name, round(0.4 * 0.8 + 0.2 + 0.2 * CAST(n <= 20 AS INT) + 0.2 * CAST(column_name <> 'message_body' AS INT), 4) AS confidence FROM ({_stats})")
-add("drift_observation_history", lambda s, d: D.observation_runs(bronze(s, d).filter("timestamp IS NOT NULL").select(F.dayofyear("timestamp").alias("cycle"), F.col("campaign_id").alias("column_name"), F.lit("string").alias("dtype")).distinct()),
-    """SELECT column_name, cycles, last_cycle FROM (SELECT column_name, count(*) AS cycles, max(cycle) AS last_cycle, row_number() OVER (PARTITION BY column_name ORDER BY max(cycle) DESC) AS r FROM (SELECT *, cycle - row_number() OVER (PARTITION BY column_name ORDER BY cycle) AS g FROM (SELECT DISTINCT CAST(dayofyear("timestamp") AS INT) AS cycle, campaign_id AS column_name FROM bronze WHERE "timestamp" IS NOT NULL)) GROUP BY column_name, g) WHERE r = 1""")
+def _observed(s, d):
+    """A log in which a campaign's type changes on day 8, one's class on day 21; one is gone after day 9, one on days 5 to 27,
+    one on days 12 to 14."""
+    day, camp = F.dayofyear("timestamp"), F.substring("campaign_id", 1, 6)
+    gone = ((camp == "camp_1") & (day > 9)) | ((camp == "camp_2") & day.between(5, 27)) | ((camp == "camp_4") & day.between(12, 14))
+    log = bronze(s, d).filter("timestamp IS NOT NULL").filter(~gone).select(day.alias("cycle"), F.col("campaign_id").alias("column_name"), F.when(day < 8, "string").otherwise("double").alias("dtype"), F.when((camp == "camp_3") & (day > 20), "type_mismatch").otherwise("unknown").alias("drift_class"))
+    return log.distinct()
+
+
+_log = """SELECT DISTINCT CAST(dayofyear("timestamp") AS INT) AS cycle, campaign_id AS column_name, CASE WHEN dayofyear("timestamp") < 8 THEN 'string' ELSE 'double' END AS dtype, CASE WHEN campaign_id LIKE 'camp_3%' AND dayofyear("timestamp") > 20 THEN 'type_mismatch' ELSE 'unknown' END AS drift_class
+    FROM bronze WHERE "timestamp" IS NOT NULL AND NOT (campaign_id LIKE 'camp_1%' AND dayofyear("timestamp") > 9 OR campaign_id LIKE 'camp_2%' AND dayofyear("timestamp") BETWEEN 5 AND 27 OR campaign_id LIKE 'camp_4%' AND dayofyear("timestamp") BETWEEN 12 AND 14)"""
+add("drift_observation_history", lambda s, d: D.observation_runs(_observed(s, d)), f"""SELECT column_name, count(*) AS cycles, max(cycle) AS last_cycle, CAST(u - max(cycle) AS BIGINT) AS absent_cycles, least(5, count(*) FILTER (drift_class = 'type_mismatch')) AS mismatches, last(dtype ORDER BY cycle) AS dtype, last(drift_class ORDER BY cycle) AS drift_class
+    FROM (SELECT *, max(run) OVER (PARTITION BY column_name) AS last_run FROM (SELECT *, sum(CAST(broken AS INT)) OVER (PARTITION BY column_name ORDER BY cycle) AS run FROM (
+      SELECT *, (SELECT max(cycle) FROM ({_log})) AS u, coalesce(lag(cycle) OVER w <= cycle - 21 OR lag(dtype) OVER w <> dtype OR lag(drift_class) OVER w <> drift_class, TRUE) AS broken FROM ({_log}) WINDOW w AS (PARTITION BY column_name ORDER BY cycle))))
+    WHERE run = last_run GROUP BY column_name, u HAVING u - max(cycle) < 20""")
 add("drift_privacy_scan", lambda s, d: bronze(s, d).agg(F.bool_or(F.size(T.pii_classes(F.col("message_body"))) > 0).alias("body"), F.bool_or(F.size(T.pii_classes(F.col("agent_id"))) > 0).alias("agent")), "SELECT bool_or(contains_email OR contains_phone OR contains_cpf OR contains_cep OR contains_plate) AS body, FALSE AS agent FROM silver")
 # --- joins --------------------------------------------------------------------------------------------------------------
 columns_of("join_gold_left", "gold", "city", "message_count", "total_messages", "vehicle_make", "vehicle_model", "vehicle_year", "primary_sinistro_type")
@@ -185,8 +247,27 @@ _known_sql = "(SELECT message_id FROM bronze WHERE substr(message_id, 12, 1) <>
 for _n in ("join_cdc_anti", "cdc_new_ids"):
     add(_n, lambda s, d: D.new_ids(bronze(s, d), _known(s, d)), f"SELECT DISTINCT message_id FROM bronze WHERE message_id NOT IN {_known_sql}")
 add("cdc_missing_ids", lambda s, d: D.missing_ids(bronze(s, d), _known(s, d)), f"SELECT DISTINCT message_id FROM {_known_sql} WHERE message_id NOT IN (SELECT message_id FROM bronze)")
-add("cdc_fingerprint", lambda s, d: D.fingerprint(bronze(s, d)).select("ids"), "SELECT count(DISTINCT message_id) AS ids FROM bronze")
-add("cdc_changed", lambda s, d: D.changed(D.fingerprint(bronze(s, d)), D.fingerprint(_known(s, d))), "SELECT count(*) > 0 AS changed FROM bronze WHERE substr(message_id, 12, 1) = '3'")
+_hash = "CAST('0x' || substr(md5(message_id), 1, 15) AS BIGINT)"
+add("cdc_fingerprint", lambda s, d: D.fingerprint(bronze(s, d)).withColumn("total", F.col("total").cast("string")), f"SELECT count(*) AS ids, bit_xor({_hash}) AS xor, CAST(sum({_hash}) AS VARCHAR) AS total FROM (SELECT DISTINCT message_id FROM bronze)")
+
+
+def _watched(s, d):
+    """Four runs over a source: the first, one over the same ids in another order and twice, one that lacks some, one in which
+    an id has been exchanged for another."""
+    m = bronze(s, d).select("message_id")
+    most = m.filter("substr(message_id, 12, 1) <> '3'")
+    other = most.withColumn("message_id", F.when(F.substring("message_id", 12, 1) == "5", F.concat(F.lit("old"), "message_id")).otherwise(F.col("message_id")))
+    at = D.Fingerprints(s, scratch_folder(s, "fingerprints"))
+    from functools import reduce
+
+    return reduce(DataFrame.unionByName, [at.observe(x) for x in (m, m.unionByName(m).orderBy(F.desc("message_id")), most, other)])
+
+
+_n = lambda digit: f"(SELECT count(DISTINCT message_id) FROM bronze WHERE substr(message_id, 12, 1) = '{digit}')"
+add("cdc_changed", _watched, f"""SELECT 0 AS run, TRUE AS changed, count(DISTINCT message_id) AS ids, count(DISTINCT message_id) AS added, TRUE AS xor_differs, TRUE AS total_differs FROM bronze
+    UNION ALL SELECT 1, FALSE, count(DISTINCT message_id), 0, FALSE, FALSE FROM bronze
+    UNION ALL SELECT 2, {_n(3)} > 0, count(DISTINCT message_id) - {_n(3)}, -{_n(3)}, {_n(3)} > 0, {_n(3)} > 0 FROM bronze
+    UNION ALL SELECT 3, {_n(5)} > 0, count(DISTINCT message_id) - {_n(3)}, 0, {_n(5)} > 0, {_n(5)} > 0 FROM bronze""")
 
 
 def _cached(s, d):
@@ -227,7 +308,11 @@ for _n in ("join_column_plan_agg", "plan_apply", "plan_aggregate"):
 add("plan_bucket", lambda s, d: apply_columns(gold(s, d), [PLAN[2]]).select("lead_key", "size"), "SELECT lead_key, CASE WHEN total_messages > 20 THEN 'big' WHEN total_messages > 5 THEN 'mid' ELSE 'small' END AS size FROM gold")
 add("plan_alias", lambda s, d: apply_columns(gold(s, d), [PLAN[3], PLAN[4]]).select("lead_key", "town", F.col("absent").isNull().alias("absent_null")), "SELECT lead_key, city AS town, TRUE AS absent_null FROM gold")
 add("plan_condition", lambda s, d: (lambda g: g.select("lead_key", condition(g, "mentioned_competitor AND avg_quoted_price > 900").alias("hit"), condition(g, "nowhere > 1").alias("none")))(gold(s, d)), "SELECT lead_key, coalesce(mentioned_competitor AND avg_quoted_price > 900, FALSE) AS hit, FALSE AS none FROM gold")
-add("plan_schema_sample", lambda s, d: schema_sample(bronze(s, d).select("direction", "status", "message_type", "message_body")), " UNION ALL ".join(f"SELECT '{c}' AS column_name, 'string' AS dtype, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM bronze ORDER BY 1 LIMIT 5)) AS samples" for c in ("direction", "status", "message_type")))
+_low = lambda c: f"(SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {c} AS v, md5({c}) AS h FROM bronze WHERE {c} IS NOT NULL ORDER BY h, v LIMIT 5))"
+_sampled = ("direction", "status", "message_type", "conversation_id")
+add("plan_schema_sample", lambda s, d: schema_sample(bronze(s, d).select(*_sampled, "message_body", "agent_id"), hidden=("agent_id",)), " UNION ALL ".join(f"SELECT '{c}' AS column_name, 'string' AS dtype, {_low(c)} AS samples" for c in _sampled))
+_whole = ", ".join(f"coalesce('=' || {c}, '')" for c in ("message_id", "direction", "conversation_outcome"))
+add("plan_row_sample", lambda s, d: row_sample(bronze(s, d).select("message_id", "direction", "conversation_outcome", "message_body")), f"SELECT message_id, direction, conversation_outcome FROM bronze ORDER BY md5(concat_ws('|', {_whole})), message_id LIMIT 10")
 # --- dedup, context, windows --------------------------------------------------------------------------------------------
 columns_of("dedup_events", "silver", "status", "duplicate_event_group_size", "had_status_duplication", "dropped_duplicate_events")
 columns_of("ctx_conversation", "silver", "conversation_lead_name", "conversation_agent_name", "conversation_lead_phone")
@@ -292,13 +377,72 @@ columns_of("conv_features", "semantics", *FEATURES)
 add("conv_input_hash", lambda s, d: V.conversation_input_hash(silver(s, d)))
 SEM = ("sentiment_label", "sentiment_confidence_band", "intent_stage", "persona_profile", "audience_segment", "price_objection_intensity", "competitor_pressure_level", "commercial_urgency_signal", "recommended_next_action", "data_shared_score")
 columns_of("conv_semantics", "semantics", *SEM)
-columns_of("conv_enrichment", "semantics", "lead_key", "message_count", *SEM)
+
+
+def hashed_conversations(s, d):
+    m = held(silver(s, d), "silver")
+    return held(V.conversation_semantics(V.conversation_features(m)).join(V.conversation_input_hash(m), "conversation_id"), "hashed")
+
+
+def fixture_answers(x: DataFrame) -> DataFrame:
+    """Answers of a model about conversations, by the last digit of (lead number + day): none (0), a provider that failed
+    (1), a word outside its vocabulary (2), a note that is too long (3) or shows personal data (4), synonyms (5), typos (6),
+    a field that is missing (7), and proper ones (8, 9), which an older and worse answer precedes."""
+    n = F.substring("conversation_id", 6, 20).cast("long")
+    k = (F.floor(n / 10) + n % 10) % 10
+    c, when = F.col, lambda kind, other, field: F.when(k == kind, other).otherwise(F.col(field))
+    says = {f: c(f) for f in N.FIELDS} | {
+        "sentiment_label": when(5, " Positive", "sentiment_label"),
+        "sentiment_confidence_band": when(5, "HIGH", "sentiment_confidence_band"),
+        "intent_stage": F.when(k == 2, "comprar_agora").when(k == 5, "Quote request").otherwise(c("intent_stage")),
+        "persona_profile": F.when(k == 6, F.concat("persona_profile", F.lit("r"))).when(k == 7, F.lit(None)).otherwise(c("persona_profile")),
+        "audience_segment": when(6, F.upper(F.translate("audience_segment", "_", "-")), "audience_segment"),
+        "competitor_pressure_level": F.when(k >= 8, "alta").otherwise(c("competitor_pressure_level")),
+        "explanation_short": F.when(k == 3, F.repeat(F.lit("x"), F.lit(281))).when(k == 4, "fale com ana@exemplo.com").otherwise("ok"),
+    }
+    error = lambda *parts: F.struct(*[F.lit(p).cast("string").alias(name) for name, p in zip(("provider", "kind", "detail"), parts, strict=True)])
+    output = F.struct(*[says[f].cast("string").alias(f) for f in (*N.FIELDS, "explanation_short")])
+    now = x.filter(k > 0).select(
+        "conversation_id", "input_hash", F.lit("v1").alias("prompt_version"), F.lit("model").alias("model"), F.when(k == 1, "timeout").otherwise("success").alias("status"), F.lit("alpha").alias("provider_name"),
+        F.when(k == 1, F.array(F.lit("alpha"), F.lit("beta"))).otherwise(F.array(F.lit("alpha"))).alias("attempted_providers"), F.when(k == 1, F.array(error("alpha", "timeout", "30s"), error("beta", "", None))).alias("provider_errors"),
+        F.when(k != 1, output).alias("output"), F.lit(None).cast("string").alias("validation_error"), F.lit("t").alias("trace_id"), F.lit("2024-02-02").cast("timestamp").alias("answered_at"),
+    )
+    worse = now.withColumns({"status": F.lit("fallback"), "output": F.lit(None).cast(now.schema["output"].dataType), "answered_at": F.lit("2024-02-01").cast("timestamp")})
+    return now.unionByName(worse)
+
+
+def first_enriched(s, d):
+    x = hashed_conversations(s, d)
+    return N.enriched(x, fixture_answers(x))
+
+
+def again_enriched(s, d):
+    """A second run with what the first one left in the store, which has been compacted between; no model is asked."""
+    x = hashed_conversations(s, d)
+    store = N.AnswerStore(s, scratch_folder(s, "answers"))
+    first = held(N.enriched(x, fixture_answers(x)), "enriched")
+    store.upsert(first.filter("inference_status <> 'success'"))
+    store.upsert(first)
+    store.compact()
+    return N.enriched(x, None, store.latest(x))
+
+
+ENRICHED = ("conversation_id", "lead_key", "inference_status", "provider_name", "provider_attempt_count", "provider_error_summary", "fallback_reason", "validation_error", "source_family", *N.FIELDS)
+_kinds = "(SELECT *, (n // 10 + n % 10) % 10 AS k FROM (SELECT *, CAST(substr(conversation_id, 6) AS BIGINT) AS n FROM semantics))"
+_status = "CASE WHEN k = 0 THEN 'provider_error' WHEN k = 1 THEN 'fallback' WHEN k IN (2, 3, 4, 7) THEN 'invalid_output' ELSE 'success' END"
+_family = "CASE WHEN k IN (5, 6, 8, 9) THEN 'llm_provider' ELSE 'deterministic_fallback' END"
+_replaced = {"sentiment_label": "CASE WHEN k = 5 THEN 'positivo' ELSE sentiment_label END", "sentiment_confidence_band": "CASE WHEN k = 5 THEN 'forte' ELSE sentiment_confidence_band END", "intent_stage": "CASE WHEN k = 5 THEN 'cotacao_ativa' ELSE intent_stage END", "competitor_pressure_level": "CASE WHEN k >= 8 THEN 'alta' ELSE competitor_pressure_level END"}
+_enriched_sql = lambda status, family: f"""SELECT conversation_id, lead_key, {status} AS inference_status, CASE WHEN k > 0 THEN 'alpha' END AS provider_name, CASE k WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS provider_attempt_count, CASE WHEN k = 1 THEN 'alpha:timeout:30s | beta' END AS provider_error_summary,
+    CASE WHEN k = 0 THEN 'no_answer' WHEN k = 1 THEN 'alpha:timeout:30s | beta' WHEN k IN (2, 3, 4, 7) THEN 'invalid_llm_response' END AS fallback_reason, CASE k WHEN 2 THEN 'invalid_intent_stage:comprar_agora' WHEN 3 THEN 'explanation_too_long' WHEN 4 THEN 'explanation_privacy_leak' WHEN 7 THEN 'missing_fields:persona_profile' END AS validation_error,
+    {family} AS source_family, {', '.join(f'{_replaced.get(f, f)} AS {f}' for f in N.FIELDS)} FROM {_kinds}"""
+add("conv_enrichment", lambda s, d: first_enriched(s, d).select(*ENRICHED), _enriched_sql(_status, _family))
+add("conv_enrichment_again", lambda s, d: again_enriched(s, d).select(*ENRICHED), _enriched_sql("'skipped_cache_hit'", "CASE WHEN k > 0 THEN 'llm_provider' ELSE 'deterministic_fallback' END"))
 add("sem_mode_recency", lambda s, d: V.mode_with_recency(semantics(s, d), "sentiment_label"), "SELECT lead_key, sentiment_label FROM mood_mode")
 add("sem_pair_mode_recency", lambda s, d: V.mode_with_recency(semantics(s, d), "persona_profile", "audience_segment"), "SELECT lead_key, persona_profile, audience_segment FROM pair_mode")
 consolidated = lambda s, d: V.consolidate(semantics(s, d))
 add("sem_latest_non_null", lambda s, d: consolidated(s, d).select("lead_key", "intent_stage"), "SELECT lead_key, intent_stage FROM consolidated")
 add("sem_max_severity", lambda s, d: consolidated(s, d).select("lead_key", "conversation_sentiment_support"), "SELECT lead_key, conversation_sentiment_support FROM consolidated")
-add("sem_source_family", lambda s, d: consolidated(s, d).select("lead_key", "intent_stage_source_family"), "SELECT lead_key, 'deterministic_fallback' AS intent_stage_source_family FROM consolidated")
+add("sem_source_family", lambda s, d: V.consolidate(held(first_enriched(s, d), "enriched")).select("lead_key", "intent_stage_source_family"), f"SELECT lead_key, CASE WHEN count(DISTINCT f) > 1 THEN 'mixed' ELSE min(f) END AS intent_stage_source_family FROM (SELECT lead_key, {_family} AS f FROM {_kinds}) GROUP BY lead_key")
 add("sem_consolidate", lambda s, d: consolidated(s, d).select("lead_key", *G.SEMANTIC), f"SELECT lead_key, {', '.join(G.SEMANTIC)} FROM consolidated")
 add("metrics_decision_log", lambda s, d: D.decision_metrics(silver(s, d).select(F.col("campaign_id").alias("family"), F.when(F.col("status") == "read", "promoted").when(F.col("status") == "failed", "rolled_back").otherwise("proposed").alias("decision"), F.col("message_length").alias("duration"))),
     "SELECT campaign_id AS family, count(*) AS proposals, count(*) FILTER (status = 'read') AS promotions, count(*) FILTER (status = 'failed') AS rollbacks, round(count(*) FILTER (status = 'read') / count(*), 4) AS promotion_rate, CAST(list_sort(list(message_length))[len(list(message_length)) // 2 + 1] AS DOUBLE) AS median_duration FROM silver GROUP BY 1")
@@ -368,7 +512,9 @@ _rise = f"""SELECT 'status' AS column_name, 0.0 AS before, r AS null_rate, r AS
 add("qd_null_rate", _gap, _rise)
 add("qd_record_drop", lambda s, d: D.record_drop(_before(s, d).filter("direction = 'inbound'"), _before(s, d)), f"SELECT count(*) AS before, count(*) FILTER (direction = 'inbound') AS rows, (count(*) - count(*) FILTER (direction = 'inbound')) / count(*) >= 0.2 AS dropped FROM {_before_sql}")
 add("qd_distribution_shift", lambda s, d: D.distribution_shift(changes(s, d)), f"SELECT column_name, max(abs(diff)) AS shift FROM ({_changes_sql}) GROUP BY 1 HAVING max(abs(diff)) >= 0.15")
-add("qd_detect", lambda s, d: D.distribution_shift(changes(s, d)).select(F.concat(F.lit("distribution_shift:"), "column_name").alias("trigger")).unionByName(_gap(s, d).select(F.concat(F.lit("null_rate:"), "column_name").alias("trigger"))).agg(F.array_join(F.array_sort(F.collect_list("trigger")), ",").alias("triggers")), f"SELECT string_agg(t, ',' ORDER BY t) AS triggers FROM (SELECT 'distribution_shift:' || column_name AS t FROM ({_changes_sql}) GROUP BY column_name HAVING max(abs(diff)) >= 0.15 UNION ALL SELECT 'null_rate:' || column_name FROM ({_rise}))")
+_dropped = lambda s, d: D.record_drop(_before(s, d).filter("direction = 'inbound'"), _before(s, d))
+add("qd_detect", lambda s, d: D.drift_triggers(D.distribution_shift(changes(s, d)), _gap(s, d), _dropped(s, d)), f"""SELECT string_agg(t, ',' ORDER BY t) AS triggers FROM (SELECT 'distribution_shift:' || column_name AS t FROM ({_changes_sql}) GROUP BY column_name HAVING max(abs(diff)) >= 0.15 UNION ALL SELECT 'null_rate:' || column_name FROM ({_rise})
+    UNION ALL SELECT 'record_drop' FROM {_before_sql} HAVING count(*) FILTER (direction <> 'inbound' OR direction IS NULL) / count(*) >= 0.2)""")
 add("md_bool_strings", lambda s, d: D.boolean_strings(bronze(s, d)), """SELECT 'leadScore' AS key, count(*) AS rows FROM bronze WHERE json_valid(metadata) AND metadata LIKE '%"leadScore":"sim"%'""")
 add("md_key_normalization", lambda s, d: D.key_renames(bronze(s, d)), "SELECT 'leadScore' AS key, 'lead_score' AS normalized FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1)")
 add("md_new_fields", lambda s, d: B.drift_metadata_keys(bronze(s, d)).select("column_name"), "SELECT 'leadScore' AS column_name FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1)")
@@ -377,7 +523,10 @@ add("outcome_gap", lambda s, d: D.outcome_gap(bronze(s, d), ("venda_fechada",)),
 # --- streaming ----------------------------------------------------------------------------------------------------------
 add("stream_ingest", lambda s, d: replay_ingest(s, bronze(s, d)), "SELECT DISTINCT message_id FROM bronze")
 add("stream_refresh", lambda s, d: replay_refresh(s, bronze(s, d)).select("lead_key", "message_count", "conversation_count", "latest_outcome"), "SELECT lead_key, message_count, conversation_count, latest_outcome FROM leads")
-add("stream_idle", lambda s, d: replay_idle(s, bronze(s, d)), "SELECT count(DISTINCT message_id) AS rows, 1 AS batches FROM bronze")
+add("stream_idle", lambda s, d: replay_idle(s, bronze(s, d)), "SELECT count(DISTINCT message_id) AS rows, 1 AS batches, count(*) AS rows_read FROM bronze")
+_back = F.coalesce((F.substring("message_id", 12, 1) == "4") & (F.col("timestamp") < "2024-01-20"), F.lit(False))
+_back_sql = """coalesce(substr(message_id, 12, 1) = '4' AND "timestamp" < TIMESTAMP '2024-01-20', FALSE)"""
+add("stream_late", lambda s, d: replay_late(s, bronze(s, d), _back), f"""SELECT message_id, CASE WHEN "timestamp" IS NULL THEN 'invalid_timestamp' WHEN {_back_sql} AND epoch_ms("timestamp") <= (SELECT max(epoch_ms("timestamp")) - 86400000 FROM bronze WHERE NOT {_back_sql}) THEN 'late' ELSE 'stored' END AS outcome FROM bronze""")
 # --- sorts, limits, unions ----------------------------------------------------------------------------------------------
 add("sort_silver_messages", lambda s, d: silver(s, d).orderBy("conversation_id", "timestamp", "message_id").select("conversation_id", "timestamp", "message_id"), """SELECT conversation_id, "timestamp", message_id FROM silver ORDER BY ALL""")
 add("sort_gold_messages", lambda s, d: silver(s, d).orderBy("lead_key", "timestamp", "conversation_id", "message_id").select("lead_key", "timestamp", "message_id"), """SELECT lead_key, "timestamp", message_id FROM silver""")
