@@ -49,7 +49,7 @@ def decomposed(c: Column) -> Column:
     styled letters become plain ones, ligatures and enclosed letters become several). Only texts that hold one of the few
     hundred characters that become several are taken apart."""
     source, target, many, pattern = _folds()
-    several = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    several = F.str_to_map(F.lit("\x02".join(f"{a}\x01{b}" for a, b in many.items())), F.lit("\x02"), F.lit("\x01"))  # one literal, so plans stay small
     text = safe_string(c)
     plain = F.translate(text, source, target)
     apart = F.transform(F.regexp_extract_all(plain, F.lit("(?s)."), F.lit(0)), lambda x: F.coalesce(several[x], x))

@@ -16,9 +16,11 @@ ORDER = ("timestamp", "conversation_id", "message_id")
 
 
 def message_aggregates(messages: DataFrame) -> DataFrame:
-    """Counts, flags and last values per lead, vehicle and claim context included, in one aggregation."""
+    """Counts, flags and last values per lead, vehicle and claim context included, in one aggregation. Published messages
+    have no body; their tone is that of the masked one."""
     key = ordered(*ORDER)
-    body = F.when(F.col("is_inbound"), safe_string(F.col("message_body"))).otherwise("")
+    said = "message_body" if "message_body" in messages.columns else "message_body_masked"
+    body = F.when(F.col("is_inbound"), safe_string(F.col(said))).otherwise("")
     total = lambda c: F.sum(F.col(c).cast("long"))
     return messages.groupBy("lead_key").agg(
         F.count("message_id").alias("total_messages"),
@@ -120,6 +122,7 @@ def with_segments(gold: DataFrame, negotiation_label: str | None = None) -> Data
     return d.withColumn("audience_segment", audience_of(c("persona_profile")))
 
 
+#: Columns that conversations may decide, where each is from, and measures that are not published. Fixed values.
 SEMANTIC = ("intent_stage", "persona_profile", "audience_segment", "conversation_sentiment_label", "conversation_sentiment_support")
 SOURCES = ("intent_stage_source_family", "persona_profile_source_family", "audience_segment_source_family", "conversation_sentiment_source_family")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Columns that a published message layer must not have, what stands for them, and what it must have. Fixed values.
 RAW_TO_SAFE = {"sender_phone": "sender_phone_masked", "sender_name": "sender_name_masked", "message_body": "message_body_masked"}
-FORBIDDEN = (*RAW_TO_SAFE, "lead_name_raw", "conversation_lead_name", "conversation_agent_name", "conversation_lead_phone")
+FORBIDDEN = (*RAW_TO_SAFE, "lead_name_raw", "conversation_lead_name", "conversation_agent_name", "conversation_lead_phone", "sender_name_normalized", "lead_phone_raw")
 
 
 def sanitize(df: DataFrame) -> DataFrame:

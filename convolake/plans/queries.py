@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from convolake import contract as C
 from convolake.functions import text as T
 from convolake.functions.signals import tone_hits
+from convolake.operators import audit as A
 from convolake.operators import bronze as B
 from convolake.operators import change as D
 from convolake.operators import checks as Q
@@ -460,7 +461,8 @@ add("out_error_summary", lambda s, d: silver(s, d).select("conversation_id", F.c
 _row = lambda layer, check, n: f"SELECT '{layer}' AS layer, '{check}' AS \"check\", CASE WHEN v = 0 THEN 'passed' ELSE 'failed' END AS status, v AS violating_rows FROM (SELECT CAST({n[0]} AS BIGINT) AS v FROM {n[1]})"
 _union = lambda layer, rows: " UNION ALL ".join(_row(layer, c, n) for c, n in rows.items())
 _f = lambda cond: f"count(*) FILTER ({cond})"
-add("dq_required_columns", lambda s, d: Q.columns_result(bronze(s, d), "bronze", C.REQUIRED_COLUMNS), _row("bronze", "required_columns", ("0", "(SELECT 1)")))
+add("dq_required_columns", lambda s, d: Q.columns_result(bronze(s, d), "bronze", C.REQUIRED_COLUMNS).unionByName(Q.columns_result(bronze(s, d).drop("status", "channel"), "less", C.REQUIRED_COLUMNS)).join(bronze(s, d).agg(F.count("*").alias("rows"))),
+    "SELECT l AS layer, 'required_columns' AS \"check\", st AS status, CAST(v AS BIGINT) AS violating_rows, n AS rows FROM (SELECT count(*) AS n FROM bronze), (VALUES ('bronze', 'passed', 0), ('less', 'failed', 2)) t(l, st, v)")
 for _n in ("dq_bronze_id_unique", "dq_bronze_channel"):
     _check = "message_id_unique" if _n.endswith("unique") else "channel_supported"
     add(_n, (lambda c: lambda s, d: Q.bronze_checks(bronze(s, d)).filter(F.col("check") == c))(_check), _row("bronze", _check, ("count(*) - count(DISTINCT message_id)" if _n.endswith("unique") else _f("channel <> 'whatsapp'"), "bronze")))
@@ -501,8 +503,61 @@ _coherent = ("engagement_bucket", "response_latency_band", "closure_outcome_grou
 add("dq_gold_coherence", lambda s, d: Q.gold_coherence(gold(s, d)), _union("gold_coherence", {f"same_{c}": _zero for c in _coherent}))
 _macro_rows = {c: _zero for c in ("pairs_unique", "share_in_range", "count_not_negative", "rank_from_one", "no_nulls", "dimensions_present")}
 add("dq_macro", lambda s, d: Q.macro_checks(G.gold_macro(gold(s, d))), _union("gold_macro", _macro_rows))
-all_checks = lambda s, d: Q.bronze_checks(bronze(s, d)).unionByName(Q.gold_key_checks(gold(s, d))).unionByName(Q.silver_message_checks(silver(s, d)))
-add("dq_summary", lambda s, d: Q.summary(all_checks(s, d)), "SELECT 'passed' AS status, 20 AS checks, '' AS failed FROM (SELECT count(*) FROM bronze)")
+
+
+def audited(s, d, planted: bool = False):
+    """All checks over all layers as they are published; with planted errors, if asked for."""
+    b = held(bronze(s, d), "bronze")
+    raw = held(S.silver_messages(b), "silver")
+    ld = held(S.silver_leads(raw), "leads")
+    x = V.conversation_semantics(V.conversation_features(raw)).withColumn("input_hash", F.lit("h"))
+    conversations = held(N.enriched(x, None), "conversations")
+    g = held(G.gold_leads(ld, raw), "gold")
+    macro = held(G.gold_macro(g), "macro")
+    m = P.sanitize(raw)
+    if planted:
+        c, at = F.col, lambda k, x: F.substring("lead_key", k, 1) == x
+        b = b.withColumn("channel", F.when(F.substring("message_id", 12, 1) == "9", "sms").otherwise(c("channel")))
+        m = m.withColumn("message_body_masked", F.when(F.substring("message_id", 12, 1) == "7", "cpf 123.456.789-01").otherwise(c("message_body_masked")))
+        g = g.withColumns({f: F.when(at(6, f"{i:x}"), "?").otherwise(c(f)) for i, f in enumerate(C.GOLD_DOMAINS)})
+        ld = ld.filter(~at(8, "f")).withColumns(
+            {
+                "message_count": c("message_count") + at(7, "0").cast("int"),
+                "first_seen_at": F.when(~at(7, "1"), c("first_seen_at")),
+                "conversation_count": F.when(at(7, "2"), -1).otherwise(c("conversation_count")),
+                "has_email_signal": c("has_email_signal") != at(7, "3"),
+                "lead_contact_ref": F.when(at(7, "4"), "ana@x.com").otherwise(c("lead_contact_ref")),
+            }
+        )
+    return A.audit(b, ld, m, conversations, g, macro)
+
+
+def _fails(layer: str, check: str, table: str, where: str, key: str = "lead_key") -> str:
+    few = f"(SELECT string_agg(k, ',' ORDER BY k) FROM (SELECT DISTINCT {key} AS k FROM {table} WHERE {where} ORDER BY 1 LIMIT 5))"
+    return f"SELECT '{layer}' AS layer, '{check}' AS \"check\", count(*) AS violating_rows, {few} AS detail FROM {table} WHERE {where} HAVING count(*) > 0"
+
+
+_at = lambda k, x: f"substr(lead_key, {k}, 1) = '{x}'"
+_digit = {f: f"{i:x}" for i, f in enumerate(C.GOLD_DOMAINS)}
+_there = f"NOT {_at(8, 'f')}"
+_planted = [
+    _fails("bronze", "channel_whatsapp_only", "bronze", "substr(message_id, 12, 1) = '9'", "message_id"),
+    _fails("silver_messages", "masked_cpf_not_leaking", "silver", "substr(message_id, 12, 1) = '7'", "message_id"),
+    *[_fails("gold", f"{f}_valid", "gold", _at(6, x)) for f, x in _digit.items()],
+    *[_fails("gold", f"{f}_coherent", "gold", f"{_at(6, _digit[f])} AND {_there}") for f in A.BY_RULE],
+    _fails("gold", "persona_audience_semantic_alignment", "gold", f"{_at(6, _digit['persona_profile'])} OR {_at(6, _digit['audience_segment'])}"),
+    _fails("gold", "closure_outcome_flag_coherent", "gold", f"{_at(6, _digit['closure_outcome_group'])} AND has_closed_outcome"),
+    _fails("gold", "closure_outcome_coherent", "gold", f"{_at(6, _digit['closure_outcome_group'])} AND has_closed_outcome AND {_there}"),
+    _fails("gold", "conversation_sentiment_support_alignment", "gold", f"({_at(6, _digit['conversation_sentiment_label'])} AND conversation_sentiment_support = 'sem_evidencia') OR ({_at(6, _digit['conversation_sentiment_support'])} AND conversation_sentiment_label = 'sem_evidencia')"),
+    _fails("gold", "gold_lead_keys_in_silver", "gold", _at(8, "f")),
+    _fails("silver", "silver_message_count_matches_messages", "leads", f"{_at(7, '0')} AND {_there}"),
+    *[_fails("silver", n, "leads", f"{_at(7, '1')} AND {_there}") for n in ("lead_timestamps_not_null", "silver_timestamps_match_messages")],
+    *[_fails("silver", n, "leads", f"{_at(7, '2')} AND {_there}") for n in ("lead_counts_non_negative", "silver_conversation_count_matches_messages")],
+    _fails("silver", "silver_signal_flags_match_messages", "leads", f"{_at(7, '3')} AND {_there}"),
+    _fails("silver", "masked_text_fields_not_leaking", "leads", f"{_at(7, '4')} AND {_there}"),
+]
+add("dq_violations", lambda s, d: audited(s, d, planted=True).filter("status = 'failed'").drop("status"), " UNION ALL ".join(_planted))
+add("dq_summary", lambda s, d: Q.summary(audited(s, d)), "SELECT 'passed' AS status, 86 AS checks, '' AS failed FROM (SELECT count(*) FROM bronze)")
 add("dq_diagnose", lambda s, d: Q.diagnosed(Q.results(silver(s, d), "silver", {"no_email_leak": F.count_if("contains_email"), "same_status": F.count_if(F.col("status") != "read")})), "SELECT 'silver' AS layer, 'no_email_leak' AS \"check\", 'privacy' AS kind, 'critical' AS severity, 'mask the column and rebuild silver' AS remedy FROM (SELECT 1 FROM silver WHERE contains_email LIMIT 1) UNION ALL SELECT 'silver', 'same_status', 'consistency', 'high', 'rebuild the layer' FROM (SELECT 1 FROM silver WHERE status <> 'read' LIMIT 1)")
 # --- statistical drift ----------------------------------------------------------------------------------------------------
 _rates = lambda t, cols: " UNION ALL ".join(f"SELECT '{c}' AS column_name, round(count(*) FILTER (\"{c}\" IS NULL) / greatest(count(*), 1), 6) AS null_rate FROM {t}" for c in cols)

@@ -161,18 +161,19 @@ class LeadTable:
         kept.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self._path('messages')}/batch={number}")
         come = self.spark.read.schema(f"{C.BRONZE_SCHEMA}, bucket int").parquet(f"{self._path('messages')}/batch={number}")
         touched = _keyed(come).select("conversation_key").distinct()
-        now = silver_messages(self._messages(touched)).select("lead_key")
+        here = self._held(silver_messages(self._messages(touched)), "touched")
         by_conversation = self._read("by_conversation", pairs, _few(touched.select(self._bucket(F.col("conversation_key")).alias("b"))))
         before = by_conversation.join(touched, "conversation_key", "left_semi").select("lead_key")
-        stale = self._held(now.union(before).filter("lead_key IS NOT NULL").distinct(), "stale")
+        stale = self._held(here.select("lead_key").union(before).filter("lead_key IS NOT NULL").distinct(), "stale")
         by_lead = self._read("by_lead", pairs, _few(stale.select(self._bucket(F.col("lead_key")).alias("b"))))
-        again = self._held(touched.union(by_lead.join(stale, "lead_key", "left_semi").select("conversation_key")).distinct(), "again")
-        silver = self._held(silver_messages(self._messages(again)), "silver")
+        others = by_lead.join(stale, "lead_key", "left_semi").select("conversation_key").distinct().join(touched, "conversation_key", "left_anti")
+        others = self._held(others, "others")
+        more = self._held(silver_messages(self._messages(others)), "more")  # silver is made conversation by conversation
+        silver = here.unionByName(more)
         held = _keyed(silver).select("lead_key", "conversation_key").distinct()
-        fresh = silver.join(stale, "lead_key", "left_semi")
-        self._replace("leads", self._lead_schema(), "lead_key", stale, silver_leads(fresh))
+        self._replace("leads", self._lead_schema(), "lead_key", stale, silver_leads(silver.join(stale, "lead_key", "left_semi")))
         self._replace("by_lead", pairs, "lead_key", stale, held.join(stale, "lead_key", "left_semi"))
-        self._replace("by_conversation", pairs, "conversation_key", again, held)
+        self._replace("by_conversation", pairs, "conversation_key", touched.union(others), held)
 
     def _held(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/staged/{name}"
