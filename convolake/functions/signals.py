@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convolake import contract as C
@@ -119,3 +119,17 @@ def mention_signals() -> dict[str, Column]:
             f"mentions_competitor_{side}": when_direction(d, side, F.col("competitor_mentioned")).isNotNull(),
         }
     return out
+
+
+def with_directional_defaults(df: DataFrame) -> DataFrame:
+    """Directional signals that a message table lacks (one of an older version) or has as null, from the signal itself and
+    the direction; a signal that lacks too has its default."""
+    there = set(df.columns)
+    kind = {"price_objection_signal": False, "urgency_strength": 0, "competitor_comparison_signal": False}
+    new = {}
+    for name, default in kind.items():
+        plain = F.coalesce(F.col(name), F.lit(default)) if name in there else F.lit(default)
+        for side in ("inbound", "outbound"):
+            mine = F.when(F.col("direction").eqNullSafe(F.lit(side)), plain).otherwise(F.lit(default))
+            new[f"{name}_{side}"] = F.coalesce(F.col(f"{name}_{side}"), mine) if f"{name}_{side}" in there else mine
+    return df.withColumns(new)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from convolake import contract as C
+from convolake.functions.text import has_pii
 from convolake.operators.bronze import metadata_keys, snake_case, valid_json
 
 
@@ -191,6 +193,17 @@ def sketched_stats(merged: DataFrame) -> DataFrame:
     )
 
 
+def privacy_gate(df: DataFrame, columns: tuple[str, ...], forbidden: tuple[str, ...]) -> DataFrame:
+    """column_name, passed and reason of candidate columns: a forbidden name fails, and so does a column with personal data
+    in any value (all are looked at, in one pass; the first class in the contract's order is the reason)."""
+    open_ = [c for c in columns if c not in forbidden]
+    one = df.agg(F.lit(1).alias("one"), *[F.bool_or(has_pii(F.col(c), k)).alias(f"{c}__{k}") for c in open_ for k in C.FLAGS])
+    found = lambda c: F.coalesce(*[F.when(F.col(f"{c}__{k}"), F.lit(f"sensitive_pattern:{k}")) for k in C.FLAGS])
+    reason = lambda c: found(c) if c in open_ else F.lit("forbidden_raw_column")
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), reason(c).alias("reason")) for c in columns])).alias("x")
+    return one.select(rows).select("x.column_name", F.col("x.reason").isNull().alias("passed"), "x.reason")
+
+
 def promotion_level(density: Column, distinct: Column, numeric: Column, cycles: Column, private: Column) -> Column:
     return (
         F.when((density < 0.2) | (cycles < 3) | private, "none")

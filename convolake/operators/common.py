@@ -48,3 +48,8 @@ def hashed(c: Column) -> Column:
 def bottom_k(df: DataFrame, key: Column, n: int) -> DataFrame:
     """The n rows with the smallest key (nulls last): each task keeps n, so nothing else is moved."""
     return df.orderBy(key.asc_nulls_last(), *df.columns).limit(n)
+
+
+def bounded_sample(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """The n smallest distinct keys (column key, nulls as <null>): each task keeps n."""
+    return df.select(F.coalesce(F.col(key).cast("string"), F.lit("<null>")).alias("key")).distinct().orderBy("key").limit(n)

@@ -161,3 +161,11 @@ def normalized_output(df: DataFrame, column: str, vocabulary: tuple[str, ...], s
     known = F.coalesce(F.when(F.col("__token").isin(*vocabulary), F.col("__token")), mapped)
     values = d.select("__token").distinct().withColumn("__word", F.coalesce(known, F.pandas_udf(close, "string")("__token")))
     return d.join(values, "__token", "left").withColumn(f"{column}_normalized", F.col("__word")).drop("__token", "__word")
+
+
+def error_summaries(errors: DataFrame, by: str, *parts: str) -> DataFrame:
+    """by and errors: each distinct error of a row group as its filled parts joined by colons, all in order joined; groups
+    without any are left out."""
+    one = F.concat_ws(":", *[F.nullif(F.trim(safe_string(F.col(p))), F.lit("")) for p in parts])
+    said = errors.select(by, one.alias("e")).filter("e <> ''").distinct()
+    return said.groupBy(by).agg(F.array_join(F.array_sort(F.collect_list("e")), " | ").alias("errors"))

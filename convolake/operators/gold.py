@@ -154,10 +154,25 @@ def gold_leads(leads: DataFrame, messages: DataFrame, consolidated: DataFrame |
     return overlay(d, consolidated)
 
 
+def hidden_columns(gold: DataFrame, promoted: tuple[str, ...] = ()) -> list[str]:
+    """Passthrough columns that were not promoted (by either name)."""
+    return [c for c in gold.columns if c.startswith(C.PASSTHROUGH) and c not in promoted and c.removeprefix(C.PASSTHROUGH) not in promoted]
+
+
 def public_gold(gold: DataFrame, promoted: tuple[str, ...] = ()) -> DataFrame:
-    """Without intermediate measures and passthrough columns that were not promoted (by either name)."""
-    hidden = [c for c in gold.columns if c.startswith(C.PASSTHROUGH) and c not in promoted and c.removeprefix(C.PASSTHROUGH) not in promoted]
-    return gold.drop(*INTERNAL, *hidden)
+    """Without intermediate measures and passthrough columns that were not promoted."""
+    return gold.drop(*INTERNAL, *hidden_columns(gold, promoted))
+
+
+def partition_events(gold: DataFrame, promoted: tuple[str, ...] = ()) -> DataFrame:
+    """A drift event for each passthrough column that public_gold() drops, with the rows in which it was filled."""
+    hidden = hidden_columns(gold, promoted)
+    schema = "column_name string, drift_class string, policy string, reason string, filled_rows long"
+    if not hidden:
+        return gold.sparkSession.createDataFrame([], schema)
+    one = gold.agg(*[F.count(c).alias(c) for c in hidden])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled_rows")) for c in hidden])).alias("x")
+    return one.select(rows).select("x.column_name", F.lit("unknown").alias("drift_class"), F.lit("passthrough_with_alert").alias("policy"), F.lit("not_in_gold_contract").alias("reason"), "x.filled_rows")
 
 
 def dimension_counts(gold: DataFrame, dimensions=C.MACRO_DIMENSIONS) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from convolake import contract as C
 from convolake.functions import text as T
-from convolake.functions.signals import tone_hits
+from convolake.functions.signals import tone_hits, with_directional_defaults
 from convolake.operators import audit as A
 from convolake.operators import bronze as B
 from convolake.operators import change as D
@@ -19,11 +19,12 @@ from convolake.operators import enrichment as N
 from convolake.operators import gold as G
 from convolake.operators import publication as P
 from convolake.operators import silver as S
+from convolake.operators.common import bounded_sample
 from convolake.plans.columns import Aggregate, Alias, Bucket, apply_columns, condition, row_sample, schema_sample
 from convolake.plans.oracle import AUDIENCE, sql
 from convolake.plans.oracle import PII as PII_SQL
 from convolake.plans.oracle import UNMASKED as UNMASKED_SQL
-from convolake.sources.messages import fixture_messages, message_ids, publish, read_parquet, read_report, scratch_folder, write_parquet, write_report
+from convolake.sources.messages import fixture_messages, message_ids, publish, read_bronze, read_parquet, read_report, scratch_folder, write_parquet, write_report
 from convolake.streaming.refresh import replay_idle, replay_ingest, replay_late, replay_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,8 +91,24 @@ def columns_of(name: str, layer: str, *cols: str) -> None:
 
 
 # --- sources ------------------------------------------------------------------------------------------------------------
-columns_of("src_parquet", "bronze", *C.REQUIRED_COLUMNS[1:])
-columns_of("src_bronze", "bronze", "conversation_id", "timestamp", "direction", "message_body")
+
+
+def _stored(s, d):
+    at = scratch_folder(s, "source")
+    write_parquet(bronze(s, d), at)
+    return at
+
+
+def _loose(s, d):
+    """A table whose timestamps are text, some of it none."""
+    at = scratch_folder(s, "loose")
+    bad = F.when(F.substring("message_id", 12, 1) == "6", "30/02/2024 x").otherwise(F.col("timestamp").cast("string"))
+    write_parquet(bronze(s, d).withColumn("timestamp", bad), at)
+    return at
+
+
+add("src_parquet", lambda s, d: read_parquet(s, _stored(s, d), C.BRONZE_SCHEMA), "SELECT * FROM bronze")
+add("src_bronze", lambda s, d: read_bronze(s, _loose(s, d)).select("message_id", "conversation_id", "timestamp", "direction", "message_body"), """SELECT message_id, conversation_id, CASE WHEN substr(message_id, 12, 1) <> '6' THEN "timestamp" END AS "timestamp", direction, message_body FROM bronze""")
 add("src_ids", lambda s, d: message_ids(bronze(s, d)), "SELECT DISTINCT message_id FROM bronze")
 def _quarantined(s, d):
     at = scratch_folder(s, "quarantine")
@@ -132,19 +149,24 @@ def _published(s, d):
     g = held(G.gold_leads(ld, m), "gold")
     layers = {"bronze": bronze(s, d), "silver_messages": P.sanitize(m), "silver_leads": ld, "conversations": V.conversation_features(m), "gold": G.public_gold(g), "gold_macro": G.gold_macro(g)}
     at = publish(layers, scratch_folder(s, "layers"), Q.gold_key_checks(g))
-    return s.read.parquet(at["gold"]).select("lead_key", "intent_stage", "total_messages")
+    read = [s.read.parquet(path).select(F.lit(name).alias("layer"), F.col(PUBLISHED[name]).alias("key")) for name, path in at.items()]
+    from functools import reduce
+
+    return reduce(DataFrame.unionByName, read).groupBy("layer").agg(F.count("*").alias("rows"), F.count_distinct("key").alias("keys"), F.min("key").alias("first"), F.max("key").alias("last"))
 
 
+PUBLISHED = {"bronze": "message_id", "silver_messages": "message_id", "silver_leads": "lead_key", "conversations": "conversation_id", "gold": "lead_key", "gold_macro": "dimension_value"}
 add("snk_parquet", _through_parquet, "SELECT message_id, metadata_city FROM parsed")
 add("snk_report_json", _through_json, """SELECT count(*) AS rows, count(*) FILTER ("timestamp" IS NULL) AS invalid_timestamp, count(*) FILTER (NOT json_ok) AS invalid_metadata, count(*) FILTER ("timestamp" IS NULL OR NOT json_ok) AS quarantined FROM parsed""")
-add("snk_published_layers", _published, "SELECT lead_key, intent_stage, total_messages FROM gold")
+_layer_sql = {"bronze": "bronze", "silver_messages": "silver", "silver_leads": "leads", "conversations": "features", "gold": "gold"}
+_counted = lambda layer, table: f"SELECT '{layer}' AS layer, count(*) AS rows, count(DISTINCT {PUBLISHED[layer]}) AS keys, min({PUBLISHED[layer]}) AS first, max({PUBLISHED[layer]}) AS last FROM {table}"
 # --- bronze -------------------------------------------------------------------------------------------------------------
 META = ("metadata_device", "metadata_city", "metadata_state", "metadata_lead_source", "metadata_response_time_sec", "metadata_is_business_hours")
 columns_of("brz_parse_metadata", "parsed", *META)
 _cast = lambda c, v: f"CASE WHEN {c} IN ({', '.join(repr(x) for x in v)}) THEN {c} END AS {c}"
 _domains = C.DOMAINS | {"conversation_outcome": C.OUTCOMES}
 add("brz_cast_categories", lambda s, d: B.cast_categories(bronze(s, d)).select("message_id", *_domains), f"SELECT message_id, {', '.join(_cast(c, v) for c, v in _domains.items())} FROM bronze")
-add("brz_required_columns", lambda s, d: B.required_columns(bronze(s, d)), "SELECT count(*) AS row_count, '' AS missing_columns, TRUE AS schema_ok FROM bronze")
+add("brz_required_columns", lambda s, d: B.required_columns(bronze(s, d)).unionByName(B.required_columns(bronze(s, d).filter("direction = 'inbound'").drop("status", "channel"))), "SELECT count(*) AS row_count, '' AS missing_columns, TRUE AS schema_ok FROM bronze UNION ALL SELECT count(*), 'status,channel', FALSE FROM bronze WHERE direction = 'inbound'")
 add("brz_metadata_keys", lambda s, d: B.metadata_keys(bronze(s, d)), "SELECT DISTINCT unnest(json_keys(CASE WHEN json_valid(metadata) THEN metadata END)) AS key FROM bronze")
 add("brz_build", lambda s, d: B.cast_categories(parsed(s, d)).select("message_id", *_domains, *META), f"SELECT message_id, {', '.join(_cast(c, v) for c, v in _domains.items())}, {', '.join(META)} FROM parsed")
 add("brz_validation_report", lambda s, d: B.validation_report(bronze(s, d), {"leadScore": "block"}), """SELECT *, NOT coalesce(bool_or(policy = 'block') OVER (), FALSE) AS schema_ok FROM (SELECT c AS drift_class, CASE c WHEN 'unknown_metadata_key' THEN (SELECT count(DISTINCT k) FROM (SELECT unnest(json_keys(CASE WHEN json_valid(metadata) THEN metadata END)) AS k FROM bronze) WHERE k NOT IN ('device', 'city', 'state', 'response_time_sec', 'is_business_hours', 'lead_source'))
@@ -175,6 +197,9 @@ add("drift_policy", lambda s, d: B.drift_policy(B.drift_events(bronze(s, d)), {"
 add("drift_detect", lambda s, d: B.drift_events(bronze(s, d)), "SELECT 'leadScore' AS column_name, 'unknown_metadata_key' AS drift_class, 'passthrough_with_alert' AS policy FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1) UNION ALL SELECT 'message_type', 'category_drift', 'quarantine' FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)")
 add("drift_passthrough_rename", lambda s, d: B.passthrough_names(bronze(s, d).select("message_id", F.upper("channel").alias("region"))), "SELECT message_id, upper(channel) AS bronze_passthrough__region FROM bronze")
 add("drift_gold_partition", lambda s, d: G.public_gold(gold(s, d).withColumn(f"{C.PASSTHROUGH}x", F.lit(1))).select("lead_key", "total_messages", "intent_stage"), "SELECT lead_key, total_messages, intent_stage FROM gold")
+_extra = lambda s, d: gold(s, d).withColumns({f"{C.PASSTHROUGH}region": F.nullif("city", F.lit("Recife")), f"{C.PASSTHROUGH}score": F.lit(1), f"{C.PASSTHROUGH}kept": F.lit(2)})
+add("drift_gold_events", lambda s, d: G.partition_events(_extra(s, d), ("kept",)), f"""SELECT '{C.PASSTHROUGH}region' AS column_name, 'unknown' AS drift_class, 'passthrough_with_alert' AS policy, 'not_in_gold_contract' AS reason, count(*) FILTER (city <> 'Recife') AS filled_rows FROM gold
+    UNION ALL SELECT '{C.PASSTHROUGH}score', 'unknown', 'passthrough_with_alert', 'not_in_gold_contract', count(*) FROM gold""")
 add("drift_extra_agg", lambda s, d: S.extra_aggregates(silver(s, d), {"status": "first_non_null", "agent_id": "last_non_null", "message_length": "max", "word_count": "mean", "duplicate_event_group_size": "sum", "is_empty_message": "any", "is_inbound": "all", "message_type": "mode"}),
     """SELECT lead_key, first(status ORDER BY conversation_id, "timestamp", message_id) AS status_first_non_null, last(agent_id ORDER BY conversation_id, "timestamp", message_id) AS agent_id_last_non_null, max(message_length) AS message_length_max, avg(word_count) AS word_count_mean,
     CAST(sum(duplicate_event_group_size) AS BIGINT) AS duplicate_event_group_size_sum, bool_or(is_empty_message) AS is_empty_message_any, bool_and(is_inbound) AS is_inbound_all,
@@ -219,7 +244,10 @@ add("drift_observation_history", lambda s, d: D.observation_runs(_observed(s, d)
     FROM (SELECT *, max(run) OVER (PARTITION BY column_name) AS last_run FROM (SELECT *, sum(CAST(broken AS INT)) OVER (PARTITION BY column_name ORDER BY cycle) AS run FROM (
       SELECT *, (SELECT max(cycle) FROM ({_log})) AS u, coalesce(lag(cycle) OVER w <= cycle - 21 OR lag(dtype) OVER w <> dtype OR lag(drift_class) OVER w <> drift_class, TRUE) AS broken FROM ({_log}) WINDOW w AS (PARTITION BY column_name ORDER BY cycle))))
     WHERE run = last_run GROUP BY column_name, u HAVING u - max(cycle) < 20""")
-add("drift_privacy_scan", lambda s, d: bronze(s, d).agg(F.bool_or(F.size(T.pii_classes(F.col("message_body"))) > 0).alias("body"), F.bool_or(F.size(T.pii_classes(F.col("agent_id"))) > 0).alias("agent")), "SELECT bool_or(contains_email OR contains_phone OR contains_cpf OR contains_cep OR contains_plate) AS body, FALSE AS agent FROM silver")
+_private = ("message_body", "agent_id", "sender_name", "campaign_id", "metadata")
+add("drift_privacy_scan", lambda s, d: D.privacy_gate(bronze(s, d), _private, P.FORBIDDEN), f"""SELECT column_name, reason IS NULL AS passed, reason FROM (
+    {' UNION ALL '.join(f"SELECT '{c}' AS column_name, 'forbidden_raw_column' AS reason" for c in _private if c in P.FORBIDDEN)} UNION ALL
+    {' UNION ALL '.join(f"SELECT '{c}' AS column_name, CASE {' '.join(f'WHEN bool_or({p}) THEN {chr(39)}sensitive_pattern:{k}{chr(39)}' for k, p in PII_SQL.items())} END AS reason FROM (SELECT coalesce({c}, '') AS body FROM bronze)" for c in _private if c not in P.FORBIDDEN)})""")
 # --- joins --------------------------------------------------------------------------------------------------------------
 columns_of("join_gold_left", "gold", "city", "message_count", "total_messages", "vehicle_make", "vehicle_model", "vehicle_year", "primary_sinistro_type")
 add("join_extra_left", lambda s, d: (lambda m: S.silver_leads(m).join(S.extra_aggregates(m, {"message_length": "max"}), "lead_key", "left").select("lead_key", "message_count", "message_length_max"))(silver(s, d)), "SELECT lead_key, message_count, message_length_max FROM leads LEFT JOIN (SELECT lead_key, max(message_length) AS message_length_max FROM silver GROUP BY lead_key) USING (lead_key)")
@@ -334,7 +362,7 @@ add("mask_body", lambda s, d: silver(s, d).select("message_id", "message_body_ma
 add("mask_known_names", lambda s, d: silver(s, d).select("message_id", T.mask_known_names(T.safe_string(F.col("message_body")), F.col("conversation_lead_name"), F.col("conversation_agent_name")).alias("masked")))
 _classes = ", ".join(f"CASE WHEN {p} THEN '{k}' END" for k, p in PII_SQL.items())
 add("pii_classes", lambda s, d: bronze(s, d).select("message_id", F.array_join(T.pii_classes(F.col("message_body")), ",").alias("classes")), f"SELECT message_id, concat_ws(',', {_classes}) AS classes FROM (SELECT message_id, coalesce(message_body, '') AS body FROM bronze)")
-add("pii_unmasked_classes", lambda s, d: silver(s, d).filter(F.size(T.unmasked_classes(F.col("message_body_masked"))) > 0).agg(F.count("*").alias("leaks")), "SELECT count(*) AS leaks FROM bronze WHERE FALSE")
+add("pii_unmasked_classes", lambda s, d: silver(s, d).agg(F.count_if(F.size(T.unmasked_classes(F.col("message_body_masked"))) > 0).alias("leaks"), F.count_if(F.size(T.unmasked_classes(F.col("message_body"))) > 0).alias("unmasked"), F.count_if(F.size(T.unmasked_classes(F.concat_ws(" ", "message_body_masked", F.when(F.col("direction") == "inbound", "ABC1D23")))) > 0).alias("planted")), f"SELECT 0 AS leaks, count(*) FILTER ({UNMASKED_SQL}) AS unmasked, count(*) FILTER (direction = 'inbound') AS planted FROM silver")
 add("drift_report", lambda s, d: B.drift_report(B.drift_policy(B.drift_events(bronze(s, d)), {"message_type": "block"})).filter("events > 0"), "SELECT 'unknown_metadata_key' AS drift_class, 1 AS events, 'passthrough_with_alert' AS policy FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1) UNION ALL SELECT 'category_drift', 1, 'block' FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)")
 add("pub_column_audit", lambda s, d: P.column_audit(P.sanitize(silver(s, d)).drop("sender_name_masked")), "SELECT count(*) AS rows, '' AS forbidden_present, 'sender_name_masked' AS safe_missing FROM silver")
 _safe = ("conversation_id", "timestamp", "direction", "message_type")
@@ -350,7 +378,9 @@ columns_of("sig_directional", "silver", *[f"{c}_{x}" for x in ("inbound", "outbo
 add("sig_tone_hits", lambda s, d: silver(s, d).select("message_id", tone_hits(F.col("message_body"), C.POSITIVE).alias("pos"), tone_hits(F.col("message_body"), C.NEGATIVE).alias("neg")), "SELECT message_id, pos, neg FROM silver")
 columns_of("sig_sentiment_label", "gold", "positive_tone_hits", "negative_tone_hits", "conversation_sentiment_label")
 columns_of("sig_sentiment_support", "gold", "conversation_sentiment_support")
-add("sig_column_defaults", lambda s, d: silver(s, d).select("message_id", F.coalesce("price_objection_signal_inbound", F.col("price_objection_signal") & F.col("is_inbound")).alias("objection")), "SELECT message_id, price_objection_signal AND is_inbound AS objection FROM silver")
+_old = lambda s, d: silver(s, d).drop("price_objection_signal_outbound", "urgency_strength_inbound", "urgency_strength_outbound", "competitor_comparison_signal", "competitor_comparison_signal_inbound", "competitor_comparison_signal_outbound").withColumn("price_objection_signal_inbound", F.when(F.substring("message_id", 12, 1) != "5", F.col("price_objection_signal_inbound")))
+add("sig_column_defaults", lambda s, d: with_directional_defaults(_old(s, d)).select("message_id", *[f"{n}_{x}" for n in ("price_objection_signal", "urgency_strength", "competitor_comparison_signal") for x in ("inbound", "outbound")]),
+    "SELECT message_id, price_objection_signal AND is_inbound AS price_objection_signal_inbound, price_objection_signal AND is_outbound AS price_objection_signal_outbound, CASE WHEN is_inbound THEN urgency_strength ELSE 0 END AS urgency_strength_inbound, CASE WHEN is_outbound THEN urgency_strength ELSE 0 END AS urgency_strength_outbound, FALSE AS competitor_comparison_signal_inbound, FALSE AS competitor_comparison_signal_outbound FROM silver")
 # --- aggregations -------------------------------------------------------------------------------------------------------
 columns_of("silver_messages", "silver", "conversation_id", "lead_key", "timestamp", "direction", "is_inbound", "is_outbound", "quoted_price", "urgency_strength", *META)
 LEAD = ("canonical_lead_name_masked", "lead_contact_ref", "city", "state", "first_seen_at", "last_seen_at", "conversation_count", "message_count", "observed_campaign_ids", "observed_lead_sources", "observed_outcomes", *[f"has_{k}_signal" for k in ("vehicle", "competitor", "sinistro", *C.FLAGS)], "primary_campaign_id", "latest_outcome", "vehicle_make_observed", "vehicle_model_observed", "vehicle_year_observed", "primary_competitor_observed", "quoted_price_min", "quoted_price_max", "quoted_price_last", "avg_response_time_sec", "business_hours_ratio")
@@ -447,6 +477,7 @@ add("sem_source_family", lambda s, d: V.consolidate(held(first_enriched(s, d), "
 add("sem_consolidate", lambda s, d: consolidated(s, d).select("lead_key", *G.SEMANTIC), f"SELECT lead_key, {', '.join(G.SEMANTIC)} FROM consolidated")
 add("metrics_decision_log", lambda s, d: D.decision_metrics(silver(s, d).select(F.col("campaign_id").alias("family"), F.when(F.col("status") == "read", "promoted").when(F.col("status") == "failed", "rolled_back").otherwise("proposed").alias("decision"), F.col("message_length").alias("duration"))),
     "SELECT campaign_id AS family, count(*) AS proposals, count(*) FILTER (status = 'read') AS promotions, count(*) FILTER (status = 'failed') AS rollbacks, round(count(*) FILTER (status = 'read') / count(*), 4) AS promotion_rate, CAST(list_sort(list(message_length))[len(list(message_length)) // 2 + 1] AS DOUBLE) AS median_duration FROM silver GROUP BY 1")
+add("snk_published_layers", _published, " UNION ALL ".join(_counted(k, t) for k, t in _layer_sql.items()) + f" UNION ALL SELECT 'gold_macro', count(*), count(DISTINCT dimension_value), min(dimension_value), max(dimension_value) FROM (SELECT dimension_value FROM macro UNION ALL SELECT dimension_value FROM ({_numeric}))")
 # --- segments -----------------------------------------------------------------------------------------------------------
 for _n, _c in {"seg_engagement": ("engagement_bucket", "total_messages"), "seg_data_shared": ("data_shared_score",), "seg_lifecycle_hours": ("lead_lifecycle_hours",), "seg_latency_band": ("response_latency_band", "avg_response_time_sec"), "seg_outcome_group": ("closure_outcome_group", "observed_outcomes"), "seg_closed_flag": ("has_closed_outcome",), "seg_price_objection": ("price_objection_intensity",), "seg_urgency": ("commercial_urgency_signal",), "seg_competitor_pressure": ("competitor_pressure_level",), "seg_temperature": ("lead_temperature",), "seg_price_sensitivity": ("price_sensitivity",), "seg_contact_readiness": ("contact_readiness",), "seg_intent": ("intent_stage",), "seg_risk": ("risk_signal",), "seg_persona": ("persona_profile",), "seg_audience": ("audience_segment",), "seg_all": SEG, "seg_email_provider_null": ("dominant_email_provider", "contains_email")}.items():
     columns_of(_n, "gold", *_c)
@@ -456,7 +487,7 @@ _outcomes = lambda s, d: bronze(s, d).filter("conversation_outcome IS NOT NULL")
 add("out_normalize", lambda s, d: V.normalized_output(_outcomes(s, d), "outcome", VOCABULARY, {"proposta_enviada": "em_negociacao"}).select("message_id", "outcome", "outcome_normalized"))
 add("out_validate", lambda s, d: V.first_violation(silver(s, d), {"direction": ("inbound",), "message_type": ("text", "image")}, "message_body").select("message_id", "violation"),
     f"SELECT message_id, CASE WHEN direction NOT IN ('inbound') THEN 'vocabulary:direction' WHEN message_type NOT IN ('text', 'image') THEN 'vocabulary:message_type' WHEN message_length > 280 THEN 'too_long' WHEN {UNMASKED_SQL} THEN 'pii' END AS violation FROM silver")
-add("out_error_summary", lambda s, d: silver(s, d).select("conversation_id", F.concat_ws(":", "channel", "status", "message_type").alias("e")).distinct().groupBy("conversation_id").agg(F.array_join(F.array_sort(F.collect_list("e")), " | ").alias("errors")), "SELECT conversation_id, string_agg(e, ' | ' ORDER BY e) AS errors FROM (SELECT DISTINCT conversation_id, concat_ws(':', channel, status, message_type) AS e FROM silver) GROUP BY 1")
+add("out_error_summary", lambda s, d: V.error_summaries(silver(s, d).withColumn("campaign_id", F.when(F.col("direction") == "inbound", F.col("campaign_id")).otherwise(" ")), "conversation_id", "channel", "campaign_id", "message_type"), "SELECT conversation_id, string_agg(e, ' | ' ORDER BY e) AS errors FROM (SELECT DISTINCT conversation_id, concat_ws(':', channel, CASE WHEN direction = 'inbound' THEN campaign_id END, message_type) AS e FROM silver) GROUP BY 1")
 # --- checks -------------------------------------------------------------------------------------------------------------
 _row = lambda layer, check, n: f"SELECT '{layer}' AS layer, '{check}' AS \"check\", CASE WHEN v = 0 THEN 'passed' ELSE 'failed' END AS status, v AS violating_rows FROM (SELECT CAST({n[0]} AS BIGINT) AS v FROM {n[1]})"
 _union = lambda layer, rows: " UNION ALL ".join(_row(layer, c, n) for c, n in rows.items())
@@ -471,38 +502,69 @@ _bad = {"timestamp_present": '"timestamp" IS NULL', "metadata_valid": "NOT json_
 add("dq_violating_keys", lambda s, d: Q.violating_keys(bronze(s, d), "bronze", "message_id", {"timestamp_present": F.col("timestamp").isNull(), "metadata_valid": ~B.valid_json(F.col("metadata")), "message_type_known": ~F.col("message_type").isin("text", "image", "audio")}),
     " UNION ALL ".join(f"SELECT 'bronze' AS layer, '{k}' AS \"check\", CASE WHEN count(*) = 0 THEN 'passed' ELSE 'failed' END AS status, count(*) AS violating_rows, coalesce((SELECT string_agg(message_id, ',' ORDER BY message_id) FROM (SELECT DISTINCT message_id FROM parsed WHERE {c} ORDER BY 1 LIMIT 5)), '') AS samples FROM parsed WHERE {c}" for k, c in _bad.items()))
 add("dq_bronze_first_outbound", lambda s, d: Q.first_outbound(bronze(s, d)), f"SELECT count(*) AS conversations, count(*) FILTER (direction <> 'outbound') AS violating, (SELECT string_agg(conversation_id, ',' ORDER BY conversation_id) FROM (SELECT conversation_id FROM {_first} WHERE direction <> 'outbound' ORDER BY 1 LIMIT 5)) AS sample FROM {_first}")
-add("dq_silver_leads", lambda s, d: Q.silver_lead_checks(leads(s, d)), _union("silver_leads", {"lead_key_unique": ("count(*) - count(DISTINCT lead_key)", "leads"), "timestamps_present": (_f("first_seen_at IS NULL"), "leads"), "counts_not_negative": (_f("message_count < 0"), "leads"), "no_leaks": ("0", "(SELECT 1)")}))
-add("dq_silver_messages", lambda s, d: Q.silver_message_checks(silver(s, d)), _union("silver_messages", {"timestamp_present": (_f('"timestamp" IS NULL'), "silver"), "dedupe_keys_unique": (f"""count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(f'"{k}"' for k in C.DEDUPE_KEYS)} FROM silver))""", "silver"), **{f"no_{k}_leak": ("0", "(SELECT 1)") for k in C.FLAGS}, "vehicle_consistent": ("0", "(SELECT 1)")}))
-add("dq_leak_scan", lambda s, d: Q.leaks(silver(s, d), ("message_body", "message_body_masked"), "message_id").select("column_name", "pii_class", "rows"), " UNION ALL ".join(f"SELECT 'message_body' AS column_name, '{k}' AS pii_class, count(*) AS rows FROM silver WHERE contains_{k} HAVING count(*) > 0" for k in C.FLAGS))
-add("dq_conversations", lambda s, d: Q.conversation_checks(semantics(s, d)), _union("conversations", {"conversation_id_unique": ("count(*) - count(DISTINCT conversation_id)", "semantics"), "audience_fits": ("0", "(SELECT 1)")}))
+_lead_at = lambda k, x: F.substring("lead_key", k, 1) == x
+_leads_bad = lambda s, d: leads(s, d).withColumns({"lead_contact_ref": F.when(_lead_at(6, "1"), "fale com a@b.com").otherwise(F.col("lead_contact_ref")), "message_count": F.when(_lead_at(6, "2"), -1).otherwise(F.col("message_count")), "last_seen_at": F.when(~_lead_at(6, "3"), F.col("last_seen_at"))})
+add("dq_silver_leads", lambda s, d: Q.silver_lead_checks(_leads_bad(s, d)), _union("silver_leads", {"lead_key_unique": ("count(*) - count(DISTINCT lead_key)", "leads"), "timestamps_present": (_f("substr(lead_key, 6, 1) = '3'"), "leads"), "counts_not_negative": (_f("substr(lead_key, 6, 1) = '2'"), "leads"), "no_leaks": (_f("substr(lead_key, 6, 1) = '1'"), "leads")}))
+_leaked = {"email": "a@b.com", "phone": "+55 11 99999-0000", "cpf": "123.456.789-01", "cep": "04567-123", "plate": "ABC1D23"}
+_id_at = lambda x: F.substring("message_id", 12, 1) == x
+
+
+def _messages_bad(s, d):
+    text = F.col("message_body_masked")
+    for i, v in enumerate(_leaked.values()):
+        text = F.when(_id_at(str(i)), v).otherwise(text)
+    return silver(s, d).withColumns({"message_body_masked": text, "mentions_vehicle": F.col("mentions_vehicle") != _id_at("5"), "timestamp": F.when(~_id_at("6"), F.col("timestamp"))})
+
+
+_digit_is = lambda x: f"substr(message_id, 12, 1) = '{x}'"
+_keys_bad = ", ".join(f"CASE WHEN {_digit_is(6)} THEN NULL ELSE \"timestamp\" END" if k == "timestamp" else f'"{k}"' for k in C.DEDUPE_KEYS)
+add("dq_silver_messages", lambda s, d: Q.silver_message_checks(_messages_bad(s, d)), _union("silver_messages", {"timestamp_present": (_f(_digit_is(6)), "silver"), "dedupe_keys_unique": (f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT {_keys_bad} FROM silver))", "silver"), **{f"no_{k}_leak": (_f(_digit_is(i)), "silver") for i, k in enumerate(_leaked)}, "vehicle_consistent": (_f(_digit_is(5)), "silver")}))
+add("dq_leak_scan", lambda s, d: Q.leaks(silver(s, d), ("message_body", "message_body_masked"), "message_id"), " UNION ALL ".join(f"SELECT 'message_body' AS column_name, '{k}' AS pii_class, count(*) AS rows, min(message_id) AS first_key FROM silver WHERE contains_{k} HAVING count(*) > 0" for k in C.FLAGS))
+add("dq_conversations", lambda s, d: (lambda x: Q.conversation_checks(x.withColumn("audience_segment", F.when(F.col("inbound_count") == 0, "?").otherwise(F.col("audience_segment"))).unionByName(x.filter("inbound_count = 1"))))(semantics(s, d)), _union("conversations", {"conversation_id_unique": (_f("inbound_count = 1"), "semantics"), "audience_fits": (_f("inbound_count = 0"), "semantics")}))
 _in = lambda c: f"{c} IS NULL OR {c} NOT IN ({', '.join(repr(x) for x in C.GOLD_DOMAINS[c])})"
 add("dq_gold_domains", lambda s, d: Q.gold_domain_checks(gold(s, d)), _union("gold", {f"domain_{c}": (_f(_in(c)), "gold") for c in C.GOLD_DOMAINS}))
-_gold_checks = {"lead_key_unique": ("count(*) - count(DISTINCT lead_key)", "gold"), "counts_not_negative": (_f("total_messages < 0"), "gold"), "duplicates_not_negative": (_f("duplicate_events_removed < 0"), "gold"), "persona_present": (_f("persona_profile IS NULL"), "gold"), "closure_flag": (_f("has_closed_outcome <> (closure_outcome_group = 'fechado')"), "gold"), "provider_needs_email": (_f("dominant_email_provider IS NOT NULL AND NOT contains_email"), "gold"), "persona_audience": (_f(f"{AUDIENCE('persona_profile')} <> audience_segment"), "gold"), "provenance": ("0", "(SELECT 1)"), "sentiment_support": (_f("(conversation_sentiment_label = 'sem_evidencia') <> (conversation_sentiment_support = 'sem_evidencia')"), "gold"), "sentiment_evidence": (_f("positive_tone_hits + negative_tone_hits = 0 AND conversation_sentiment_label <> 'sem_evidencia'"), "gold")}
+_gold_checks = {"lead_key_unique": ("count(*) - count(DISTINCT lead_key)", "gold"), "counts_not_negative": (_f("total_messages < 0"), "gold"), "duplicates_not_negative": (_f("duplicate_events_removed < 0"), "gold"), "persona_present": (_f("persona_profile IS NULL"), "gold"), "closure_flag": (_f("has_closed_outcome <> (closure_outcome_group = 'fechado')"), "gold"), "provider_needs_email": (_f("dominant_email_provider IS NOT NULL AND NOT contains_email"), "gold"), "persona_audience": (_f(f"{AUDIENCE('persona_profile')} <> audience_segment"), "gold"), "provenance": (_f("substr(lead_key, 6, 1) = 'a'"), "gold"), "sentiment_support": (_f("(conversation_sentiment_label = 'sem_evidencia') <> (conversation_sentiment_support = 'sem_evidencia')"), "gold"), "sentiment_evidence": (_f("positive_tone_hits + negative_tone_hits = 0 AND conversation_sentiment_label <> 'sem_evidencia'"), "gold")}
 for _n, _cs in {"dq_gold_keys_counts": ("lead_key_unique", "counts_not_negative", "duplicates_not_negative", "persona_present"), "dq_gold_provenance": ("provenance",), "dq_gold_closure_flag": ("closure_flag",), "dq_gold_provider_null": ("provider_needs_email",), "dq_gold_persona_audience": ("persona_audience",), "dq_gold_sentiment_support": ("sentiment_support",), "dq_gold_sentiment_evidence": ("sentiment_evidence",)}.items():
-    add(_n, (lambda cs: lambda s, d: Q.gold_key_checks(gold(s, d)).filter(F.col("check").isin(*cs)))(_cs), _union("gold", {c: _gold_checks[c] for c in _cs}))
+    add(_n, (lambda cs: lambda s, d: Q.gold_key_checks(gold(s, d).withColumn("intent_stage_source_family", F.when(_lead_at(6, "a"), "?").otherwise("llm_provider"))).filter(F.col("check").isin(*cs)))(_cs), _union("gold", {c: _gold_checks[c] for c in _cs}))
+
+
+_same = ("first_seen_at", "last_seen_at", "conversation_count", "message_count", *[f"has_{k}_signal" for k in ("vehicle", "competitor", "sinistro", *C.FLAGS)])
 
 
 def _silver_reconcile(s, d):
-    m = silver(s, d)
-    return Q.silver_reconcile(S.silver_leads(m), m)
+    """Leads in which each column is wrong where the first digit of the key is that of the column; some leads lack, and so do
+    the messages of others."""
+    m = held(silver(s, d), "silver")
+    wrong = {c: F.when(~_lead_at(6, f"{i:x}"), F.col(c)) for i, c in enumerate(_same)}
+    return Q.silver_reconcile(S.silver_leads(m).filter(~_lead_at(7, "f")).withColumns(wrong), m.filter(~_lead_at(7, "e")))
 
 
-_same = ("first_seen_at", "last_seen_at", "conversation_count", "message_count", *[f"has_{k}_signal" for k in ("vehicle", "competitor", "sinistro", *C.FLAGS)])
-_zero = ("0", "(SELECT 1)")
-add("dq_silver_reconcile", _silver_reconcile, _union("silver_reconcile", {"keys_missing_right": _zero, "keys_missing_left": _zero, **{f"same_{c}": _zero for c in _same if c != "message_count"}, "same_message_count": ("count(*)", "(SELECT lead_key FROM silver GROUP BY 1 HAVING count(*) <> count(DISTINCT message_id))")}))
+_both = "substr(lead_key, 7, 1) NOT IN ('e', 'f')"
+_wrong = {f"same_{c}": (_f(f"{_both} AND substr(lead_key, 6, 1) = '{i:x}'"), "leads") for i, c in enumerate(_same)}
+add("dq_silver_reconcile", _silver_reconcile, _union("silver_reconcile", {"keys_missing_right": (_f("substr(lead_key, 7, 1) = 'e'"), "leads"), "keys_missing_left": (_f("substr(lead_key, 7, 1) = 'f'"), "leads"), **_wrong}))
+_checked = ("first_seen_at", "last_seen_at", "conversation_count")
 
 
 def _gold_reconcile(s, d):
-    m = silver(s, d)
+    m = held(silver(s, d), "silver")
     ld = S.silver_leads(m)
-    return Q.gold_reconcile(G.gold_leads(ld, m), ld)
+    wrong = {c: F.when(~_lead_at(6, f"{i:x}"), F.col(c)) for i, c in enumerate(_checked)}
+    return Q.gold_reconcile(G.gold_leads(ld, m).filter(~_lead_at(7, "f")).withColumns(wrong), ld.filter(~_lead_at(7, "e")))
 
 
-add("dq_gold_reconcile", _gold_reconcile, _union("gold_reconcile", {c: _zero for c in ("keys_missing_right", "keys_missing_left", "same_first_seen_at", "same_last_seen_at", "same_conversation_count")}))
+add("dq_gold_reconcile", _gold_reconcile, _union("gold_reconcile", {"keys_missing_right": (_f("substr(lead_key, 7, 1) = 'e'"), "leads"), "keys_missing_left": (_f("substr(lead_key, 7, 1) = 'f'"), "leads"), **{f"same_{c}": (_f(f"{_both} AND substr(lead_key, 6, 1) = '{i:x}'"), "leads") for i, c in enumerate(_checked)}}))
 _coherent = ("engagement_bucket", "response_latency_band", "closure_outcome_group", "price_objection_intensity", "commercial_urgency_signal", "competitor_pressure_level", "lead_temperature", "price_sensitivity", "contact_readiness", "risk_signal")
-add("dq_gold_coherence", lambda s, d: Q.gold_coherence(gold(s, d)), _union("gold_coherence", {f"same_{c}": _zero for c in _coherent}))
-_macro_rows = {c: _zero for c in ("pairs_unique", "share_in_range", "count_not_negative", "rank_from_one", "no_nulls", "dimensions_present")}
-add("dq_macro", lambda s, d: Q.macro_checks(G.gold_macro(gold(s, d))), _union("gold_macro", _macro_rows))
+add("dq_gold_coherence", lambda s, d: Q.gold_coherence(gold(s, d).withColumns({c: F.when(_lead_at(6, f"{i:x}"), "?").otherwise(F.col(c)) for i, c in enumerate(_coherent)})), _union("gold_coherence", {f"same_{c}": (_f(f"substr(lead_key, 6, 1) = '{i:x}'"), "gold") for i, c in enumerate(_coherent)}))
+
+
+def _macro_bad(s, d):
+    c, of = F.col, lambda x: F.col("dimension") == x
+    macro = G.gold_macro(gold(s, d)).filter(~of("lead_temperature"))
+    return macro.withColumns({"lead_pct": F.when(of("intent_stage"), 1.5).otherwise(c("lead_pct")), "lead_count": F.when(of("engagement_bucket"), -1).otherwise(c("lead_count")), "rank": F.when(of("persona_profile"), 0).otherwise(c("rank")), "dimension_value": F.when(~of("audience_segment"), c("dimension_value"))})
+
+
+_of = lambda x: _f(f"dimension = '{x}'")
+add("dq_macro", lambda s, d: Q.macro_checks(_macro_bad(s, d)), _union("gold_macro", {"pairs_unique": (f"{_of('audience_segment')} - 1", "macro"), "share_in_range": (_of("intent_stage"), "macro"), "count_not_negative": (_of("engagement_bucket"), "macro"), "rank_from_one": (_of("persona_profile"), "macro"), "no_nulls": (_of("audience_segment"), "macro"), "dimensions_present": ("1", "(SELECT 1)")}))
 
 
 def audited(s, d, planted: bool = False):
@@ -587,5 +649,5 @@ add("sort_silver_messages", lambda s, d: silver(s, d).orderBy("conversation_id",
 add("sort_gold_messages", lambda s, d: silver(s, d).orderBy("lead_key", "timestamp", "conversation_id", "message_id").select("lead_key", "timestamp", "message_id"), """SELECT lead_key, "timestamp", message_id FROM silver""")
 add("sort_enrichment", lambda s, d: semantics(s, d).orderBy("lead_key", "conversation_last_message_at", "conversation_id").select("lead_key", "conversation_last_message_at", "conversation_id"), "SELECT lead_key, conversation_last_message_at, conversation_id FROM semantics")
 add("topk_values", lambda s, d: B.top_values(bronze(s, d), "message_body"), "SELECT message_body AS value, count(*) AS count FROM bronze GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 10")
-add("sample_bounded", lambda s, d: bronze(s, d).filter("timestamp IS NULL").select(F.coalesce("message_id", F.lit("<null>")).alias("key")).distinct().orderBy("key").limit(5), """SELECT DISTINCT message_id AS key FROM bronze WHERE "timestamp" IS NULL ORDER BY 1 LIMIT 5""")
+add("sample_bounded", lambda s, d: bounded_sample(bronze(s, d).filter("timestamp IS NULL").withColumn("message_id", F.when(F.substring("message_id", 12, 1) != "0", F.col("message_id"))), "message_id"), """SELECT DISTINCT coalesce(CASE WHEN substr(message_id, 12, 1) <> '0' THEN message_id END, '<null>') AS key FROM bronze WHERE "timestamp" IS NULL ORDER BY 1 LIMIT 5""")
 add("set_union_blocks", lambda s, d: G.gold_macro(gold(s, d)).select("dimension", "dimension_value", "lead_count"), f"SELECT dimension, dimension_value, lead_count FROM macro UNION ALL SELECT dimension, dimension_value, lead_count FROM ({_numeric})")
