@@ -641,9 +641,9 @@ add("outcome_gap", lambda s, d: D.outcome_gap(bronze(s, d), ("venda_fechada",)),
 add("stream_ingest", lambda s, d: replay_ingest(s, bronze(s, d)), "SELECT DISTINCT message_id FROM bronze")
 add("stream_refresh", lambda s, d: replay_refresh(s, bronze(s, d)).select("lead_key", "message_count", "conversation_count", "latest_outcome"), "SELECT lead_key, message_count, conversation_count, latest_outcome FROM leads")
 add("stream_idle", lambda s, d: replay_idle(s, bronze(s, d)), "SELECT count(DISTINCT message_id) AS rows, 1 AS batches, count(*) AS rows_read FROM bronze")
-_back = F.coalesce((F.substring("message_id", 12, 1) == "4") & (F.col("timestamp") < "2024-01-20"), F.lit(False))
+_back = lambda: F.coalesce((F.substring("message_id", 12, 1) == "4") & (F.col("timestamp") < "2024-01-20"), F.lit(False))
 _back_sql = """coalesce(substr(message_id, 12, 1) = '4' AND "timestamp" < TIMESTAMP '2024-01-20', FALSE)"""
-add("stream_late", lambda s, d: replay_late(s, bronze(s, d), _back), f"""SELECT message_id, CASE WHEN "timestamp" IS NULL THEN 'invalid_timestamp' WHEN {_back_sql} AND epoch_ms("timestamp") <= (SELECT max(epoch_ms("timestamp")) - 86400000 FROM bronze WHERE NOT {_back_sql}) THEN 'late' ELSE 'stored' END AS outcome FROM bronze""")
+add("stream_late", lambda s, d: replay_late(s, bronze(s, d), _back()), f"""SELECT message_id, CASE WHEN "timestamp" IS NULL THEN 'invalid_timestamp' WHEN {_back_sql} AND epoch_ms("timestamp") <= (SELECT max(epoch_ms("timestamp")) - 86400000 FROM bronze WHERE NOT {_back_sql}) THEN 'late' ELSE 'stored' END AS outcome FROM bronze""")
 # --- sorts, limits, unions ----------------------------------------------------------------------------------------------
 add("sort_silver_messages", lambda s, d: silver(s, d).orderBy("conversation_id", "timestamp", "message_id").select("conversation_id", "timestamp", "message_id"), """SELECT conversation_id, "timestamp", message_id FROM silver ORDER BY ALL""")
 add("sort_gold_messages", lambda s, d: silver(s, d).orderBy("lead_key", "timestamp", "conversation_id", "message_id").select("lead_key", "timestamp", "message_id"), """SELECT lead_key, "timestamp", message_id FROM silver""")
