@@ -257,10 +257,18 @@ def observation_runs(log: DataFrame, last_cycle: Column | None = None) -> DataFr
     return sized.filter(c("absent_cycles") < PRUNE_CYCLES)
 
 
-def suppressed_alerts(log: DataFrame, minutes: int = 30) -> DataFrame:
-    """log (dedupe_key, run_at, id) with suppressed: an alert with the same key came at most so long before."""
-    before = F.lag("run_at").over(Window.partitionBy("dedupe_key").orderBy("run_at", "id"))
-    return log.withColumn("suppressed", F.coalesce(F.timestamp_diff("SECOND", before, F.col("run_at")) <= 60 * minutes, F.lit(False)))
+def suppressed_alerts(log: DataFrame, minutes: int = 30, hours: int = 24) -> DataFrame:
+    """log (dedupe_key, run_at, id) with suppressed: an alert with the same key came at most so long before.
+
+    A key's alerts are cut into ranges of so many hours, so that a frequent key is spread over many tasks; the alerts of a
+    range's last minutes are shown to the next range too, where they only serve to look back at."""
+    second = F.unix_micros("run_at") / 1_000_000
+    at = lambda later: F.floor((second + later) / (hours * 3600))
+    ranges = F.when(F.col("run_at").isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array_distinct(F.array(at(0), at(60 * minutes))))
+    d = log.withColumn("__first", at(0)).withColumn("__range", F.explode(ranges))
+    before = F.lag("run_at").over(Window.partitionBy("dedupe_key", "__range").orderBy("run_at", "id"))
+    d = d.withColumn("suppressed", F.coalesce(F.timestamp_diff("SECOND", before, F.col("run_at")) <= 60 * minutes, F.lit(False)))
+    return d.filter(F.col("__range").eqNullSafe(F.col("__first"))).drop("__range", "__first")
 
 
 def decision_metrics(log: DataFrame) -> DataFrame:

@@ -138,3 +138,22 @@ def test_schema_ok(spark):
     d = frame(spark, [message(1)])
     assert {r.schema_ok for r in B.validation_report(d).collect()} == {True}
     assert {r.schema_ok for r in B.validation_report(d.drop("status")).collect()} == {False}
+
+
+def test_suppressed_alerts_over_range_borders(spark):
+    """One frequent key, one rare, one null: every alert against all earlier ones, whatever the ranges."""
+    import random
+    from datetime import datetime, timedelta
+
+    rng, start = random.Random(1), datetime(2024, 1, 1, 23)
+    rows = [(k, start + timedelta(minutes=rng.choice([1, 7, 29, 30, 31, 500]) * rng.randrange(60)), i) for i, k in enumerate(["a"] * 300 + ["b"] * 20 + [None] * 20)]
+    rows += [("a", None, 1_000), ("b", None, 1_001)]
+    want = set()
+    for k, t, i in rows:
+        past = [(u, j) for m, u, j in rows if m == k and u is not None and t is not None and (u, j) < (t, i)]
+        if past and t - max(past)[0] <= timedelta(minutes=30, seconds=0.999):
+            want.add(i)
+    d = spark.createDataFrame(rows, "dedupe_key string, run_at timestamp, id int")
+    for hours in (1, 24):
+        got = D.suppressed_alerts(d, hours=hours).collect()
+        assert len(got) == len(rows) and {r.id for r in got if r.suppressed} == want
