@@ -15,6 +15,15 @@ from convolake.operators.common import any_flag, last_by, ordered
 ORDER = ("timestamp", "conversation_id", "message_id")
 
 
+#: What message_aggregates() reads of a message.
+MESSAGE_COLUMNS = (
+    "lead_key", "message_id", "conversation_id", "timestamp", "message_body", "is_inbound", "is_outbound", "dropped_duplicate_events",
+    *[f"contains_{k}" for k in C.FLAGS], "mentions_vehicle", "mentions_competitor", "mentions_sinistro", "quoted_price", "email_provider",
+    "competitor_mentioned_inbound", "price_objection_signal_inbound", "urgency_strength_inbound", "mentions_competitor_inbound",
+    "competitor_comparison_signal_inbound", "vehicle_make", "vehicle_model", "vehicle_year", "sinistro_type",
+)
+
+
 def message_aggregates(messages: DataFrame) -> DataFrame:
     """Counts, flags and last values per lead, vehicle and claim context included, in one aggregation. Published messages
     have no body; their tone is that of the masked one."""

@@ -72,6 +72,15 @@ def silver_messages(bronze: DataFrame) -> DataFrame:
     return d.withColumns({"is_inbound": F.coalesce(F.col("direction") == "inbound", F.lit(False)), "is_outbound": F.coalesce(F.col("direction") == "outbound", F.lit(False))})
 
 
+#: What silver_leads() reads of a message; whoever stores messages for it alone can leave the others out.
+LEAD_COLUMNS = (
+    "lead_key", "message_id", "conversation_id", "timestamp", "lead_name_raw", "lead_phone_masked", "metadata_city", "metadata_state",
+    "metadata_lead_source", "metadata_response_time_sec", "metadata_is_business_hours", "campaign_id", "conversation_outcome",
+    "mentions_vehicle", "mentions_competitor", "mentions_sinistro", *[f"contains_{k}" for k in C.FLAGS],
+    "vehicle_make", "vehicle_model", "vehicle_year", "competitor_mentioned", "quoted_price",
+)
+
+
 def silver_leads(messages: DataFrame) -> DataFrame:
     """One row per lead: 30 aggregates in one pass; first and last by conversation, time and message."""
     key = ordered(*LEAD_ORDER)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +69,8 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def gold(spark, d):
-    m = held(silver(spark, d), "silver")
+    """Only what gold reads of silver is made and stored: masks, for one, are not."""
+    m = held(silver(spark, d).select(*dict.fromkeys((*S.LEAD_COLUMNS, *G.MESSAGE_COLUMNS))), "silver")
     return G.gold_leads(S.silver_leads(m), m)
 
 
@@ -150,8 +152,6 @@ def _published(s, d):
     layers = {"bronze": bronze(s, d), "silver_messages": P.sanitize(m), "silver_leads": ld, "conversations": V.conversation_features(m), "gold": G.public_gold(g), "gold_macro": G.gold_macro(g)}
     at = publish(layers, scratch_folder(s, "layers"), Q.gold_key_checks(g))
     read = [s.read.parquet(path).select(F.lit(name).alias("layer"), F.col(PUBLISHED[name]).alias("key")) for name, path in at.items()]
-    from functools import reduce
-
     return reduce(DataFrame.unionByName, read).groupBy("layer").agg(F.count("*").alias("rows"), F.count_distinct("key").alias("keys"), F.min("key").alias("first"), F.max("key").alias("last"))
 
 
@@ -174,8 +174,6 @@ add("brz_validation_report", lambda s, d: B.validation_report(bronze(s, d), {"le
   FROM (VALUES ('missing_required'), ('unknown'), ('optional_known'), ('unknown_metadata_key'), ('type_mismatch'), ('category_drift')) t(c))""")
 def _toggled(s, d):
     """The report under each setting of the two rules."""
-    from functools import reduce
-
     m = bronze(s, d)
     each = [B.quarantine_counts(m, t, j).select(F.lit(t).alias("timestamps"), F.lit(j).alias("metadata"), "*") for t in (True, False) for j in (True, False)]
     return reduce(DataFrame.unionByName, each)
@@ -287,8 +285,6 @@ def _watched(s, d):
     most = m.filter("substr(message_id, 12, 1) <> '3'")
     other = most.withColumn("message_id", F.when(F.substring("message_id", 12, 1) == "5", F.concat(F.lit("old"), "message_id")).otherwise(F.col("message_id")))
     at = D.Fingerprints(s, scratch_folder(s, "fingerprints"))
-    from functools import reduce
-
     return reduce(DataFrame.unionByName, [at.observe(x) for x in (m, m.unionByName(m).orderBy(F.desc("message_id")), most, other)])
 
 
