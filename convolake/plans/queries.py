@@ -189,10 +189,16 @@ add("brz_profile_values", lambda s, d: B.profile_values(bronze(s, d)), f"""SELEC
 # --- schema evolution -----------------------------------------------------------------------------------------------------
 add("drift_columns", lambda s, d: B.drift_columns(s, bronze(s, d).withColumns({"extra": F.lit("x")}).drop("status").columns).join(bronze(s, d).agg(F.count("*").alias("rows"))), "SELECT column_name, drift_class, (SELECT count(*) FROM bronze) AS rows FROM (VALUES ('status', 'missing_required'), ('extra', 'unknown')) t(column_name, drift_class)")
 add("drift_metadata_keys", lambda s, d: B.drift_metadata_keys(bronze(s, d)), "SELECT DISTINCT k AS column_name, 'unknown_metadata_key' AS drift_class FROM (SELECT unnest(json_keys(CASE WHEN json_valid(metadata) THEN metadata END)) AS k FROM bronze) WHERE k NOT IN ('device', 'city', 'state', 'response_time_sec', 'is_business_hours', 'lead_source')")
-add("drift_categories", lambda s, d: B.drift_categories(bronze(s, d)), "SELECT 'message_type' AS column_name, count(*) AS row_count, 'video' AS samples FROM bronze WHERE message_type = 'video'")
+_known_keys = ", ".join(repr(k) for k in C.METADATA_FIELDS)
+_pairs_sql = "(SELECT metadata, unnest(json_keys(metadata)) AS k FROM bronze WHERE json_valid(metadata))"
+_new_keys = f"(SELECT DISTINCT k FROM {_pairs_sql} WHERE k NOT IN ({_known_keys}))"
+_beyond = "(" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, substr({c}, 1, 32) AS v, count(*) AS n FROM bronze WHERE {c} IS NOT NULL AND {c} NOT IN ({', '.join(repr(x) for x in d)}) GROUP BY 2" for c, d in C.DOMAINS.items()) + ")"
+_events = lambda category: f"SELECT k AS column_name, 'unknown_metadata_key' AS drift_class, 'passthrough_with_alert' AS policy FROM {_new_keys} UNION ALL SELECT DISTINCT column_name, 'category_drift', {category} FROM {_beyond}"
+_snake = lambda k: f"lower(trim(regexp_replace(regexp_replace({k}, '([a-z0-9])([A-Z])', '\\1_\\2', 'g'), '[^A-Za-z0-9]+', '_', 'g'), '_'))"
+add("drift_categories", lambda s, d: B.drift_categories(bronze(s, d)), f"SELECT column_name, CAST(sum(n) AS BIGINT) AS row_count, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT v FROM {_beyond} y WHERE y.column_name = x.column_name ORDER BY v LIMIT 10)) AS samples FROM {_beyond} x GROUP BY column_name")
 add("drift_types", lambda s, d: B.drift_types(s, bronze(s, d).withColumn("timestamp", F.col("timestamp").cast("string"))).join(bronze(s, d).agg(F.count("timestamp").alias("rows"))), """SELECT 'timestamp' AS column_name, 'timestamp' AS expected, 'string' AS observed, count("timestamp") AS rows FROM bronze""")
-add("drift_policy", lambda s, d: B.drift_policy(B.drift_events(bronze(s, d)), {"message_type": "block"}), "SELECT 'leadScore' AS column_name, 'unknown_metadata_key' AS drift_class, 'passthrough_with_alert' AS policy FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1) UNION ALL SELECT 'message_type', 'category_drift', 'block' FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)")
-add("drift_detect", lambda s, d: B.drift_events(bronze(s, d)), "SELECT 'leadScore' AS column_name, 'unknown_metadata_key' AS drift_class, 'passthrough_with_alert' AS policy FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1) UNION ALL SELECT 'message_type', 'category_drift', 'quarantine' FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)")
+add("drift_policy", lambda s, d: B.drift_policy(B.drift_events(bronze(s, d)), {"message_type": "block"}), _events("CASE WHEN column_name = 'message_type' THEN 'block' ELSE 'quarantine' END"))
+add("drift_detect", lambda s, d: B.drift_events(bronze(s, d)), _events("'quarantine'"))
 add("drift_passthrough_rename", lambda s, d: B.passthrough_names(bronze(s, d).select("message_id", F.upper("channel").alias("region"))), "SELECT message_id, upper(channel) AS bronze_passthrough__region FROM bronze")
 add("drift_gold_partition", lambda s, d: G.public_gold(gold(s, d).withColumn(f"{C.PASSTHROUGH}x", F.lit(1))).select("lead_key", "total_messages", "intent_stage"), "SELECT lead_key, total_messages, intent_stage FROM gold")
 _extra = lambda s, d: gold(s, d).withColumns({f"{C.PASSTHROUGH}region": F.nullif("city", F.lit("Recife")), f"{C.PASSTHROUGH}score": F.lit(1), f"{C.PASSTHROUGH}kept": F.lit(2)})
@@ -359,7 +365,7 @@ add("mask_known_names", lambda s, d: silver(s, d).select("message_id", T.mask_kn
 _classes = ", ".join(f"CASE WHEN {p} THEN '{k}' END" for k, p in PII_SQL.items())
 add("pii_classes", lambda s, d: bronze(s, d).select("message_id", F.array_join(T.pii_classes(F.col("message_body")), ",").alias("classes")), f"SELECT message_id, concat_ws(',', {_classes}) AS classes FROM (SELECT message_id, coalesce(message_body, '') AS body FROM bronze)")
 add("pii_unmasked_classes", lambda s, d: silver(s, d).agg(F.count_if(F.size(T.unmasked_classes(F.col("message_body_masked"))) > 0).alias("leaks"), F.count_if(F.size(T.unmasked_classes(F.col("message_body"))) > 0).alias("unmasked"), F.count_if(F.size(T.unmasked_classes(F.concat_ws(" ", "message_body_masked", F.when(F.col("direction") == "inbound", "ABC1D23")))) > 0).alias("planted")), f"SELECT 0 AS leaks, count(*) FILTER ({UNMASKED_SQL}) AS unmasked, count(*) FILTER (direction = 'inbound') AS planted FROM silver")
-add("drift_report", lambda s, d: B.drift_report(B.drift_policy(B.drift_events(bronze(s, d)), {"message_type": "block"})).filter("events > 0"), "SELECT 'unknown_metadata_key' AS drift_class, 1 AS events, 'passthrough_with_alert' AS policy FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1) UNION ALL SELECT 'category_drift', 1, 'block' FROM (SELECT 1 FROM bronze WHERE message_type = 'video' LIMIT 1)")
+add("drift_report", lambda s, d: B.drift_report(B.drift_policy(B.drift_events(bronze(s, d)), {"message_type": "block"})).filter("events > 0"), f"SELECT drift_class, count(*) AS events, CASE WHEN bool_or(policy = 'block') THEN 'block' ELSE max(policy) END AS policy FROM ({_events("CASE WHEN column_name = 'message_type' THEN 'block' ELSE 'quarantine' END")}) GROUP BY drift_class")
 add("pub_column_audit", lambda s, d: P.column_audit(P.sanitize(silver(s, d)).drop("sender_name_masked")), "SELECT count(*) AS rows, '' AS forbidden_present, 'sender_name_masked' AS safe_missing FROM silver")
 _safe = ("conversation_id", "timestamp", "direction", "message_type")
 add("pub_safe_keys", lambda s, d: P.sanitize(silver(s, d)).select(*P.safe_keys((*_safe, "sender_phone"))).distinct(), f"""SELECT DISTINCT {', '.join(f'"{k}"' for k in _safe)}, regexp_replace(coalesce(sender_phone, ''), '[0-9]', 'X', 'g') AS sender_phone_masked FROM silver""")
@@ -628,9 +634,9 @@ add("qd_distribution_shift", lambda s, d: D.distribution_shift(changes(s, d)), f
 _dropped = lambda s, d: D.record_drop(_before(s, d).filter("direction = 'inbound'"), _before(s, d))
 add("qd_detect", lambda s, d: D.drift_triggers(D.distribution_shift(changes(s, d)), _gap(s, d), _dropped(s, d)), f"""SELECT string_agg(t, ',' ORDER BY t) AS triggers FROM (SELECT 'distribution_shift:' || column_name AS t FROM ({_changes_sql}) GROUP BY column_name HAVING max(abs(diff)) >= 0.15 UNION ALL SELECT 'null_rate:' || column_name FROM ({_rise})
     UNION ALL SELECT 'record_drop' FROM {_before_sql} HAVING count(*) FILTER (direction <> 'inbound' OR direction IS NULL) / count(*) >= 0.2)""")
-add("md_bool_strings", lambda s, d: D.boolean_strings(bronze(s, d)), """SELECT 'leadScore' AS key, count(*) AS rows FROM bronze WHERE json_valid(metadata) AND metadata LIKE '%"leadScore":"sim"%'""")
-add("md_key_normalization", lambda s, d: D.key_renames(bronze(s, d)), "SELECT 'leadScore' AS key, 'lead_score' AS normalized FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1)")
-add("md_new_fields", lambda s, d: B.drift_metadata_keys(bronze(s, d)).select("column_name"), "SELECT 'leadScore' AS column_name FROM (SELECT 1 FROM bronze WHERE metadata LIKE '%leadScore%' LIMIT 1)")
+add("md_bool_strings", lambda s, d: D.boolean_strings(bronze(s, d)), f"""SELECT k AS key, count(*) AS rows FROM {_pairs_sql} WHERE json_type(metadata, '$."' || k || '"') = 'VARCHAR' AND lower(json_extract_string(metadata, '$."' || k || '"')) IN ('true', 'false', 'sim', 'nao') GROUP BY k""")
+add("md_key_normalization", lambda s, d: D.key_renames(bronze(s, d)), f"SELECT DISTINCT k AS key, {_snake('k')} AS normalized FROM {_pairs_sql} WHERE k <> {_snake('k')}")
+add("md_new_fields", lambda s, d: B.drift_metadata_keys(bronze(s, d)).select("column_name"), f"SELECT k AS column_name FROM {_new_keys}")
 add("md_field_discovery", lambda s, d: B.metadata_keys(bronze(s, d)).agg(F.array_join(F.array_sort(F.collect_list("key")), ",").alias("keys")).join(B.quarantine_counts(bronze(s, d)).select("invalid_metadata")), "SELECT (SELECT string_agg(k, ',' ORDER BY k) FROM (SELECT DISTINCT unnest(json_keys(metadata)) AS k FROM bronze WHERE json_valid(metadata))) AS keys, count(*) FILTER (NOT json_ok) AS invalid_metadata FROM parsed")
 add("outcome_gap", lambda s, d: D.outcome_gap(bronze(s, d), ("venda_fechada",)), "SELECT count(*) FILTER (contains(conversation_outcome, 'negoci')) AS uncovered, count(*) FILTER (contains(conversation_outcome, 'negoci')) AS rows FROM bronze")
 # --- streaming ----------------------------------------------------------------------------------------------------------
