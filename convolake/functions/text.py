@@ -74,23 +74,33 @@ def mask_name(c: Column) -> Column:
     return F.regexp_replace(safe_string(c), r"\p{L}", "X")
 
 
-def masked_matches(text: Column, pattern, mask) -> Column:
+def masked_matches(text: Column, pattern, mask, can_match=None) -> Column:
     """text with mask applied to each match of pattern; what stands between matches stays. The text is bound to a lambda
-    variable, so that masks can be nested without evaluating it anew in each place."""
+    variable, so that masks can be nested without evaluating it anew in each place. can_match(text), where given, is a cheap
+    condition that every text with a match meets: others are passed on as they are."""
     p = F.lit(pattern) if isinstance(pattern, str) else pattern
 
     def masked(t: Column) -> Column:
+        out = _masked(t)
+        return out if can_match is None else F.when(can_match(t), out).otherwise(t)
+
+    def _masked(t: Column) -> Column:
         return F.array_join(F.zip_with(F.split(t, p, -1), F.transform(F.regexp_extract_all(t, p, F.lit(0)), mask), lambda gap, m: F.concat(gap, F.coalesce(m, F.lit("")))), "")
 
     return F.transform(F.array(text), masked)[0]
 
 
+def has_digit(t: Column) -> Column:
+    """Whether a text has a digit of any script, without which no CPF, CEP, phone or plate can be in it."""
+    return t.rlike(r"(?U)\d")
+
+
 def mask_email(c: Column) -> Column:
-    return masked_matches(safe_string(c), C.PII["email"], lambda m: F.regexp_replace(m, "[A-Za-z0-9]", "x"))
+    return masked_matches(safe_string(c), C.PII["email"], lambda m: F.regexp_replace(m, "[A-Za-z0-9]", "x"), lambda t: F.contains(t, F.lit("@")))
 
 
 def mask_plate(c: Column) -> Column:
-    return masked_matches(safe_string(c), C.PII["plate"], lambda m: F.regexp_replace(F.regexp_replace(F.upper(m), r"\p{L}", "X"), "[0-9]", "9"))
+    return masked_matches(safe_string(c), C.PII["plate"], lambda m: F.regexp_replace(F.regexp_replace(F.upper(m), r"\p{L}", "X"), "[0-9]", "9"), has_digit)
 
 
 def name_pattern(name: Column) -> Column:
@@ -110,7 +120,7 @@ def mask_body(text: Column, *names: Column) -> Column:
     """A message's text with e-mails, CPF, CEP, phones, plates and the conversation's names masked; its length stays."""
     out = mask_email(text)
     for kind in ("cpf", "cep", "phone"):
-        out = masked_matches(out, C.PII[kind], lambda m: F.regexp_replace(m, "[0-9]", "X"))
+        out = masked_matches(out, C.PII[kind], lambda m: F.regexp_replace(m, "[0-9]", "X"), has_digit)
     return mask_known_names(mask_plate(out), *names)
 
 
