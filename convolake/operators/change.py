@@ -262,7 +262,7 @@ def suppressed_alerts(log: DataFrame, minutes: int = 30, hours: int = 24) -> Dat
 
     A key's alerts are cut into ranges of so many hours, so that a frequent key is spread over many tasks; the alerts of a
     range's last minutes are shown to the next range too, where they only serve to look back at."""
-    second = F.unix_micros("run_at") / 1_000_000
+    second = F.unix_micros(F.col("run_at").cast("timestamp")) / 1_000_000
     at = lambda later: F.floor((second + later) / (hours * 3600))
     ranges = F.when(F.col("run_at").isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array_distinct(F.array(at(0), at(60 * minutes))))
     d = log.withColumn("__first", at(0)).withColumn("__range", F.explode(ranges))
