@@ -13,9 +13,11 @@ from convolake.llm.common import Scratch
 
 #: Rows that are worked on at a time, at least (more only where one group is larger).
 ROWS = 1 << 17
+#: Pairs found that are held before they are reduced or passed on.
+HELD = 1 << 20
 
 
-def by_groups(work: Callable[[pa.Table], pa.RecordBatch | None], key: str, rows: int = ROWS) -> Callable:
+def by_groups(work: Callable[[pa.Table], Iterator[pa.RecordBatch]], key: str, rows: int = ROWS) -> Callable:
     """A function for mapInArrow over batches sorted by key: work() gets about so many rows, never part of a group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -27,12 +29,12 @@ def by_groups(work: Callable[[pa.Table], pa.RecordBatch | None], key: str, rows:
                 have = pa.Table.from_batches(held)
                 keys = have.column(key).to_numpy()
                 cut = int(np.searchsorted(keys, keys[-1]))
-                if cut and (out := work(have.slice(0, cut))):
-                    yield out
+                if cut:
+                    yield from work(have.slice(0, cut))
                 rest = have.slice(cut)
                 held, size = rest.to_batches(), rest.num_rows
-        if size and (out := work(pa.Table.from_batches(held))):
-            yield out
+        if size:
+            yield from work(pa.Table.from_batches(held))
 
     return run
 

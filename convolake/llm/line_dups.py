@@ -9,7 +9,8 @@ set with Jaccard similarity of at least SIMILARITY (0.8). Lines without words st
 2. Lines with equal sets are one class (counted by partial sums); its first line stands for it.
 3. Each class sends the prefix of its ordered set: sets that are similar enough share a word there. A rare word is a key
    by itself. A common word (its counter is over COMMON) is a key only together with the next word that both sets share,
-   which stands in the prefix or one place behind it, so that no group of classes hangs on a common word alone. Groups of
+   which stands in the prefix or one place behind it (in long lines, with its neighbour, over a longer prefix), so that
+   no group of classes hangs on a common word alone and keys grow with the line. Groups of
    rare words have at most COMMON classes; those of word pairs are counted, and large ones dealt over tiles of pairs of
    blocks.
 4. Within a group, pairs of classes pass the length filter (a window over sizes), the positional filter (what can still
@@ -36,13 +37,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convolake.llm.common import Scratch, batch_words, mix, table, written
-from convolake.llm.groups import apart, arranged, by_groups, tiled
+from convolake.llm.groups import HELD, apart, arranged, by_groups, tiled
 
 SIMILARITY = 0.8
 #: Hashed counters (more of them only improve the order of words), in chunks that are summed in a tree.
 COUNTERS, CHUNKS, FAN_IN = 1 << 20, 64, 1_000
 #: Occurrences above which a word is common, and classes in a block of a large group.
 COMMON, TILE = 4_096, 4_096
+#: Words from which a line is long: its keys of two words are pairs of neighbours, so they grow with its length only.
+LONG = 40
 #: Partners that a group passes on for a class in the first pass.
 BEST = 2
 #: Lines to verify up to which their places are broadcast to the texts; beyond, texts and places are shuffled together.
@@ -138,10 +141,16 @@ def needed(n, similarity: float = SIMILARITY):
     return -(-(t * n) // (1000 + t))
 
 
-def prefix_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray, similarity: float, common_from: int = COMMON) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """owner (line), key and place of each key of each line; the place is that of the last word before what can still be
-    shared besides the key's own words. Pairs of words have places from _PAIR on."""
+def prefix_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray, similarity: float, common_from: int = COMMON, long_from: int = LONG) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """owner (line), key and place of each key of each line; n less place bounds what a line can share with another that
+    has this key, besides what earlier keys find. Pairs of words have places from _PAIR on.
+
+    Common words of short lines (up to long_from / similarity words) are keys with each later word of the prefix. Those of
+    long lines (from long_from on) are keys with the next word of the line only: similar sets A and B differ in at most
+    d = (1 - t) / (1 + t) * (|A| + |B|) words, so that among the first 2 * d + 2 common words of their union two that
+    stand side by side are shared, unless a rare word is. Sizes that are both short and long have both kinds of keys."""
     t = round(similarity * 1000)
+    long_from = max(long_from, -(-2000 // (2 * t - 1000)))  # sets this large share d + 2 words
     reach = np.where(size >= -(-t // (1000 - t)), size - (-(-(t * size) // 1000)) + 1, 0)  # smaller sets have equal partners only
     owner, place = arranged(reach)
     at = first[owner] + place
@@ -149,15 +158,25 @@ def prefix_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray, similari
     once, often = _magnitude(np.int64(1)), _magnitude(np.int64(common_from))
     rare = (word >> _TOP) <= often
     single = rare & ((word >> _TOP) > once)  # a word that occurs once joins nothing
-    common = np.flatnonzero(~rare)
+    common = np.flatnonzero(~rare & (size[owner] * t <= long_from * 1000 + t))
     row, step = arranged(reach[owner[common]] - place[common])
     a = common[row]
     behind = place[a] + 1 + step
     second = words[first[owner[a]] + behind]
     lives = (second >> _TOP) > once
     a, behind, second = a[lives], behind[lives], second[lives]
-    key = np.concatenate((mix(word[single]), mix(mix(word[a] ^ np.uint64(0x9E3779B97F4A7C15)) + second)))
-    return np.concatenate((owner[single], owner[a])), key.view(np.int64), np.concatenate((place[single], behind - 1 + _PAIR))
+    long = np.flatnonzero(size >= long_from)
+    line, k = arranged(size[long])
+    few = np.bincount(line, (words[first[long][line] + k] >> _TOP) <= often, len(long)).astype(np.int64)  # rare words of each
+    most = (size[long] * (1000 - t)) // t - few  # common words in which a line and a similar one differ, at most
+    count = np.where(most >= 0, np.minimum(2 * most + 1, size[long] - few - 1), 0)
+    line, k = arranged(np.maximum(count, 0))
+    left = first[long][line] + few[line] + k
+    pairs = [(word[a], second), (words[left], words[left + 1])]
+    pairs = [mix(mix(x ^ np.uint64(0x9E3779B97F4A7C15)) + y) for x, y in pairs]
+    pairs[1] = mix(pairs[1] + np.uint64(1))
+    key = np.concatenate((mix(word[single]), *pairs))
+    return np.concatenate((owner[single], owner[a], long[line])), key.view(np.int64), np.concatenate((place[single], behind - 1 + _PAIR, few[line] + _PAIR))
 
 
 def _line_rows(rarity, similarity: float, common_from: int):
@@ -228,42 +247,62 @@ def group_pairs(key, n, place, m1, m2, similarity: float, rows: pa.Table | None
         a = e
 
 
-def _partners(rows: pa.Table, similarity: float, best: int | None) -> pa.RecordBatch | None:
-    """Pairs of an earlier and a later class of complete groups."""
-    col = lambda c: rows.column(c).to_numpy()
-    key, n, place, line = col("key"), col("n"), col("place") % _PAIR, col("line")
-    doc = np.unique(col("doc_id"), return_inverse=True)[1]
-    order = doc.astype(np.int64) << 32 | line
-    keep = np.flatnonzero(np.concatenate((key[1:] == key[:-1], [False])) | np.concatenate(([False], key[1:] == key[:-1])))
-    if not len(keep):
-        return None
-    found = list(group_pairs(key[keep], n[keep], place[keep], col("m1")[keep], col("m2")[keep], similarity, rows.take(pa.array(keep)) if "block" in rows.schema.names else None))
-    if not found:
-        return None
-    found = [np.concatenate(x) for x in zip(*found, strict=True)]
-    i, j, differ = keep[found[0]], keep[found[1]], found[2]
-    early, late = np.where(order[i] < order[j], i, j), np.where(order[i] < order[j], j, i)
-    ok = order[i] != order[j]
-    if best is None:
-        ok &= rows.column("asked").to_numpy(zero_copy_only=False)[late]
-    early, late, differ = early[ok], late[ok], differ[ok]
-    more = np.zeros(len(early), bool)
-    if best is not None and len(early):
-        by = np.lexsort((order[early], differ * 1000 // (n[early] + n[late]), late))
-        early, late = early[by], late[by]
-        start = np.flatnonzero(np.diff(late, prepend=-1))
-        count = np.diff(np.append(start, len(late)))
-        rank = np.arange(len(late)) - np.repeat(start, count)
-        more = np.repeat(count > best, count)
-        early, late, more = (x[rank < best] for x in (early, late, more))
+def _likeliest(pairs: list[tuple], order: np.ndarray, n: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs (early, late, differ, more), the best for each later row; more: whether that row had others, now or before."""
+    early, late, differ, more = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    if not len(early):
+        return early, late, differ, more
+    by = np.lexsort((order[early], differ * 1000 // (n[early] + n[late]), late))
+    early, late, differ, more = early[by], late[by], differ[by], more[by]
+    start = np.flatnonzero(np.diff(late, prepend=-1))
+    count = np.diff(np.append(start, len(late)))
+    more = np.repeat(np.logical_or.reduceat(more, start) | (count > best), count)
+    kept = np.arange(len(late)) - np.repeat(start, count) < best
+    return early[kept], late[kept], differ[kept], more[kept]
+
+
+def _pair_rows(rows: pa.Table, order: np.ndarray, early: np.ndarray, late: np.ndarray, more: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The lines of pairs of rows, each pair of lines once."""
     if not len(early):
-        return None
+        return
     by = np.lexsort((~more, order[early], order[late]))
     once = np.concatenate(([True], np.diff(order[late][by]) != 0)) | np.concatenate(([True], np.diff(order[early][by]) != 0))
     early, late, more = (x[by][once] for x in (early, late, more))
-    pick = lambda c, at: rows.column(c).take(pa.array(at)).combine_chunks()
     flat = lambda x: x.chunk(0) if isinstance(x, pa.ChunkedArray) else x
-    return pa.RecordBatch.from_arrays([*(flat(pick(c, at)) for at in (early, late) for c in ("doc_id", "line")), pa.array(more)], ["a_doc", "a_line", "b_doc", "b_line", "more"])
+    pick = lambda c, at: flat(rows.column(c).take(pa.array(at)).combine_chunks())
+    yield pa.RecordBatch.from_arrays([*(pick(c, at) for at in (early, late) for c in ("doc_id", "line")), pa.array(more)], ["a_doc", "a_line", "b_doc", "b_line", "more"])
+
+
+def _partners(rows: pa.Table, similarity: float, best: int | None, most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Pairs of an earlier and a later class of complete groups. About most pairs are held at a time, besides the best
+    for each row."""
+    col = lambda c: rows.column(c).to_numpy()
+    key, n, place, line = col("key"), col("n").astype(np.int64), col("place") % _PAIR, col("line")
+    doc = np.unique(col("doc_id"), return_inverse=True)[1]
+    order = doc.astype(np.int64) << 32 | line
+    same = key[1:] == key[:-1]
+    keep = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))
+    if not len(keep):
+        return
+    asked = rows.column("asked").to_numpy(zero_copy_only=False) if best is None else None
+    held, size = [], 0
+    for i, j, differ in group_pairs(key[keep], n[keep], place[keep], col("m1")[keep], col("m2")[keep], similarity, rows.take(pa.array(keep)) if "block" in rows.schema.names else None):
+        i, j = keep[i], keep[j]
+        ahead = order[i] < order[j]
+        early, late = np.where(ahead, i, j), np.where(ahead, j, i)
+        ok = order[i] != order[j]
+        if best is None:
+            ok &= asked[late]
+        held.append((early[ok], late[ok], differ[ok], np.zeros(int(ok.sum()), bool)))
+        size += len(held[-1][0])
+        if size >= most:
+            if best is None:
+                early, late, _, more = (np.concatenate(x) for x in zip(*held, strict=True))
+                yield from _pair_rows(rows, order, early, late, more)
+            held, size = [] if best is None else [_likeliest(held, order, n, best)], 0
+    if held:
+        early, late, _, more = (np.concatenate(x) for x in zip(*held, strict=True)) if best is None else _likeliest(held, order, n, best)
+        yield from _pair_rows(rows, order, early, late, more)
 
 
 def _candidates(entries: DataFrame, kind: str, similarity: float, best: int | None) -> DataFrame:

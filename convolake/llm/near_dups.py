@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from convolake.llm.common import Scratch, batch_words, mix, small_side, table, written
 from convolake.llm.components import components
-from convolake.llm.groups import apart, arranged, by_groups, tiled
+from convolake.llm.groups import HELD, apart, arranged, by_groups, tiled
 
 WORDS = 5
 THRESHOLD = 0.75
@@ -188,13 +188,29 @@ def common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(a, b, strict=True)], dtype="int64")
 
 
+def _passed(ids: np.ndarray, found: list[tuple], best: int | None) -> Iterator[pa.RecordBatch]:
+    """The pairs to pass on, with whether the asker has more than these."""
+    i, j, equal = (np.concatenate(x) for x in zip(*found, strict=True))
+    more = np.zeros(len(i), bool)
+    if best is not None and len(i):
+        order = np.lexsort((ids[j], -equal, i))
+        i, j = i[order], j[order]
+        start = np.flatnonzero(np.diff(i, prepend=-1))
+        size = np.diff(np.append(start, len(i)))
+        rank = np.arange(len(i)) - np.repeat(start, size)
+        more = np.repeat(size > best, size)[rank < best]
+        i, j = i[rank < best], j[rank < best]
+    if len(i):
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (ids[i], ids[j], more))], ["asker", "other", "more"])
+
+
 def _compared(least: int, best: int | None):
     """Of rows of complete buckets (bucket, id, comp, n, low; asked if best is None): pairs of members of different
     components with at least so many equal low bytes. Who asks for partners are the members outside a bucket's largest
     component or, if best is None, those marked asked, for whom all partners are passed on, each pair by the bucket of
     the first band that it shares (regs: the banded registers)."""
 
-    def work(rows: pa.Table) -> pa.RecordBatch | None:
+    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         bucket, ids, comp, n = (rows.column(c).to_numpy() for c in ("bucket", "id", "comp", "n"))
         by = np.lexsort((n, bucket))
         bucket, ids, comp, n = bucket[by], ids[by], comp[by], n[by]
@@ -210,7 +226,7 @@ def _compared(least: int, best: int | None):
             main = comp[at][new][order][last]
             askers = np.flatnonzero(comp != main[group])
         if not len(askers):
-            return None
+            return
         low = rows.column("low").combine_chunks()
         low = np.frombuffer(b"".join(low.to_pylist()), np.uint8).reshape(len(by), -1)[by]
         if best is None:
@@ -223,10 +239,10 @@ def _compared(least: int, best: int | None):
         to = np.searchsorted(code, group[askers] * span + 4 * n[askers] // 3, side="right")
         count = to - from_
         step = max(1, BYTES // low.shape[1])
-        found = []
+        found, size = [], 0
         edges = np.unique(np.minimum(np.searchsorted(np.cumsum(count), np.arange(step, count.sum() + step, step)) + 1, len(askers)))
         a = 0
-        for e in edges:
+        for e in edges:  # all partners of an asker come together
             owner, k = arranged(count[a:e])
             i, j = askers[a:e][owner], from_[a:e][owner] + k
             other = (comp[i] != comp[j]) & own(i, j)
@@ -238,20 +254,13 @@ def _compared(least: int, best: int | None):
                 if best is None:
                     ok = ok[(banded[x[ok]] == banded[y[ok]]).all(axis=2).argmax(axis=1) == band[x[ok]]]
                 found.append((x[ok], y[ok], equal[ok]))
+                size += len(ok)
             a = e
-        if not found:
-            return None
-        i, j, equal = (np.concatenate(x) for x in zip(*found, strict=True))
-        more = np.zeros(len(i), bool)
-        if best is not None and len(i):
-            order = np.lexsort((ids[j], -equal, i))
-            i, j = i[order], j[order]
-            start = np.flatnonzero(np.diff(i, prepend=-1))
-            size = np.diff(np.append(start, len(i)))
-            rank = np.arange(len(i)) - np.repeat(start, size)
-            more = np.repeat(size > best, size)[rank < best]
-            i, j = i[rank < best], j[rank < best]
-        return pa.RecordBatch.from_arrays([*map(pa.array, (ids[i], ids[j], more))], ["asker", "other", "more"]) if len(i) else None
+            if size >= HELD:
+                yield from _passed(ids, found, best)
+                found, size = [], 0
+        if size:
+            yield from _passed(ids, found, best)
 
     return work
 

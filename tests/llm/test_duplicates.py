@@ -160,6 +160,42 @@ def test_line_dedup(spark, docs, sizes):
     assert line_dups.duplicate_lines(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("common", [2, 8, 30])
+def test_long_lines_are_found_by_neighbours(spark, docs, common):
+    def changed(words):
+        n = rng.randint(0, len(words) // 8)
+        words = [w for w in words if rng.random() > rng.choice([0, 0.05, 0.15])]
+        return words + rng.sample(WORDS, n)
+
+    base = [rng.sample(WORDS, rng.randint(30, 150)) for _ in range(25)]
+    texts = ["\n".join(" ".join(changed(rng.choice(base))) for _ in range(5)) for _ in range(40)]
+    got = {r.doc_id: r.removed for r in line_dups.duplicate_lines(docs(texts), common=common, best=1, tile=40).collect()}
+    assert got == removed_lines(texts)
+
+
+def test_keys_grow_with_the_line_only():
+    for n in (100, 500, 2_000, 8_000):
+        words = np.sort(line_dups.mix(np.arange(n, dtype=np.uint64))) >> np.uint64(8) | np.uint64(200 << 56)
+        owner, _, _ = line_dups.prefix_keys(words, np.array([0]), np.array([n]), 0.8)
+        prefix = n - 8 * n // 10 + 1
+        assert prefix < len(owner) <= 3 * prefix
+
+
+def pairs_of(batches):
+    return {tuple(x.values()) for b in batches for x in b.to_pylist()}
+
+
+def test_pairs_held_do_not_change_what_is_passed_on():
+    sets = [set(rng.sample(range(30), 20)) for _ in range(3)]
+    sets = [x ^ {rng.randrange(30)} for x in sets for _ in range(40)]
+    maps = np.array([sum(1 << w for w in x) for x in sets], np.int64)
+    n = len(sets)
+    rows = line_dups.pa.table({"key": np.repeat([1, 2], n // 2), "doc_id": np.arange(n), "line": np.zeros(n, np.int32), "n": np.array([len(x) for x in sets], np.int32), "place": np.zeros(n, np.int32), "m1": maps, "m2": np.zeros(n, np.int64), "asked": np.ones(n, bool)})
+    for best in (1, 2, None):
+        whole = pairs_of(line_dups._partners(rows, 0.8, best))
+        assert whole and pairs_of(line_dups._partners(rows, 0.8, best, 1)) == whole
+
+
 def brute_repeats(texts, n=repeats.LENGTH):
     seen = Counter()
     raw = [(t or "").encode() for t in texts]
