@@ -3,10 +3,11 @@
 Base rules (e-mail, IPv4, card number, phone) always hold. Wide patterns of each kind, and of secrets (keys, tokens,
 passwords), propose further spans, which may overlap; boosted trees score them from their format and context, and a
 threshold per kind, calibrated on held-out candidates, selects those that are added. The trees are Spark ML's. There are
-no labels for personal data, so the fit plants its own: into contexts of a bounded sample of documents go spans of each
-kind in forms that the base rules miss (other separators, [at] and [dot], no plus sign, keys and passwords), and
-look-alikes that are none (versions, times, order numbers, failed check digits, digests); the sampled texts' own
-candidates that meet no base span are negatives too. The trees are then compiled into one column expression: the whole
+no labels for personal data, so the fit plants its own: into the context of every document go spans of each kind in forms
+that the base rules miss (other separators, [at] and [dot], no plus sign, keys and passwords), and look-alikes that are
+none (versions, times, order numbers, failed check digits, digests), all of them in a small table, one in each document of
+a large one; all texts' own candidates that meet no base span are negatives too. Equal candidates are one row with a
+weight, so what the trees see grows with the kinds of candidates. The trees are then compiled into one column expression: the whole
 text is scanned once by DataFrame functions, without Python, shuffle or collected text.
 
 Offsets count code points, ends are exclusive. Defined results: a null or empty text has no spans; repeated rows are
@@ -46,9 +47,10 @@ NEAR = 24
 SECRET_HINTS = "(?i)pass|pwd|secret|token|key|auth|credential|bearer"
 KEY_PREFIX = "^(?:AKIA|ASIA|gh[opsu]_|sk[-_]|pk[-_]|xox[abp]-|AIza|eyJ)"
 HINTS = "(?i)mail|contact|phone|tel|call|fax|mobile|card|visa|credit|pay|addr|host|login|user"
-#: Bounds of the fit: documents that lend their contexts, by hash of doc_id; trees and their depth.
-SAMPLE_DOCS, TREES, DEPTH = 1_000, 20, 4
-#: Precision that a kind's threshold must reach on the held-out half of the sample.
+#: The fit: planted spans that a small table gets at least (each document lends its context to one or more), trees and
+#: their depth.
+PLANTS, TREES, DEPTH = 45_000, 20, 4
+#: Precision that a kind's threshold must reach on the held-out half of the documents.
 PRECISION = 0.95
 FEATURES = ("kind", "digits", "letters", "size", "seps", "groups", "luhn", "octets", "dots", "tld", "left", "right", "hint", "repeated", "colons", "upper", "hex", "secret", "assigned", "prefix", "marks")
 _BLOCK = 512
@@ -164,8 +166,9 @@ def _meets(spans: Column, c: Column) -> Column:
     return F.exists(spans, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
 
 
-def planted(salt: Column) -> Column:
-    """Spans to plant, made of hashed figures and letters: kind, whether it is one, what leads in to it, and its text."""
+def planted(salt: Column, share: int | None = None) -> Column:
+    """Spans to plant, made of hashed figures and letters: kind, whether it is one, what leads in to it, and its text; all
+    forms, or so many from a place on that the salt sets (others are not made)."""
     figures = lambda k, n: F.substring(F.translate(F.sha2(F.concat_ws("-", salt, F.lit(f"d{k}")), 256), "abcdef", "274859"), 1, n)
     letters = lambda k, n: F.substring(F.translate(F.sha2(F.concat_ws("-", salt, F.lit(f"w{k}")), 256), "0123456789", "ghiklmnoprst"), 1, n)
     hexes = lambda k, n: F.substring(F.sha2(F.concat_ws("-", salt, F.lit(f"h{k}")), 256), 1, n)
@@ -191,7 +194,10 @@ def planted(salt: Column) -> Column:
         ("secret", 1, "password=", hexes(16, 18)), ("secret", 1, "token = \"", hexes(17, 40)), ("secret", 1, "api_key: ", of(letters(12, 5), hexes(18, 20))), ("secret", 1, "", of("AKIA", token(19, 16))), ("secret", 1, "", of("ghp_", letters(13, 18), hexes(20, 18))), ("secret", 1, "secret: ", of(letters(14, 8), figures(54, 8))), ("secret", 1, "pwd=", of(letters(15, 7), figures(55, 6))),
         ("secret", 0, "commit ", hexes(21, 40)), ("secret", 0, "", of(letters(16, 9), figures(56, 4))), ("secret", 0, "file ", of(letters(17, 6), "-", letters(18, 6), "-", figures(57, 4))), ("secret", 0, "", of(hexes(22, 8), "-", hexes(23, 4), "-", hexes(24, 4), "-", hexes(25, 12))), ("secret", 0, "order ", of(token(26, 4), "-", figures(58, 8))), ("secret", 0, "", figures(59, 14)), ("secret", 0, "see ", of(letters(19, 5), "/", letters(20, 6), "/", figures(60, 4))),
     ]
-    return F.array(*[record(kind=F.lit(ALL_KINDS.index(kind)), good=F.lit(good), lead=F.lit(lead), value=value) for kind, good, lead, value in rows])
+    spans = [record(kind=F.lit(ALL_KINDS.index(kind)), good=F.lit(good), lead=F.lit(lead), value=value) for kind, good, lead, value in rows]
+    if share is None or share >= len(spans):
+        return F.array(*spans)
+    return F.array_compact(F.array(*[F.when(F.pmod(i - F.xxhash64(salt) % len(spans), F.lit(len(spans))) < share, x) for i, x in enumerate(spans)]))
 
 
 class Split:
@@ -235,13 +241,15 @@ class SpanModel:
         return self.score(c["x"]) >= limit
 
 
-def labelled_candidates(docs: DataFrame, sample_docs: int) -> DataFrame:
-    """kind, x (features), label and held (whether for calibration) of candidates around planted spans, and of the sampled
-    texts' own ones that meet no base span (of secrets, planted ones only: nothing tells which of a text's own are some)."""
-    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    drawn = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+def labelled_candidates(docs: DataFrame, plants: int) -> DataFrame:
+    """held (whether for calibration), kind, x (features), label and n (how many are equal) of candidates around planted
+    spans, and of all texts' own ones that meet no base span (of secrets, planted ones only: nothing tells which of a text's
+    own are some). Each document gets the same number of planted spans, one at least, so that there are so many or more
+    (fewer where a table is too small for it with all forms in each document)."""
+    drawn = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    share = -(-plants // max(1, docs.count()))
     held = (F.xxhash64("doc_id", F.lit(1)) % 2 == 0).alias("held")
-    rows = drawn.select(held, F.substring("text", 1, 60).alias("a"), F.substring("text", 61, 60).alias("z"), F.explode(planted(F.col("doc_id").cast("string"))).alias("p"))
+    rows = drawn.select(held, F.substring("text", 1, 60).alias("a"), F.substring("text", 61, 60).alias("z"), F.explode(planted(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), share)).alias("p"))
     start = F.length("a") + 1 + F.length("p.lead")
     rows = rows.select("held", "p", start.alias("start"), (start + F.length("p.value")).alias("end"), F.concat("a", F.lit(" "), "p.lead", "p.value", F.when(F.col("p.lead").endswith('"'), F.lit('"')).otherwise(F.lit("")), F.lit(" "), "z").alias("text"))
     rows = rows.select("held", "p", "start", "end", base_spans(F.col("text")).alias("base"), F.explode(candidates(F.col("text"))).alias("c")).filter(~_meets(F.col("base"), F.col("c")) & (F.col("c.start") < F.col("end")) & (F.col("start") < F.col("c.end")))
@@ -249,23 +257,24 @@ def labelled_candidates(docs: DataFrame, sample_docs: int) -> DataFrame:
     whole = (F.col("c.start") <= F.col("start") + 1) & (F.col("c.end") >= F.col("end") - 1)
     rows = rows.filter(~same | whole | (F.col("p.good") == 0)).select("held", F.col("c.kind").alias("kind"), F.col("c.x").alias("x"), (same & (F.col("p.good") == 1)).cast("double").alias("label"))
     own = drawn.select(held, base_spans(F.col("text")).alias("base"), F.explode(candidates(F.col("text"))).alias("c")).filter(~_meets(F.col("base"), F.col("c")) & (F.col("c.kind") < len(KINDS)))
-    return rows.unionByName(own.select("held", F.col("c.kind").alias("kind"), F.col("c.x").alias("x"), F.lit(0.0).alias("label")))
+    every = rows.unionByName(own.select("held", F.col("c.kind").alias("kind"), F.col("c.x").alias("x"), F.lit(0.0).alias("label")))
+    return every.groupBy("held", "kind", "x", "label").agg(F.count("*").alias("n"))
 
 
-def fit_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION) -> SpanModel | None:
-    """Boosted trees on labelled candidates from the contexts of at most sample_docs documents; None where there are none."""
+def fit_spans(docs: DataFrame, plants: int = PLANTS, precision: float = PRECISION) -> SpanModel | None:
+    """Boosted trees on labelled candidates from all documents; None where there are none."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = written(labelled_candidates(docs, sample_docs), "spans")
+    rows = written(labelled_candidates(docs, plants), "spans")
     if rows.filter("not held").select("label").distinct().count() < 2:
         return None
-    train = rows.filter("not held").select("label", array_to_vector("x").alias("features")).repartition(2)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, maxBins=32, minInstancesPerNode=5).fit(train)
+    train = rows.filter("not held").select("label", F.col("n").cast("double").alias("n"), array_to_vector("x").alias("features")).repartition(2)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, maxBins=32, minInstancesPerNode=5, weightCol="n").fit(train)
     trees = [(float(w), parsed_tree(t.toDebugString)) for w, t in zip(model.treeWeights, model.trees, strict=True)]
     grown = SpanModel(trees, [2.0] * len(ALL_KINDS))
     # the lowest score (in hundredths) from which the held-out candidates of a kind are right often enough
-    steps = rows.filter("held").groupBy("kind", F.floor(grown.score(F.col("x")) * 100).alias("step")).agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
+    steps = rows.filter("held").groupBy("kind", F.floor(grown.score(F.col("x")) * 100).alias("step")).agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()
     for k in range(len(ALL_KINDS)):
         good = n = 0
         for s in sorted((s for s in steps if s.kind == k), key=lambda s: -s.step):
