@@ -166,3 +166,13 @@ def test_missing_and_forbidden_columns(layers):
     assert failed(A.layer_results(macro.filter("dimension <> 'intent_stage'").withColumn("lead_key", null()), "gold_macro")) == {("gold_macro", "no_pii_identifier_columns"): (1, "lead_key"), ("gold_macro", "all_required_dimensions_present"): (1, "intent_stage")}
     assert failed(A.silver_consistency(layers["silver"].drop("message_count"), layers["silver_messages"])) == {("silver", "silver_lead_keys_have_messages"): (0, "missing:message_count")}
     assert failed(A.gold_consistency(layers["gold"], layers["silver"], layers["silver_messages"].drop("timestamp"))) == {("silver_messages", "gold_lead_keys_in_silver"): (0, "missing:timestamp")}
+
+
+def test_tables_are_read_once(layers):
+    """Counts and samples come from the stored keys of violating rows, and both checks between layers from one history."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    checks = tuple(k for k in A.REGISTRY if k.layer == "silver_messages" and k.violated is not None)
+    assert "message_body_masked" not in plan(A.evaluated(layers["silver_messages"], "message_id", checks))
+    whole = plan(A.audit(*layers.values()))
+    assert "message_type" in whole  # in the count of unique keys
+    assert "mentions_vehicle" not in whole and "observed_outcomes" not in whole
