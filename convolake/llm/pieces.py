@@ -5,7 +5,8 @@ With dropout, a candidate merge is skipped if the keyed hash of seed, document,
 parts falls under the dropout rate; skipped candidates never come back, so the outcome depends on the key alone. A
 document's variant is a 64-bit hash of its id, an occurrence is its place among the text's units, so every occurrence of a
 word is cut anew. A worker keeps (in bounded caches) each word's pieces without dropout and the candidates on the way
-there: an occurrence that skips none of these has these pieces, any other is merged by itself. No piece has a blank
+there: an occurrence that skips none of these has these pieces. The same is kept of the way on which one of them is
+skipped: an occurrence that skips this one, and none on that way, has its pieces. Any other is merged by itself. No piece has a blank
 inside, so blanks cut a text into units that are encoded apart; many units merge at the same time, one merge each a
 round, in numpy.
 
@@ -33,7 +34,7 @@ from convolake.llm.common import mix, table
 RATE, SEED = 0.1, 17
 #: Variants that tests try; any number of 64 bits is one.
 VARIANTS = 4
-CACHE_UNITS = 300_000
+CACHE_UNITS, CACHE_WAYS = 300_000, 600_000
 #: Units that merge at the same time; characters of a unit beyond which it is cut off into a batch of its own.
 ROUND = 8_192
 _UNIT = re.compile("[\n▁]| *[^ \n▁]+| +")
@@ -71,15 +72,16 @@ class PieceCoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Units with their numbers; by number the pieces without dropout, the hash, and the candidates' hashed places."""
+        """Units with their numbers (ways on which one candidate is skipped have some, too); by number the pieces, the hash,
+        and the candidates' hashed places; by candidate the number of the way on which it is skipped, or -1."""
         self.number: dict[str, int] = {}
         self.whole: list[bytes] = []
         self.word = self.spots = np.zeros(0, np.uint64)
-        self.first = self.count = np.zeros(0, np.int64)
+        self.first = self.count = self.without = np.zeros(0, np.int64)
 
-    def _candidates(self, sym, nxt, row, at, key, length, seen=None):
+    def _candidates(self, sym, nxt, row, at, key, length, seen=None, forced=None):
         """Rank (_NEVER if there is none) and piece of the merge of the symbols at (row, at) and after it. With seen, none
-        is skipped and rows and hashed places of all are put there."""
+        is skipped (but for a row's forced one) and rows and hashed places of all are put there."""
         right = nxt[row, at]
         last = right >= length[row]
         right = np.where(last, 0, right)
@@ -94,6 +96,8 @@ class PieceCoder:
             if seen is None:
                 found &= mix(key[row] ^ spot) >= self.limit
             else:
+                if forced is not None:
+                    found &= spot != forced[row]
                 seen.append((row[found], spot[found]))
         return np.where(found, self.rank[place], _NEVER), self.merged[place]
 
@@ -104,7 +108,7 @@ class PieceCoder:
     def _keys(self, words: np.ndarray, variants) -> np.ndarray:
         return mix(words ^ self.seed ^ (np.asarray(variants).astype(np.uint64) << np.uint64(7)))
 
-    def _merge(self, units: list[str], variant, seen=None, key=None) -> list[bytes]:
+    def _merge(self, units: list[str], variant, seen=None, key=None, forced=None) -> list[bytes]:
         """The piece ids (as uint16 or uint32 bytes) of units of about the same length. variant: of all, or of each; or key:
         what _keys() gives for them."""
         n, width = len(units), max(map(len, units))
@@ -118,7 +122,7 @@ class PieceCoder:
         prv = np.tile(np.arange(-1, width - 1), (n, 1))
         row, at = np.nonzero(inside)
         rank, piece = np.full((n, width), _NEVER), np.zeros((n, width), np.int32)
-        rank[row, at], piece[row, at] = self._candidates(sym, nxt, row, at, key, length, seen)
+        rank[row, at], piece[row, at] = self._candidates(sym, nxt, row, at, key, length, seen, forced)
         alive, live = inside.copy(), np.arange(n)
         while len(live):
             best = rank[live].argmin(axis=1)
@@ -133,11 +137,11 @@ class PieceCoder:
             alive[live, gone], rank[live, gone] = False, _NEVER
             more = after < length[live]
             prv[live[more], after[more]] = best[more]
-            rank[live, best], piece[live, best] = self._candidates(sym, nxt, live, best, key, length, seen)
+            rank[live, best], piece[live, best] = self._candidates(sym, nxt, live, best, key, length, seen, forced)
             left = prv[live, best]
             has = left >= 0
             r, p = live[has], left[has]
-            rank[r, p], piece[r, p] = self._candidates(sym, nxt, r, p, key, length, seen)
+            rank[r, p], piece[r, p] = self._candidates(sym, nxt, r, p, key, length, seen, forced)
         kind = self.kind
         ids = sym[alive]
         ends = np.cumsum(alive.sum(axis=1))
@@ -168,14 +172,14 @@ class PieceCoder:
             yield by[at : at + n]
             at += n
 
-    def _learn(self, new: list[str]) -> None:
-        new.sort(key=len)
+    def _learn(self, new: list[str], forced: np.ndarray | None = None) -> np.ndarray:
+        """Numbers of new units; or, with the hashed places that are skipped, of these ways of units."""
         words, firsts, counts, spots = [self.word], [self.first], [self.count], [self.spots]
-        base = len(self.spots)
-        for part in self._parts(new, list(range(len(new)))):
+        base, ids = len(self.spots), np.zeros(len(new), np.int64)
+        for part in self._parts(new, sorted(range(len(new)), key=lambda i: len(new[i]))):
             units, seen = [new[i] for i in part], []
-            self.number.update(zip(units, range(len(self.whole), len(self.whole) + len(units)), strict=True))
-            self.whole += self._merge(units, 0, seen)
+            ids[part] = np.arange(len(self.whole), len(self.whole) + len(units))
+            self.whole += self._merge(units, 0, seen, forced=None if forced is None else forced[part])
             row = np.concatenate([r for r, _ in seen]) if seen else np.zeros(0, np.int64)
             n = np.bincount(row, minlength=len(units))
             spots.append(np.concatenate([x for _, x in seen])[np.argsort(row, kind="stable")] if seen else np.zeros(0, np.uint64))
@@ -184,15 +188,24 @@ class PieceCoder:
             firsts.append(base + np.cumsum(n) - n)
             base += int(n.sum())
         self.word, self.first, self.count, self.spots = map(np.concatenate, (words, firsts, counts, spots))
+        self.without = np.concatenate((self.without, np.full(base - len(self.without), -1, np.int64)))
+        return ids
+
+    def _skipped(self, ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of numbers with keys: places in ids and candidates, of all candidates that are skipped."""
+        n = self.count[ids]
+        entry = np.arange(int(n.sum())) + np.repeat(self.first[ids] - (np.cumsum(n) - n), n)
+        at = np.flatnonzero(mix(np.repeat(keys, n) ^ self.spots[entry]) < self.limit)
+        return np.repeat(np.arange(len(ids)), n)[at], entry[at]
 
     def encode(self, texts: list[str | None], variants: list[int]) -> list[bytes]:
         """Piece ids of each text, as bytes of self.kind."""
         cut = [_UNIT.findall(" " + t) if t else [] for t in texts]
         units = [u for us in cut for u in us]
-        if len(self.number) > CACHE_UNITS:
+        if len(self.number) > CACHE_UNITS or len(self.whole) > CACHE_WAYS:
             self._forget()
-        if new := set(units) - self.number.keys():
-            self._learn(list(new))
+        if new := list(set(units) - self.number.keys()):
+            self.number.update(zip(new, self._learn(new).tolist(), strict=True))
         ids = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
         got = list(map(self.whole.__getitem__, ids.tolist()))
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
@@ -200,11 +213,22 @@ class PieceCoder:
         if self.rate > 0 and len(units):
             place = np.arange(len(units)) - np.repeat(ends - sizes, sizes)
             keys = mix(np.repeat(np.array([v & (2**64 - 1) for v in variants], np.uint64), sizes) ^ mix(place.astype(np.uint64) + np.uint64(1)))
-            n = self.count[ids]
-            entry = np.arange(int(n.sum())) + np.repeat(self.first[ids] - (np.cumsum(n) - n), n)
             keys = self._keys(self.word[ids], keys)
-            skipped = mix(np.repeat(keys, n) ^ self.spots[entry]) < self.limit
-            own = np.unique(np.repeat(np.arange(len(units)), n)[skipped])
+            own, entry = self._skipped(ids, keys)
+            times = np.bincount(own, minlength=len(units))
+            one = times[own] == 1
+            at, entry = own[one], entry[one]  # units that skip one candidate, and this
+            lacking, first = np.unique(entry, return_index=True)
+            fresh = self.without[lacking] < 0
+            if fresh.any():
+                lacking, first = lacking[fresh], first[fresh]
+                ways = self._learn([units[i] for i in at[first].tolist()], self.spots[lacking])
+                self.without[lacking] = ways
+            ways = self.without[entry]
+            again = np.unique(self._skipped(ways, keys[at])[0])
+            for i, w in zip(at.tolist(), ways.tolist(), strict=True):
+                got[i] = self.whole[w]
+            own = np.concatenate((np.flatnonzero(times > 1), at[again]))
             by = own[np.argsort(np.fromiter((len(units[i]) for i in own.tolist()), np.int64, len(own)), kind="stable")].tolist()
             for part in self._parts(units, by):
                 for i, x in zip(part, self._merge([units[i] for i in part], None, key=keys[part]), strict=True):

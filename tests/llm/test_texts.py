@@ -258,3 +258,21 @@ def test_short_items_are_found_word_for_word(spark, docs):
     assert [(r.start, r.stop) for r in rows if (r.doc_id, r.item_id) in ((0, 0), (3, 1))] == [(4, 18), (18, 33)]
     assert {r.doc_id for r in D.decontaminated(docs(texts), bench).collect()} == set(range(len(texts))) - {i for i, _ in want}
     assert len(D.Index(((1, "the seven hills"),)).search("the seven hills " * 20_000)) == 20_000
+
+
+def test_ways_with_one_skip_are_merged_once():
+    """Occurrences that skip one candidate share the pieces of that way, and all have the pieces they have by themselves."""
+    c = P.PieceCoder(P.model_path())
+    texts = ["the water of small towns is not always clean é " * 400] * 4
+    c.encode(texts, [1, 2, 3, 4])
+    merged, plain = [], c._merge
+
+    def counted(units, *args, key=None, **more):
+        merged.extend(units if key is not None else [])
+        return plain(units, *args, key=key, **more)
+
+    c._merge = counted
+    got = c.encode(texts, [5, 6, 7, 8])
+    assert 0 < len(merged) < 0.25 * 4 * 400 * 10
+    c._merge, c._skipped = plain, lambda ids, keys: (np.repeat(np.arange(len(ids)), 2), np.zeros(2 * len(ids), np.int64))  # each by itself
+    assert c.encode(texts, [5, 6, 7, 8]) == got
