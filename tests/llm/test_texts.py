@@ -1,6 +1,7 @@
 """Operators 2, 3, 4 and 5 against plain Python and the libraries."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -276,3 +277,24 @@ def test_ways_with_one_skip_are_merged_once():
     assert 0 < len(merged) < 0.25 * 4 * 400 * 10
     c._merge, c._skipped = plain, lambda ids, keys: (np.repeat(np.arange(len(ids)), 2), np.zeros(2 * len(ids), np.int64))  # each by itself
     assert c.encode(texts, [5, 6, 7, 8]) == got
+
+
+def test_words_met_once_are_not_kept_and_memory_is_bounded():
+    """Cached, partly cached and uncached runs agree; what a worker holds does not grow with words that never come again."""
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopéß中") for _ in range(draw.randint(3, 12)))
+    c = P.PieceCoder(P.model_path())
+    rare = [" ".join(word() for _ in range(400)) for _ in range(20)]
+    tracemalloc.start()
+    try:
+        got = c.encode(rare, list(range(20)))
+        common = c.encode(["the water of small towns " * 20_000], [3])
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(c.number) < 1_000 and held < 30e6 and peak < 80e6, (len(c.number), held, peak)
+    assert c.encode(rare, list(range(20))) == got == c.encode(rare, list(range(20))) and len(c.number) > 5_000
+    assert c.encode(["the water of small towns " * 20_000], [3]) == common
+    assert [c.decode(np.frombuffer(x, c.kind)) for x in got] == rare
+    ids, ends = c.encoded([*rare, None, ""], list(range(22)))
+    assert c.lossless([*rare, None, ""], ids, ends) == [True] * 22 and c.lossless([*rare[1:], rare[0], None, ""], ids, ends) == [False] * 20 + [True] * 2
