@@ -14,7 +14,7 @@ from convolake.llm.common import Scratch
 #: Rows that are worked on at a time, at least (more only where one group is larger).
 ROWS = 1 << 17
 #: Pairs found that are held before they are reduced or passed on.
-HELD = 1 << 20
+HELD = 1 << 18
 
 
 def by_groups(work: Callable[[pa.Table], Iterator[pa.RecordBatch]], key: str, rows: int = ROWS) -> Callable:

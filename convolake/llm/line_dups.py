@@ -51,7 +51,7 @@ BEST = 2
 #: Lines to verify up to which their places are broadcast to the texts; beyond, texts and places are shuffled together.
 SENT = 2_000_000
 #: Pairs that are worked on at a time.
-PAIRS = 1 << 19
+PAIRS = 1 << 17
 _SHIFT = np.uint64(64 - 20)
 _TOP, _LOW = np.uint64(56), np.uint64((1 << 56) - 1)
 _PAIR = 1 << 30

@@ -93,9 +93,9 @@ class PieceCoder:
             self.slot[at[free]] = left[free]  # of equal places the last one holds, in both
             lost = self.slot_code[at] != self.pair[left]
             left, at = left[lost], (at[lost] + 1) & self.slots
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         """Units with their numbers (ways on which one candidate is skipped have some, too); by number the place of the
         pieces in a pool and their count, the hash, and the candidates' hashed places; by candidate the number of the way on
         which it is skipped, -1, or -2 if that was asked for once; the units met, by hash."""
@@ -314,7 +314,7 @@ class PieceCoder:
         if not units:
             return np.zeros(0, self.kind), [0] * len(texts)
         if len(self.number) > CACHE_UNITS or len(self.many) > CACHE_WAYS:
-            self._forget()
+            self.forget()
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         ends = np.cumsum(sizes)
         way, keys = self._numbers(units)
@@ -399,6 +399,8 @@ def piece_digests(docs: DataFrame, path: str | None = None, rate: float = RATE,
                     "lossless": pa.array(c.lossless(texts, ids, ends), pa.bool_()),
                 }
                 yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "variant": part["variant"], **digests})
+        c.forget()  # a worker that waits for other work holds no words
+        pa.default_memory_pool().release_unused()
 
     return _with_variant(docs, seed).mapInArrow(run, f"doc_id {kind}, variant long, n_pieces long, ids_crc32 long, lossless boolean")
 

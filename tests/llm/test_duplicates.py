@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,3 +262,18 @@ def test_pipeline(spark, tmp_path):
     assert set(got) == {0, 1, 2, 3, 4, 5, 6}  # too short, leaked and empty documents are gone; 6 has lost its only line
     assert got[6].n_pieces == 0 and all(r.lossless for r in got.values())
     assert [n for n, _ in pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "sentence_pieces"]
+
+
+def test_pairs_of_large_groups_are_held_in_little_memory():
+    """A group in which each of 3,000 lines has all others as partners; the pairs are those of another buffer."""
+    draw, n = np.random.default_rng(1), 3_000
+    maps = draw.integers(0, 4, n)
+    rows = pa.table({"key": np.zeros(n, np.int64), "n": draw.integers(20, 24, n).astype(np.int32), "place": np.zeros(n, np.int32), "line": np.arange(n, dtype=np.int32), "doc_id": np.arange(n), "m1": maps, "m2": maps})
+    plain = pa.Table.from_batches(line_dups._partners(rows, 0.8, 2, 1 << 21))
+    tracemalloc.start()
+    try:
+        got = pa.Table.from_batches(line_dups._partners(rows, 0.8, 2))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.equals(plain) and got.num_rows > n and peak < 80e6, (got.num_rows, peak)
