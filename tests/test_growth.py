@@ -6,6 +6,7 @@ from test_messages import frame, message
 from convolake import contract as C
 from convolake.functions import signals as G
 from convolake.functions import text as T
+from convolake.operators import publication as P
 from convolake.operators import silver
 from convolake.plans import queries as Q
 
@@ -60,3 +61,28 @@ def test_silver_is_made_once(spark, tmp_path):
     for query in (Q.gold_overlaid, Q.leads, Q.gold, Q._planned, Q._gold_reconcile, Q._silver_reconcile, Q.hashed_conversations):
         plan = query(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
         assert "event_id" not in plan and "sender_name_masked" not in plan, query.__name__
+
+
+def test_published_layers_are_stored_once(spark, tmp_path, monkeypatch):
+    """Beside the published layers only the messages are stored, with the private columns that leads and gold are made of."""
+    spark.createDataFrame([(k, k % 5, None) for k in range(40)], "event_id long, user_id long, ts timestamp").withColumn("ts", F.lit("2024-01-03").cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(Q, "scratch_folder", lambda s, name: f"{tmp_path}/stored/{name}")
+    rows = {r.layer: (r.rows, r.keys) for r in Q._published(spark, str(tmp_path)).collect()}
+    assert set(rows) == set(Q.PUBLISHED) and rows["silver_leads"] == rows["gold"]
+    assert {p.name for p in (tmp_path / "stored").iterdir()} == {"silver", "layers"}
+    stored = spark.read.parquet(f"{tmp_path}/stored/silver").columns
+    assert set(stored) & {*P.FORBIDDEN} == {"message_body", "lead_name_raw"}
+
+
+def test_beyond_ascii_is_told_from_bytes(spark):
+    texts = spark.sql("SELECT * FROM VALUES (X''), (X'6162'), (X'C3A1'), (X'80'), (X'61FF'), (X'C3'), (X'F09F9880'), (X'7F00') AS t(b)").select(F.col("b").cast("string").alias("t")).coalesce(1)
+    got = texts.select(T.beyond_ascii(F.col("t")).alias("quick"), F.col("t").rlike(r"[^\x00-\x7F]").alias("slow")).collect()
+    assert [r.quick for r in got] == [r.slow for r in got] == [False, False, True, True, True, True, True, False]
+
+
+def test_texts_without_anything_to_mask_stay(spark):
+    t, n = F.col("t"), F.lit("Ana Paula")
+    masked = T.mask_email(t)
+    for kind in ("cpf", "cep", "phone"):
+        masked = T.masked_matches(masked, C.PII[kind], lambda m: F.regexp_replace(m, "[0-9]", "X"))
+    assert results(spark, T.mask_body(t, n)) == results(spark, T.mask_known_names(T.mask_plate(masked), n))
