@@ -45,19 +45,27 @@ def arranged(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
 
 
-def tiled(entries: DataFrame, key: str, member: list[str], tile: int, s: Scratch, counted: DataFrame | None = None) -> DataFrame:
-    """entries in which the keys of groups of over 2 * tile rows are replaced by keys of tiles: a group's members
-    (identified by the columns member) are dealt over blocks, and each pair of blocks is a group of its own. There is then
-    a column block, for apart(). counted: the entries whose groups may be large, if not all."""
-    sizes = (entries if counted is None else counted).groupBy(key).agg(F.count("*").alias("__size")).filter(F.col("__size") > 2 * tile)
-    large = s.written(sizes, "large-groups")
-    if large.isEmpty():
+def large_groups(entries: DataFrame, key: str, tile: int, s: Scratch) -> DataFrame | None:
+    """The keys of groups of over 2 * tile rows and their sizes, if there are any."""
+    large = s.written(entries.groupBy(key).agg(F.count("*").alias("__size")).filter(F.col("__size") > 2 * tile), "large-groups")
+    return None if large.isEmpty() else large
+
+
+def tiled(entries: DataFrame, key: str, member: list[str], tile: int, s: Scratch) -> DataFrame:
+    return dealt(entries, key, member, tile, large_groups(entries, key, tile, s))
+
+
+def dealt(entries: DataFrame, key: str, member: list[str], tile: int, large: DataFrame | None) -> DataFrame:
+    """entries in which the keys of large groups are replaced by keys of tiles: a group's members (identified by the columns
+    member) are dealt over blocks, and each pair of blocks is a group of its own. There is then a column block, for apart();
+    if there was one, of larger tiles, it is replaced (pairs within its blocks are then found in each of its tiles)."""
+    if large is None:
         return entries
     e = entries.join(large, key, "left").withColumn("__blocks", F.ceil(F.col("__size") / tile).cast("int"))
     e = e.withColumn("__own", F.pmod(F.xxhash64(*member), F.col("__blocks")).cast("int"))
     e = e.withColumn("__other", F.explode(F.when(F.col("__blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("__blocks") - 1))))
     pair = F.xxhash64(key, F.least("__own", "__other"), F.greatest("__own", "__other"))
-    return e.withColumn(key, F.when(F.col("__blocks").isNull(), F.col(key)).otherwise(pair)).select(*entries.columns, F.coalesce("__own", F.lit(0)).alias("block"))
+    return e.withColumn(key, F.when(F.col("__blocks").isNull(), F.col(key)).otherwise(pair)).select(*[c for c in entries.columns if c != "block"], F.coalesce("__own", F.lit(0)).alias("block"))
 
 
 def apart(rows: pa.Table, group: np.ndarray, order: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convolake.llm.common import Scratch, batch_words, mix, table, written
-from convolake.llm.groups import HELD, apart, arranged, by_groups, tiled
+from convolake.llm.groups import HELD, apart, arranged, by_groups, dealt, large_groups, tiled
 
 SIMILARITY = 0.8
 #: Hashed counters (more of them only improve the order of words), in chunks that are summed in a tree.
@@ -350,6 +350,12 @@ def _verified(d: DataFrame, pairs: DataFrame, similarity: float, sent: int, s: S
     return s.written(both.groupBy("b_doc", "b_line", "s1", "s2").agg(F.bool_or(similar).alias("goes"), F.bool_or("more").alias("more")), "line-verified")
 
 
+def _entries(classes: DataFrame, *more: str) -> DataFrame:
+    """A row for each key of each class."""
+    p = F.explode(F.arrays_zip("prefix.keys", "prefix.places")).alias("p")
+    return classes.filter("prefix IS NOT NULL").select("first.doc_id", "first.line", "n", "m1", "m2", *more, p).select(F.col("p.keys").alias("key"), "doc_id", "line", "n", F.col("p.places").alias("place"), "m1", "m2", *more)
+
+
 def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, common: int = COMMON, tile: int = TILE, best: int = BEST, sent: int = SENT) -> DataFrame:
     """doc_id, rid (hash of the text) and removed (places of the lines to remove, in order) of each document that loses
     lines. similarity must be over 0.5: keys of two words need two words in common. The other numbers do not change the
@@ -366,16 +372,20 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, common: int
     prefix = F.when(F.size("keys") > 0, F.struct("keys", "places"))
     classes = s.written(keyed.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "rid", "line")).alias("first"), F.count("*").alias("copies"), *[F.max(c).alias(c) for c in ("n", "m1", "m2")], F.first(prefix, ignorenulls=True).alias("prefix")), "line-classes")
     wide.clear()
-    entries = classes.filter("prefix IS NOT NULL").select("first.doc_id", "first.line", "n", "m1", "m2", F.explode(F.arrays_zip("prefix.keys", "prefix.places")).alias("p")).select(F.col("p.keys").alias("key"), "doc_id", "line", "n", F.col("p.places").alias("place"), "m1", "m2")
-    entries = tiled(entries, "key", ["doc_id", "line"], tile, s, entries.filter(F.col("place") >= _PAIR))
-    found = _verified(d, s.written(_candidates(entries, kind, similarity, best), "line-pairs"), similarity, sent, s)
+    large = large_groups(_entries(classes).filter(F.col("place") >= _PAIR), "key", tile, s)
+    entries = dealt(_entries(classes), "key", ["doc_id", "line"], tile, large)
+    found = _verified(d, s.written(_candidates(entries, kind, similarity, best), "line-pairs", narrow=True), similarity, sent, s)
     later = found.filter("goes")
     open_ = s.written(found.filter("more AND NOT goes").select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line"), F.lit(True).alias("asked")).distinct(), "line-open")
     if not open_.isEmpty():
-        marked = entries.join(open_, ["doc_id", "line"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
-        keys = s.written(entries.join(open_, ["doc_id", "line"]).select("key").distinct(), "line-open-keys")
+        # classes are marked before they become an entry for each key
+        placed = classes.withColumns({"doc_id": F.col("first.doc_id"), "line": F.col("first.line")})
+        keys = dealt(_entries(placed.join(open_, ["doc_id", "line"])), "key", ["doc_id", "line"], tile, large)
+        keys = s.written(keys.select("key").distinct(), "line-open-keys")
+        marked = placed.join(open_, ["doc_id", "line"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+        marked = dealt(_entries(marked, "asked"), "key", ["doc_id", "line"], tile, large)
         rest = tiled(s.written(marked.join(keys, "key", "left_semi"), "line-open-entries"), "key", ["doc_id", "line"], tile // 4 + 1, s)
-        rest = s.written(_candidates(rest, kind, similarity, None), "line-open-pairs")
+        rest = s.written(_candidates(rest, kind, similarity, None), "line-open-pairs", narrow=True)
         later = later.unionByName(_verified(d, rest, similarity, sent, s).filter("goes"))
     goes = later.select("s1", "s2", F.col("b_doc").alias("__doc"), F.col("b_line").alias("__line")).distinct().withColumn("goes", F.lit(True))
     marked = classes.select("s1", "s2", "first", "copies", F.col("first.doc_id").alias("__doc"), F.col("first.line").alias("__line")).join(goes, ["s1", "s2", "__doc", "__line"], "left")

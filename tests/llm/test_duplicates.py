@@ -11,7 +11,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from convolake.llm import line_dups, near_dups, repeats
+from convolake.llm import groups, line_dups, near_dups, repeats
+from convolake.llm.common import Scratch
 
 rng = random.Random(11)
 WORDS = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(600)]
@@ -277,3 +278,39 @@ def test_pairs_of_large_groups_are_held_in_little_memory():
     finally:
         tracemalloc.stop()
     assert got.equals(plain) and got.num_rows > n and peak < 80e6, (got.num_rows, peak)
+
+
+def test_narrow_rows_are_not_measured_one_by_one(spark):
+    """Spark asks for the bytes of a batch after each row, which took more time than the rows; the number of rows is limited."""
+    limit, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def seen(batches):
+        from pyspark import TaskContext
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"limit": [TaskContext.get().getLocalProperty(limit)], "rows": [b.num_rows]})
+
+    s, before = Scratch(spark), spark.conf.get(limit)
+    found = lambda **how: [tuple(r) for r in s.written(spark.range(15_000).coalesce(1).mapInArrow(seen, "limit string, rows long"), "seen", **how).collect()]
+    assert {x for x, _ in found(narrow=True)} == {str(2**31 - 1)}
+    assert {x for x, _ in found()} != {str(2**31 - 1)} and spark.conf.get(limit) == before
+    most = spark.conf.get(rows)
+    try:
+        spark.conf.set(rows, "0")
+        assert {x for x, _ in found(narrow=True)} != {str(2**31 - 1)}
+    finally:
+        spark.conf.set(rows, most)
+    s.clear()
+
+
+def test_tiles_of_tiles_have_one_block(spark):
+    """Groups that are still large are dealt once more; all pairs of their members still meet."""
+    s = Scratch(spark)
+    d = spark.range(40).select(F.lit(7).cast("long").alias("key"), "id")
+    twice = groups.tiled(groups.tiled(d, "key", ["id"], 8, s), "key", ["id"], 2, s)
+    assert twice.columns == ["key", "id", "block"]
+    met = defaultdict(set)
+    for r in twice.collect():
+        met[r.key].add(r.id)
+    assert {(a, b) for ids in met.values() for a in ids for b in ids} == {(a, b) for a in range(40) for b in range(40)}
+    s.clear()
